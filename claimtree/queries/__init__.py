@@ -4,6 +4,6 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from claimtree.queries import claims, lab
+    from claimtree.queries import claims, hierarchy, lab
 
-    return {**claims.QUERIES, **lab.QUERIES}
+    return {**claims.QUERIES, **lab.QUERIES, **hierarchy.QUERIES}
