@@ -70,10 +70,15 @@ class HierarchyMeta:
         return found
 
 
-def load_meta(columns: DataFrame, config: dict | None = None) -> HierarchyMeta:
+def settings_rows(df: DataFrame, headers: Sequence[str], order: str | None, what: str) -> list:
+    """A settings table on the driver, in the order of a column where one is named."""
+    rows = df.orderBy(order) if order else df
+    return bounded_rows(rows.select(*[resolve_column(df, h) for h in headers]), SETTINGS_ROWS, what)
+
+
+def load_meta(columns: DataFrame, config: dict | None = None, order: str | None = None) -> HierarchyMeta:
     """Read the column metadata table (and the names of the special columns from the configuration)."""
-    heads = [resolve_column(columns, h) for h in META_HEADERS]
-    rows = bounded_rows(columns.select(*heads), SETTINGS_ROWS, "the columns table")
+    rows = settings_rows(columns, META_HEADERS, order, "the columns table")
     parsed = tuple(
         LevelColumn(str(r[0]), int(r[1]), str(r[2]), str(r[3]), str(r[4]), str(r[5]), str(r[6])) for r in rows
     )
@@ -89,13 +94,11 @@ def load_meta(columns: DataFrame, config: dict | None = None) -> HierarchyMeta:
     )
 
 
-def load_config(config: DataFrame) -> dict:
+def load_config(config: DataFrame, order: str | None = None) -> dict:
     """Nested settings: section, subsection (absent when ``-``), attribute; later rows win."""
-    heads = [resolve_column(config, h) for h in CONFIG_HEADERS]
     found: dict = {}
-    for section, subsection, attribute, value, parameters, content in bounded_rows(
-        config.select(*heads), SETTINGS_ROWS, "the config table"
-    ):
+    rows = settings_rows(config, CONFIG_HEADERS, order, "the config table")
+    for section, subsection, attribute, value, parameters, content in rows:
         home = found.setdefault(section, {})
         if subsection != "-":
             home = home.setdefault(subsection, {})

@@ -20,10 +20,8 @@ def row_width(schema: T.StructType) -> int:
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate, or None where the session does not expose it."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:
-        return None
+    plan = getattr(df, "_jdf", None)
+    return None if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def dim_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from claimtree.functions.codes import null_token
 from claimtree.functions.text import is_filled, typed_cast
 from claimtree.operators.metadata import HierarchyMeta, filter_values
+from claimtree.operators.scale import dim_side
 from claimtree.sources.tables import resolve_column
 
 # Primary flags that count as set; a missing flag reads as NULL.
@@ -83,7 +84,8 @@ def build_nodes(wide: DataFrame, meta: HierarchyMeta, order: str = "row_order")
     """One row per distinct path, with the attributes of its first row by ``order``.
 
     Each wide row yields its levels down to the first missing id; one aggregation on ``path`` makes
-    the nodes. Rows of a large root are combined inside each task before that shuffle.
+    the nodes. Rows of a large root are combined inside each task before that shuffle. A text-bearing
+    minimum is aggregated by sorting, and the hash in front of the key makes that sort compare longs.
     """
     ids = level_ids(wide, meta)
     keys = [k for k in meta.keys() if k != meta.id_key]
@@ -99,7 +101,8 @@ def build_nodes(wide: DataFrame, meta: HierarchyMeta, order: str = "row_order")
         )
         levels.append(F.when(held, node))
     rows = wide.select(F.explode(F.filter(F.array(*levels), lambda n: n.isNotNull())).alias("n")).select("n.*")
-    first = rows.groupBy("path").agg(F.min("seen").alias("seen"), F.max("deeper").alias("has_children"))
+    keyed = rows.groupBy(F.xxhash64("path").alias("_hash"), "path")
+    first = keyed.agg(F.min("seen").alias("seen"), F.max("deeper").alias("has_children"))
     return first.select(*path_columns(F.col("path")), "seen.*", "has_children")
 
 
@@ -134,7 +137,8 @@ def build_edges(wide: DataFrame, meta: HierarchyMeta, order: str = "row_order")
         edge = F.struct(ids[level - 1].alias("child_id"), ids[level - 2].alias("parent_id"), seen.alias("seen"))
         levels.append(F.when(held & ~F.coalesce(is_filled(relation), F.lit(False)), edge))
     rows = wide.select(F.explode(F.filter(F.array(*levels), lambda e: e.isNotNull())).alias("e")).select("e.*")
-    return rows.groupBy("child_id", "parent_id").agg(F.min("seen").alias("seen")).select("child_id", "parent_id", "seen.*")
+    keyed = rows.groupBy(F.xxhash64("child_id", "parent_id").alias("_hash"), "child_id", "parent_id")
+    return keyed.agg(F.min("seen").alias("seen")).select("child_id", "parent_id", "seen.*")
 
 
 def conflicting_children(edges: DataFrame, meta: HierarchyMeta) -> DataFrame:
@@ -186,9 +190,14 @@ def child_count(nodes: DataFrame) -> DataFrame:
 
 
 def exclude(nodes: DataFrame, bad: DataFrame) -> DataFrame:
-    """Drop the entities in ``bad.child_id`` under every parent, with their sub-trees."""
+    """Drop the entities in ``bad.child_id`` under every parent, with their sub-trees.
+
+    Pass ``bad`` as a stored table: its size is then known, and while it is small the steps of all
+    paths are tested without a shuffle.
+    """
     steps = nodes.select("path", F.explode("path").alias("_step"))
-    doomed = steps.join(bad.select(F.col("child_id").alias("_step")), "_step", "left_semi").select("path").distinct()
+    ids = dim_side(bad.select(F.col("child_id").alias("_step")))
+    doomed = steps.join(ids, "_step", "left_semi").select("path").distinct()
     return nodes.join(doomed, "path", "left_anti")
 
 

@@ -22,6 +22,8 @@ from claimtree.functions.text import (
 from claimtree.operators.metadata import HierarchyMeta
 from claimtree.operators.scale import dim_side
 from claimtree.operators.tree_order import PAGE_SIZE, order_path, to_depth
+from claimtree.session import scratch_path
+from claimtree.sources.sinks import materialize
 
 # Link colours in order of use.
 LINK_COLOURS = [
@@ -172,9 +174,10 @@ def nest(
     """The shown tree of every root as one JSON text, children nested.
 
     Nesting brings children into their parent's row, so it works on the paged tree: at most ``size``
-    children per parent and ``max_depth`` levels. The whole tree stays in the node table.
+    children per parent and ``max_depth`` levels. The whole tree stays in the node table. The paged
+    tree is stored first, as every level reads it.
     """
-    shown = to_depth(nodes, meta.max_depth, order, page, size)
+    shown = materialize(to_depth(nodes, meta.max_depth, order, page, size), scratch_path(nodes.sparkSession, "shown"))
     fields = [F.col("node_id").alias(meta.id_key), *[F.col(k) for k in meta.keys() if k in nodes.columns]]
     below = None
     for level in range(meta.max_depth, 0, -1):

@@ -35,7 +35,8 @@ def hierarchy_nodes(
     nodes = tree.build_nodes(rows, meta, order)
     if not meta.has_primary:
         return nodes
-    return tree.exclude(nodes, tree.conflicting_children(tree.build_edges(wide, meta, order), meta))
+    bad = tree.conflicting_children(tree.build_edges(wide, meta, order), meta)
+    return tree.exclude(nodes, materialize(bad, scratch_path(wide.sparkSession, "conflicts")))
 
 
 def arrange(nodes: DataFrame, meta: HierarchyMeta, config: dict, params: dict) -> DataFrame:

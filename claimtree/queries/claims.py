@@ -289,7 +289,7 @@ def _(t):
        UNION ALL SELECT 'plan_pay_norm', (SELECT sum(plan_pay_norm)::DOUBLE FROM p04), (SELECT sum(plan_pay_norm) FROM p04_split))""",
 )
 def _(t):
-    before = by_org(t)
+    before = sinks.materialize(by_org(t), scratch_path(t.spark, "p04_claims_child"))
     return ops.reconcile(before, ops.claims_split(before), ops.SPLIT_MEASURES)
 
 

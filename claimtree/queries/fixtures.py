@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from claimtree.operators.metadata import HierarchyMeta, LevelColumn
+from claimtree.sources.tables import spread
 
 FIXTURES = {
     "fx_drug": """
@@ -150,6 +151,11 @@ HIER_META = HierarchyMeta(
 )
 
 
+_schemas: dict[str, T.StructType] = {}
+# Tables that the large fixtures start from.
+FACTS = {"fx_claim": ["lineitem"], "fx_hier": ["orders"]}
+
+
 class Inputs:
     """Driver tables and fixtures of one scale folder."""
 
@@ -160,15 +166,20 @@ class Inputs:
         return f"{self.folder}/{table}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A driver table; its schema is read from the files once."""
+        path = self.path(name)
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
-    def sql(self, text: str) -> DataFrame:
-        return self.spark.sql(text, **{t: self.table(t) for t in set(re.findall(r"\{(\w+)\}", text))})
+    def sql(self, text: str, facts: list[str] = ()) -> DataFrame:
+        names = set(re.findall(r"\{(\w+)\}", text))
+        return self.spark.sql(text, **{t: spread(self.table(t)) if t in facts else self.table(t) for t in names})
 
     def __getattr__(self, name: str) -> DataFrame:
         if f"fx_{name}" not in FIXTURES:
             raise AttributeError(name)
-        df = self.sql(FIXTURES[f"fx_{name}"])
+        df = self.sql(FIXTURES[f"fx_{name}"], FACTS.get(f"fx_{name}", ()))
         return df.withColumnRenamed("id_340b", "340b_id_number") if name == "hospital" else df
 
 

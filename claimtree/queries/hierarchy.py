@@ -9,6 +9,8 @@ from claimtree.operators import metadata, tree, tree_order, tree_view
 from claimtree.plans.hierarchy import hierarchy_view
 from claimtree.queries.fixtures import HIER_META as META, Inputs
 from claimtree.queries.hierarchy_oracle import check
+from claimtree.session import scratch_path
+from claimtree.sources.sinks import materialize
 
 QUERIES: dict = {}
 # Settings of the hierarchy queries.
@@ -53,6 +55,11 @@ def nodes(t: Inputs):
     return tree.build_nodes(t.hier, META)
 
 
+def stored_nodes(t: Inputs):
+    """The node table as a stage file, for operators that read it three times or more."""
+    return materialize(nodes(t), scratch_path(t.spark, "nodes"))
+
+
 def edges(t: Inputs):
     return tree.build_edges(t.hier, META)
 
@@ -123,7 +130,8 @@ def _(t):
 
 @query("hier_exclude", "SELECT path FROM kept_nodes")
 def _(t):
-    return tree.exclude(nodes(t), tree.conflicting_children(edges(t), META)).select(label())
+    bad = materialize(tree.conflicting_children(edges(t), META), scratch_path(t.spark, "conflicts"))
+    return tree.exclude(nodes(t), bad).select(label())
 
 
 @query(
@@ -237,7 +245,7 @@ def _(t):
 @query("hier_preorder", """SELECT path, CAST(row_number() OVER (PARTITION BY root ORDER BY s1 NULLS FIRST, s2 NULLS FIRST,
        s3 NULLS FIRST, s4 NULLS FIRST) AS INTEGER) AS preorder FROM steps""")
 def _(t):
-    return tree_order.preorder(nodes(t), NAME_ORDER, META.max_depth).select(label(), "preorder")
+    return tree_order.preorder(stored_nodes(t), NAME_ORDER, META.max_depth).select(label(), "preorder")
 
 
 @query(
@@ -258,12 +266,12 @@ def _(t):
 
 @query("hier_to_depth", "SELECT path, position FROM shown")
 def _(t):
-    return tree_order.to_depth(nodes(t), META.max_depth, NAME_ORDER).select(label(), "position")
+    return tree_order.to_depth(stored_nodes(t), META.max_depth, NAME_ORDER).select(label(), "position")
 
 
 @query("hier_nested", None)
 def _(t):
-    return tree_view.nest(nodes(t), META, NAME_ORDER)
+    return tree_view.nest(stored_nodes(t), META, NAME_ORDER)
 
 
 # --- what a reader sees
@@ -322,13 +330,13 @@ def _(t):
 
 @query("relation_legend", "SELECT relation_type, ordinal, colour FROM legend")
 def _(t):
-    return tree_view.relation_legend(nodes(t), META)
+    return tree_view.relation_legend(stored_nodes(t), META)
 
 
 @query("hier_links_coloured", """SELECT parent_path AS source, path AS target, RelationType, colour FROM nodes
        LEFT JOIN legend ON relation_type = RelationType WHERE depth > 1""")
 def _(t):
-    rows = nodes(t)
+    rows = stored_nodes(t)
     drawn = tree_view.edge_list(rows, META, tree_view.relation_legend(rows, META))
     return drawn.select(label("source"), label("target"), "RelationType", "colour")
 

@@ -35,10 +35,9 @@ def save_table(df: DataFrame, name: str, path: str) -> None:
 
 def export_csv(df: DataFrame, path: str, single_file_rows: int = 1_000_000) -> None:
     """CSV with header; one file for a report, several files when the result is larger than that."""
-    header = df.write.mode("overwrite").option("header", True)
-    if df.limit(single_file_rows + 1).count() <= single_file_rows:
-        header = df.coalesce(1).write.mode("overwrite").option("header", True)
-    header.csv(path)
+    # repartition, not coalesce: what computes the report keeps its tasks, only its rows are gathered.
+    report = df.repartition(1) if df.limit(single_file_rows + 1).count() <= single_file_rows else df
+    report.write.mode("overwrite").option("header", True).csv(path)
 
 
 def force(df: DataFrame) -> None:
@@ -54,7 +53,7 @@ def content_hash(df: DataFrame) -> Column:
 def relocate(spark: SparkSession, source: str, dest: str) -> DataFrame:
     """Copy a Parquet data set and report both sides' row count and content hash."""
     original = spark.read.parquet(source)
-    copied = materialize(original, dest)
+    copied = materialize(original, dest).select(*original.columns)
 
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count("*").alias("n"), content_hash(df).alias("h")).select(F.lit(name).alias("side"), "n", "h")
