@@ -32,7 +32,6 @@ LINKS = {
     "profile": {"value": "open ###0", "parameters": "EntityName|EntityId", "content": "/entity/###1"},
     "help": {"value": "help", "parameters": "-", "content": "/help"},
 }
-NAME_ORDER = tree_order.name_order(META)
 NODE_COLUMNS = [
     "depth", "node_id", "EntityName", "RelationType", "PrimaryFlag", "Tier", "Balance", "Rate", "row_order",
     "has_children",
@@ -47,6 +46,10 @@ def query(name: str, sql: str | None):
     return register
 
 
+def name_order() -> list[Column]:
+    return tree_order.name_order(META)
+
+
 def label(path: str = "path") -> Column:
     return F.array_join(path, "/").alias(path)
 
@@ -239,13 +242,13 @@ def _(t):
 )
 def _(t):
     columns = ["position", "page_no", "total_pages", "has_prev", "has_next"]
-    return tree_order.pages(nodes(t), NAME_ORDER).select(label(), *columns)
+    return tree_order.pages(nodes(t), name_order()).select(label(), *columns)
 
 
 @query("hier_preorder", """SELECT path, CAST(row_number() OVER (PARTITION BY root ORDER BY s1 NULLS FIRST, s2 NULLS FIRST,
        s3 NULLS FIRST, s4 NULLS FIRST) AS INTEGER) AS preorder FROM steps""")
 def _(t):
-    return tree_order.preorder(stored_nodes(t), NAME_ORDER, META.max_depth).select(label(), "preorder")
+    return tree_order.preorder(stored_nodes(t), name_order(), META.max_depth).select(label(), "preorder")
 
 
 @query(
@@ -256,22 +259,22 @@ def _(t):
 )
 def _(t):
     rows = nodes(t)
-    return tree_order.locate(rows, path_of(rows, "O0"), NAME_ORDER)
+    return tree_order.locate(rows, path_of(rows, "O0"), name_order())
 
 
 @query("hier_visible", "SELECT path, position FROM by_name WHERE depth = 1 OR (depth = 2 AND position <= 3)")
 def _(t):
-    return tree_order.visible(nodes(t), NAME_ORDER).select(label(), "position")
+    return tree_order.visible(nodes(t), name_order()).select(label(), "position")
 
 
 @query("hier_to_depth", "SELECT path, position FROM shown")
 def _(t):
-    return tree_order.to_depth(stored_nodes(t), META.max_depth, NAME_ORDER).select(label(), "position")
+    return tree_order.to_depth(stored_nodes(t), META.max_depth, name_order()).select(label(), "position")
 
 
 @query("hier_nested", None)
 def _(t):
-    return tree_view.nest(stored_nodes(t), META, NAME_ORDER)
+    return tree_view.nest(stored_nodes(t), META, name_order())
 
 
 # --- what a reader sees
