@@ -17,11 +17,16 @@ def title_case(text: Column) -> Column:
     """
 
     def one_word(word: Column) -> Column:
+        first = F.substring(word, 1, 1)
+        plain = first.between("a", "z") | first.between("A", "Z")
+        # Only words that do not start with a letter need the search for their first letter.
         lead = F.length(F.regexp_extract(word, "^[^A-Za-z]*", 0))
-        return F.concat(
-            F.substring(word, F.lit(1), lead),
-            F.upper(F.substring(word, lead + 1, F.lit(1))),
-            F.lower(F.substring(word, lead + 2, F.length(word))),
+        return F.when(plain, F.concat(F.upper(first), F.lower(F.substr(word, F.lit(2))))).otherwise(
+            F.concat(
+                F.substring(word, F.lit(1), lead),
+                F.upper(F.substring(word, lead + 1, F.lit(1))),
+                F.lower(F.substr(word, lead + 2)),
+            )
         )
 
     return F.array_join(F.transform(F.split(text, " "), one_word), " ")

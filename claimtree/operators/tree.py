@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from claimtree.functions.codes import null_token
 from claimtree.functions.text import is_filled, typed_cast
 from claimtree.operators.metadata import HierarchyMeta, filter_values
-from claimtree.operators.scale import dim_side
+from claimtree.operators.scale import BROADCAST_BYTES, dim_side
 from claimtree.sources.tables import resolve_column
 
 # Primary flags that count as set; a missing flag reads as NULL.
 PRIMARY_TRUE = ["TRUE", "NULL"]
 PATH_MARK = "\u0001"
+# Generous size of one ancestor row in memory: its path and one attached value.
+ANCESTOR_BYTES = 512
 
 
 # --- wide-table filters ---------------------------------------------------------------------------
@@ -80,27 +82,30 @@ def level_value(wide: DataFrame, meta: HierarchyMeta, level: int, key: str) -> C
     return typed_cast(F.col(name), column.dtype, wide.schema[name].dataType)
 
 
-def build_nodes(wide: DataFrame, meta: HierarchyMeta, order: str = "row_order") -> DataFrame:
-    """One row per distinct path, with the attributes of its first row by ``order``.
+def build_nodes(
+    wide: DataFrame, meta: HierarchyMeta, order: str = "row_order", attributes: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per distinct path, with the attributes of its first row by ``order`` (a unique number).
 
     Each wide row yields its levels down to the first missing id; one aggregation on ``path`` makes
     the nodes. Rows of a large root are combined inside each task before that shuffle. A text-bearing
     minimum is aggregated by sorting, and the hash in front of the key makes that sort compare longs.
+    ``attributes`` (default: all) limits what is carried: unused ones cannot be pruned from a minimum.
     """
     ids = level_ids(wide, meta)
-    keys = [k for k in meta.keys() if k != meta.id_key]
+    keys = [k for k in meta.keys() if k != meta.id_key and (attributes is None or k in attributes)]
     levels = []
     for level in range(1, meta.max_depth + 1):
         held = reduce(Column.__and__, [i.isNotNull() for i in ids[:level]])
         deeper = ids[level].isNotNull() if level < meta.max_depth else F.lit(False)
-        attributes = [level_value(wide, meta, level, k).alias(k) for k in keys]
-        node = F.struct(
-            F.array(*ids[:level]).alias("path"),
-            F.struct(F.col(order).alias("row_order"), *attributes).alias("seen"),
-            deeper.alias("deeper"),
-        )
+        values = [level_value(wide, meta, level, k).alias(k) for k in keys]
+        seen = F.struct(F.col(order).alias("row_order"), *values)
+        node = F.struct(F.array(*ids[:level]).alias("path"), seen.alias("seen"), deeper.alias("deeper"))
         levels.append(F.when(held, node))
     rows = wide.select(F.explode(F.filter(F.array(*levels), lambda n: n.isNotNull())).alias("n")).select("n.*")
+    if not keys:
+        first = rows.groupBy("path").agg(F.min("seen.row_order").alias("row_order"), F.max("deeper").alias("has_children"))
+        return first.select(*path_columns(F.col("path")), "row_order", "has_children")
     keyed = rows.groupBy(F.xxhash64("path").alias("_hash"), "path")
     first = keyed.agg(F.min("seen").alias("seen"), F.max("deeper").alias("has_children"))
     return first.select(*path_columns(F.col("path")), "seen.*", "has_children")
@@ -116,14 +121,17 @@ def path_columns(path: Column) -> list[Column]:
     ]
 
 
-def build_edges(wide: DataFrame, meta: HierarchyMeta, order: str = "row_order") -> DataFrame:
+def build_edges(
+    wide: DataFrame, meta: HierarchyMeta, order: str = "row_order", attributes: Sequence[str] | None = None
+) -> DataFrame:
     """Distinct child and parent pairs over all levels, with first-seen parent attributes.
 
     The primary flag and relation type are the child's. Dummy ('filled') children give no edge.
+    ``attributes`` limits the parent attributes carried, as in ``build_nodes``.
     """
     ids = level_ids(wide, meta)
     own = [meta.primary_key, meta.relation_key]
-    keys = [k for k in meta.keys() if k not in (meta.id_key, *own)]
+    keys = [k for k in meta.keys() if k not in (meta.id_key, *own) and (attributes is None or k in attributes)]
     levels = []
     for level in range(2, meta.max_depth + 1):
         held = reduce(Column.__and__, [i.isNotNull() for i in ids[1:level]])
@@ -212,21 +220,34 @@ def prune(nodes: DataFrame, field: str, values: str | Sequence[str] | None) -> D
 
 
 def attach_ancestors(
-    nodes: DataFrame, source: DataFrame, levels: Sequence[int], value: Column, name: Callable[[int], str]
+    nodes: DataFrame,
+    source: DataFrame,
+    levels: Sequence[int],
+    value: Column,
+    name: Callable[[int], str],
+    sizes: dict[int, int] | None = None,
 ) -> DataFrame:
     """For each level add ``value`` of the node's ancestor at that level (NULL at or above it).
 
     ``source`` holds one row per path, so a join never multiplies rows; the nodes below a large
-    ancestor are the side that adaptive execution may split.
+    ancestor are the side that adaptive execution may split. ``sizes`` gives the node count of each
+    level where known, and a level that fits ``BROADCAST_BYTES`` is then joined without a shuffle.
     """
     for level in levels:
         key = f"_at_{level}"
         above = source.where(F.col("depth") == level).select(F.col("path").alias(key), value.alias(name(level)))
-        own = F.when(F.col("depth") > level, F.slice("path", 1, level))
+        if sizes is not None and sizes.get(level, 0) * ANCESTOR_BYTES <= BROADCAST_BYTES:
+            above = F.broadcast(above)
+        own = F.when(F.col("depth") > level, F.slice("parent_path", 1, level))
         nodes = nodes.join(above, own == F.col(key), "left").drop(key)
     return nodes
 
 
+def level_sizes(nodes: DataFrame) -> dict[int, int]:
+    """Node count per level: one row per level on the driver."""
+    return {r["depth"]: r["count"] for r in nodes.groupBy("depth").count().collect()}
+
+
 def promote(nodes: DataFrame, field: str, values: str | Sequence[str] | None, max_depth: int) -> DataFrame:
     """Keep levels 1-2 and matching nodes; each hangs under its nearest kept ancestor.
 

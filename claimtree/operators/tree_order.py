@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimtree.operators.metadata import HierarchyMeta
 from claimtree.operators.scale import GROUP_ROWS, ranked
-from claimtree.operators.tree import attach_ancestors
+from claimtree.operators.tree import attach_ancestors, level_sizes
 
 # Rank of text tiers, and nodes per page.
 TIER_RANK = {"high": 3, "medium": 2, "low": 1}
@@ -99,14 +99,16 @@ def to_depth(nodes: DataFrame, depth: int, order: Sequence[Column], page: int =
 def order_path(nodes: DataFrame, order: Sequence[Column], max_depth: int) -> DataFrame:
     """Add ``order_path``: the order keys of the node's ancestors and itself, top down.
 
-    Arrays compare element by element and a prefix comes first, so sorting by it is pre-order.
+    Arrays compare element by element and a prefix comes first, so sorting by it is pre-order. Pass
+    stored nodes: they are read once to count the levels and once per level.
     """
     keyed = nodes.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
     above = keyed.select("path", "depth", "_key")
-    rows = attach_ancestors(keyed, above, range(1, max_depth), F.col("_key"), lambda k: f"_key_{k}")
-    steps = [F.col(f"_key_{k}") for k in range(1, max_depth)] + [F.col("_key")]
+    levels = range(1, max_depth)
+    rows = attach_ancestors(keyed, above, levels, F.col("_key"), lambda k: f"_key_{k}", level_sizes(nodes))
+    steps = [F.col(f"_key_{k}") for k in levels] + [F.col("_key")]
     full = F.filter(F.array(*steps), lambda s: s.isNotNull())
-    return rows.withColumn("order_path", full).drop("_key", *[f"_key_{k}" for k in range(1, max_depth)])
+    return rows.withColumn("order_path", full).drop("_key", *[f"_key_{k}" for k in levels])
 
 
 def preorder(

@@ -21,7 +21,8 @@ from claimtree.functions.text import (
 )
 from claimtree.operators.metadata import HierarchyMeta
 from claimtree.operators.scale import dim_side
-from claimtree.operators.tree_order import PAGE_SIZE, order_path, to_depth
+from claimtree.operators.tree import attach_ancestors, level_sizes
+from claimtree.operators.tree_order import PAGE_SIZE, to_depth
 from claimtree.session import scratch_path
 from claimtree.sources.sinks import materialize
 
@@ -133,13 +134,16 @@ def relation_legend(
 ) -> DataFrame:
     """Relation types with the colour of their first appearance; types beyond the colours have none.
 
-    Appearance is depth-first over first-seen rows. Types are reduced inside each task, and only the
-    first few (as many as there are colours) are numbered.
+    Appearance is depth-first over first-seen rows. Siblings of one type are first reduced to their
+    earliest, and only as many types as there are colours are numbered.
     """
-    placed = order_path(nodes, [F.col("row_order"), F.col("path")], meta.max_depth)
-    typed = placed.where(F.col(meta.relation_key).isNotNull())
-    # Roots have no order between them but their first row, which leads every order path.
-    types = typed.groupBy(F.col(meta.relation_key).alias("relation_type")).agg(F.min("order_path").alias("_first"))
+    type_key = F.col(meta.relation_key).alias("relation_type")
+    typed = nodes.where(F.col(meta.relation_key).isNotNull())
+    earliest = typed.groupBy("parent_path", "depth", type_key).agg(F.min("row_order").alias("row_order"))
+    levels = range(1, meta.max_depth)
+    placed = attach_ancestors(earliest, nodes, levels, F.col("row_order"), lambda k: f"_{k}", level_sizes(nodes))
+    steps = F.filter(F.array(*[F.col(f"_{k}") for k in levels], F.col("row_order")), lambda s: s.isNotNull())
+    types = placed.groupBy("relation_type").agg(F.min(steps).alias("_first"))
     leading = types.orderBy("_first").limit(len(colours))
     numbered = leading.agg(F.sort_array(F.collect_list(F.struct("_first", "relation_type"))).alias("t"))
     numbered = numbered.select(F.posexplode("t.relation_type").alias("_at", "_type"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -37,78 +38,94 @@ class Cohort:
     area: str | None = None
 
 
-@dataclass(frozen=True)
-class ClaimStages:
-    """Stage tables of a run, all lazy unless a work folder was given."""
-
-    cohort: DataFrame
-    monthly: DataFrame
-    by_npi: DataFrame
-    by_org: DataFrame
-    split: DataFrame
-    attributed: DataFrame
-    yearly: DataFrame
-    crosstab: DataFrame
-    plan_mix: DataFrame
-    drug_ranking: DataFrame
-
-    def items(self) -> list[tuple[str, DataFrame]]:
-        return [(f.name, getattr(self, f.name)) for f in fields(self)]
+# The stage tables in order.
+STAGES = [
+    "cohort", "monthly", "by_npi", "by_org", "split", "attributed", "yearly", "crosstab", "plan_mix", "drug_ranking",
+]
 
 
-def attribute_claims(
-    src: ClaimSources, cohort: Cohort, year: int, workdir: str | None = None, exact_cents: bool = False, top: int = 200
-) -> ClaimStages:
-    """Build every stage. With ``workdir`` the stages that others reuse are written there once.
+@dataclass
+class ClaimRun:
+    """Stage tables of a run, each made when asked for.
 
-    The slices are united before the cohort join, so the drug side is broadcast once. Area cohorts
-    keep claims without a drug row, name cohorts drop them.
+    All stages are lazy plans unless ``workdir`` is given; then the stages that others reuse are
+    written there once and read back. Area cohorts keep claims without a drug row, name cohorts drop
+    them. ``exact_cents`` keeps pays as integer cents.
     """
-    stage: Callable[[str, DataFrame], DataFrame] = (
-        (lambda name, df: materialize(df, f"{workdir.rstrip('/')}/{name}")) if workdir else (lambda name, df: df)
-    )
-    rows = ops.cohort_union(*src.slices)
-    if cohort.areas:
-        rows = ops.cohort_by_area(rows, src.drug, src.ndc_map, cohort.areas)
-    else:
-        rows = ops.cohort_by_name(rows, src.drug, cohort.patterns)
-    rows = stage("p01_subset", rows)
-
-    monthly = ops.monthly_physician_plan(rows, src.drug, "left" if cohort.areas else "inner", cohort.area, exact_cents)
-    if src.product_class is not None:
-        monthly = ops.enrich_class(monthly, src.product_class)
-    monthly = stage("p02_phy_plan", monthly)
-
-    profile = ops.affiliation_profile(src.affiliation, src.hospital, src.physician_group)
-    enriched = ops.enrich_affiliation(
-        ops.enrich_physician(ops.enrich_plan(monthly, src.plan), src.physician), profile
-    )
-    by_org = stage(
-        "p04_claims_child",
-        ops.org_claims(monthly, src.plan, src.physician, src.affiliation, src.hospital, src.physician_group),
-    )
-    split = ops.claims_split(by_org)
-    attributed = stage(
-        "p04_claims_splitting", ops.enrich_entity(ops.enrich_channel(split, src.plan_channel), src.entity_type)
-    )
-    return ClaimStages(
-        cohort=rows,
-        monthly=monthly,
-        by_npi=ops.claims_by_npi(enriched),
-        by_org=by_org,
-        split=split,
-        attributed=attributed,
-        yearly=ops.rollup_year(attributed, year),
-        crosstab=ops.facility_plan_crosstab(attributed),
-        plan_mix=ops.plan_mix(ops.claims_per_plan(rows), src.plan),
-        drug_ranking=ops.drug_ranking(rows, src.drug, top),
-    )
-
-
-def publish(stages: ClaimStages, tables: dict[str, tuple[str, str]], exports: dict[str, str]) -> None:
+
+    src: ClaimSources
+    selection: Cohort
+    year: int
+    workdir: str | None = None
+    exact_cents: bool = False
+    top: int = 200
+
+    def _stage(self, name: str, df: DataFrame) -> DataFrame:
+        return materialize(df, f"{self.workdir.rstrip('/')}/{name}") if self.workdir else df
+
+    @cached_property
+    def cohort(self) -> DataFrame:
+        """The slices are united before the join, so the drug side is prepared once."""
+        rows = ops.cohort_union(*self.src.slices)
+        if self.selection.areas:
+            rows = ops.cohort_by_area(rows, self.src.drug, self.src.ndc_map, self.selection.areas)
+        else:
+            rows = ops.cohort_by_name(rows, self.src.drug, self.selection.patterns)
+        return self._stage("p01_subset", rows)
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        how = "left" if self.selection.areas else "inner"
+        rows = ops.monthly_physician_plan(self.cohort, self.src.drug, how, self.selection.area, self.exact_cents)
+        if self.src.product_class is not None:
+            rows = ops.enrich_class(rows, self.src.product_class)
+        return self._stage("p02_phy_plan", rows)
+
+    @cached_property
+    def by_npi(self) -> DataFrame:
+        src = self.src
+        profile = ops.affiliation_profile(src.affiliation, src.hospital, src.physician_group)
+        rows = ops.enrich_physician(ops.enrich_plan(self.monthly, src.plan), src.physician)
+        return ops.claims_by_npi(ops.enrich_affiliation(rows, profile))
+
+    @cached_property
+    def by_org(self) -> DataFrame:
+        src = self.src
+        dims = (src.plan, src.physician, src.affiliation, src.hospital, src.physician_group)
+        return self._stage("p04_claims_child", ops.org_claims(self.monthly, *dims))
+
+    @cached_property
+    def split(self) -> DataFrame:
+        return ops.claims_split(self.by_org)
+
+    @cached_property
+    def attributed(self) -> DataFrame:
+        rows = ops.enrich_entity(ops.enrich_channel(self.split, self.src.plan_channel), self.src.entity_type)
+        return self._stage("p04_claims_splitting", rows)
+
+    @cached_property
+    def yearly(self) -> DataFrame:
+        return ops.rollup_year(self.attributed, self.year)
+
+    @cached_property
+    def crosstab(self) -> DataFrame:
+        return ops.facility_plan_crosstab(self.attributed)
+
+    @cached_property
+    def plan_mix(self) -> DataFrame:
+        return ops.plan_mix(ops.claims_per_plan(self.cohort), self.src.plan)
+
+    @cached_property
+    def drug_ranking(self) -> DataFrame:
+        return ops.drug_ranking(self.cohort, self.src.drug, self.top)
+
+    def items(self) -> list[tuple[str, DataFrame]]:
+        return [(name, getattr(self, name)) for name in STAGES]
+
+
+def publish(run: ClaimRun, tables: dict[str, tuple[str, str]], exports: dict[str, str]) -> None:
     """Save stages as external tables (``stage -> (name, path)``) and as CSV files (``stage -> path``)."""
-    by_name = dict(stages.items())
     for stage, (name, path) in tables.items():
-        save_table(by_name[stage], name, path)
+        save_table(getattr(run, stage), name, path)
     for stage, path in exports.items():
-        export_csv(by_name[stage], path)
+        export_csv(getattr(run, stage), path)

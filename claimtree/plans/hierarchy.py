@@ -35,7 +35,7 @@ def hierarchy_nodes(
     nodes = tree.build_nodes(rows, meta, order)
     if not meta.has_primary:
         return nodes
-    bad = tree.conflicting_children(tree.build_edges(wide, meta, order), meta)
+    bad = tree.conflicting_children(tree.build_edges(wide, meta, order, attributes=[]), meta)
     return tree.exclude(nodes, materialize(bad, scratch_path(wide.sparkSession, "conflicts")))
 
 

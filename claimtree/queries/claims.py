@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from claimtree.functions.codes import month_bucket, pad_code
 from claimtree.operators import claims as ops
-from claimtree.plans.attribution import ClaimSources, Cohort, attribute_claims
+from claimtree.plans.attribution import ClaimSources, Cohort, ClaimRun
 from claimtree.queries.fixtures import Inputs
 from claimtree.queries.oracle import check
 from claimtree.session import scratch_path
@@ -221,12 +221,12 @@ def _(t):
 
 @query("claims_attribution_by_name", "SELECT * FROM p04_full")
 def _(t):
-    return attribute_claims(sources(t), Cohort(patterns=PATTERNS), YEAR, exact_cents=True).attributed
+    return ClaimRun(sources(t), Cohort(patterns=PATTERNS), YEAR, exact_cents=True).attributed
 
 
 @query("claims_attribution_by_area", "SELECT * FROM p04_area_full")
 def _(t):
-    run = attribute_claims(sources(t, True), Cohort(areas=AREAS, area=AREA), YEAR, exact_cents=True)
+    run = ClaimRun(sources(t, True), Cohort(areas=AREAS, area=AREA), YEAR, exact_cents=True)
     return run.attributed
 
 

@@ -54,17 +54,21 @@ def label(path: str = "path") -> Column:
     return F.array_join(path, "/").alias(path)
 
 
-def nodes(t: Inputs):
+def nodes(t: Inputs, *attributes: str):
+    return tree.build_nodes(t.hier, META, attributes=attributes)
+
+
+def all_nodes(t: Inputs):
     return tree.build_nodes(t.hier, META)
 
 
-def stored_nodes(t: Inputs):
+def stored_nodes(t: Inputs, *attributes: str):
     """The node table as a stage file, for operators that read it three times or more."""
-    return materialize(nodes(t), scratch_path(t.spark, "nodes"))
+    return materialize(nodes(t, *attributes), scratch_path(t.spark, "nodes"))
 
 
-def edges(t: Inputs):
-    return tree.build_edges(t.hier, META)
+def edges(t: Inputs, *attributes: str):
+    return tree.build_edges(t.hier, META, attributes=attributes)
 
 
 def path_of(rows, node_id: str) -> list[str]:
@@ -112,7 +116,7 @@ def _(t):
 
 @query("hier_nodes", "SELECT {node} FROM nodes")
 def _(t):
-    return nodes(t).select(label(), *NODE_COLUMNS)
+    return all_nodes(t).select(label(), *NODE_COLUMNS)
 
 
 @query("hier_leaf", "SELECT path FROM nodes n WHERE NOT EXISTS (SELECT 1 FROM nodes c WHERE c.parent_path = n.path)")
@@ -123,7 +127,7 @@ def _(t):
 @query("hier_edges", "SELECT child_id, parent_id, row_order, level, PrimaryFlag, RelationType, EntityName, Balance FROM edges")
 def _(t):
     columns = ["child_id", "parent_id", "row_order", "level", "PrimaryFlag", "RelationType", "EntityName", "Balance"]
-    return edges(t).select(*columns)
+    return edges(t, "EntityName", "Balance").select(*columns)
 
 
 @query("hier_conflicts", "SELECT child_id, primary_parents FROM conflicts")
@@ -153,7 +157,7 @@ def _(t):
        FROM edges JOIN (SELECT child_id, count(*) AS n FROM edges GROUP BY 1) USING (child_id)""",
 )
 def _(t):
-    return tree.parents_of(edges(t), META).select("child_id", "parent_id", "EntityName", "n_parents", "is_primary_parent")
+    return tree.parents_of(edges(t, "EntityName"), META).select("child_id", "parent_id", "EntityName", "n_parents", "is_primary_parent")
 
 
 @query("hier_child_count", "SELECT parent_path AS path, count(DISTINCT node_id) AS child_count FROM nodes WHERE depth > 1 GROUP BY 1")
@@ -163,7 +167,7 @@ def _(t):
 
 @query("hier_filled_flag", "SELECT path, lower(RelationType) LIKE '%filled%' AS is_filled FROM nodes WHERE RelationType IS NOT NULL")
 def _(t):
-    rows = nodes(t).where(F.col("RelationType").isNotNull())
+    rows = nodes(t, "RelationType").where(F.col("RelationType").isNotNull())
     return rows.select(label(), is_filled(F.col("RelationType")).alias("is_filled"))
 
 
@@ -173,7 +177,7 @@ def _(t):
 @query("hier_prune", """SELECT path, depth FROM nodes n WHERE depth = 1 OR EXISTS (SELECT 1 FROM nodes m
        WHERE m.Tier IN ('High', 'HIGH') AND (m.path = n.path OR starts_with(m.path, n.path || '/')))""")
 def _(t):
-    return tree.prune(nodes(t), "Tier", ["High", "HIGH"]).select(label(), "depth")
+    return tree.prune(nodes(t, "Tier"), "Tier", ["High", "HIGH"]).select(label(), "depth")
 
 
 @query(
@@ -186,7 +190,7 @@ def _(t):
        WHERE n.depth <= 2 OR n.Tier IN ('High', 'medium')""",
 )
 def _(t):
-    rows = tree.promote(nodes(t), "Tier", ["High", "medium"], META.max_depth)
+    rows = tree.promote(nodes(t, "Tier"), "Tier", ["High", "medium"], META.max_depth)
     return rows.select("node_id", label(), label("parent_path"), "depth")
 
 
@@ -194,13 +198,13 @@ def _(t):
        (SELECT Balance, unnest(CASE depth WHEN 1 THEN [p1] WHEN 2 THEN [p1, p2] WHEN 3 THEN [p1, p2, p3]
           ELSE [p1, p2, p3, p4] END) AS up FROM nodes) d ON d.up = n.path GROUP BY 1""")
 def _(t):
-    return tree.rollup(nodes(t), ["Balance"]).select(label(), "Balance")
+    return tree.rollup(nodes(t, "Balance"), ["Balance"]).select(label(), "Balance")
 
 
 @query("hier_subtree", """SELECT substr(path, length(p1) + 2) AS path, depth - 1 AS depth, a2 AS root, Balance FROM nodes
        WHERE a2 = 'N7'""")
 def _(t):
-    rows = nodes(t)
+    rows = nodes(t, "Balance")
     return tree.subtree(rows, path_of(rows, "N7")).select(label(), "depth", "root", "Balance")
 
 
@@ -217,12 +221,12 @@ def _(t):
 
 @query("hier_sort_name", "SELECT path, position FROM by_name")
 def _(t):
-    return tree_order.sort_by_name(nodes(t), META).select(label(), "position")
+    return tree_order.sort_by_name(nodes(t, "EntityName"), META).select(label(), "position")
 
 
 @query("hier_sort_metric", "SELECT path, position FROM by_balance")
 def _(t):
-    return tree_order.sort_by_metric(nodes(t), META, "Balance").select(label(), "position")
+    return tree_order.sort_by_metric(nodes(t, "EntityName", "Balance"), META, "Balance").select(label(), "position")
 
 
 @query(
@@ -232,7 +236,7 @@ def _(t):
        FROM nodes""",
 )
 def _(t):
-    return tree_order.sort_by_metric(nodes(t), META, "Tier").select(label(), "position")
+    return tree_order.sort_by_metric(nodes(t, "EntityName", "Tier"), META, "Tier").select(label(), "position")
 
 
 @query(
@@ -242,13 +246,13 @@ def _(t):
 )
 def _(t):
     columns = ["position", "page_no", "total_pages", "has_prev", "has_next"]
-    return tree_order.pages(nodes(t), name_order()).select(label(), *columns)
+    return tree_order.pages(nodes(t, "EntityName"), name_order()).select(label(), *columns)
 
 
 @query("hier_preorder", """SELECT path, CAST(row_number() OVER (PARTITION BY root ORDER BY s1 NULLS FIRST, s2 NULLS FIRST,
        s3 NULLS FIRST, s4 NULLS FIRST) AS INTEGER) AS preorder FROM steps""")
 def _(t):
-    return tree_order.preorder(stored_nodes(t), name_order(), META.max_depth).select(label(), "preorder")
+    return tree_order.preorder(stored_nodes(t, "EntityName"), name_order(), META.max_depth).select(label(), "preorder")
 
 
 @query(
@@ -258,23 +262,23 @@ def _(t):
        ON n.path IN (o.p1, o.p2, o.p3, o.p4)""",
 )
 def _(t):
-    rows = nodes(t)
+    rows = nodes(t, "EntityName")
     return tree_order.locate(rows, path_of(rows, "O0"), name_order())
 
 
 @query("hier_visible", "SELECT path, position FROM by_name WHERE depth = 1 OR (depth = 2 AND position <= 3)")
 def _(t):
-    return tree_order.visible(nodes(t), name_order()).select(label(), "position")
+    return tree_order.visible(nodes(t, "EntityName"), name_order()).select(label(), "position")
 
 
 @query("hier_to_depth", "SELECT path, position FROM shown")
 def _(t):
-    return tree_order.to_depth(stored_nodes(t), META.max_depth, name_order()).select(label(), "position")
+    return tree_order.to_depth(stored_nodes(t, "EntityName"), META.max_depth, name_order()).select(label(), "position")
 
 
 @query("hier_nested", None)
 def _(t):
-    return tree_view.nest(stored_nodes(t), META, name_order())
+    return tree_view.nest(stored_nodes(t, "EntityName", "RelationType", "Balance"), META, name_order())
 
 
 # --- what a reader sees
@@ -287,13 +291,13 @@ def _(t):
        FROM nodes WHERE lower(EntityName) LIKE '%omer#00000%' AND EntityName NOT LIKE '%(Filled)%'""",
 )
 def _(t):
-    found = tree_view.search(nodes(t), META, " omer#00000", SEARCH_TEXT)
+    found = tree_view.search(nodes(t, "EntityName", "RelationType", "Tier"), META, " omer#00000", SEARCH_TEXT)
     return found.select(label(), "title", "subtitle", "caption")
 
 
 @query("hier_search_total", "SELECT count(*) AS results FROM nodes WHERE lower(EntityName) LIKE '%urgent%'")
 def _(t):
-    return tree_view.search(nodes(t), META, "URGENT").agg(F.count("*").alias("results"))
+    return tree_view.search(nodes(t, "EntityName"), META, "URGENT").agg(F.count("*").alias("results"))
 
 
 @query(
@@ -304,7 +308,7 @@ def _(t):
        FROM (SELECT *, {title}(concat(EntityName, ' (', node_id, ')')) AS full_title FROM nodes) WHERE Balance IS NOT NULL""",
 )
 def _(t):
-    rows = nodes(t).where(F.col("Balance").isNotNull())
+    rows = nodes(t, "EntityName", "RelationType", "Balance").where(F.col("Balance").isNotNull())
     return tree_view.node_cards(rows, META, TEXT, "Balance").select(label(), "title", "subtitle", "caption")
 
 
@@ -318,7 +322,7 @@ def _(t):
        UNION ALL SELECT path, 'Profile', 4, 'Tier', 'Tier', concat('tier <', Tier, '>') FROM nodes WHERE Tier IS NOT NULL)""",
 )
 def _(t):
-    rows = tree_view.detail_rows(nodes(t), META, "Finance | Profile", "Rate")
+    rows = tree_view.detail_rows(nodes(t, "Balance", "Rate", "RelationType", "Tier"), META, "Finance | Profile", "Rate")
     return rows.select(label(), "category", "item", "field", "label", "text", "is_selected")
 
 
@@ -328,18 +332,18 @@ def _(t):
        UNION ALL SELECT path, 'help', 'Help', '/help' FROM nodes""",
 )
 def _(t):
-    return tree_view.links(nodes(t), META, LINKS).select(label(), "link", "link_text", "href")
+    return tree_view.links(nodes(t, "EntityName"), META, LINKS).select(label(), "link", "link_text", "href")
 
 
 @query("relation_legend", "SELECT relation_type, ordinal, colour FROM legend")
 def _(t):
-    return tree_view.relation_legend(stored_nodes(t), META)
+    return tree_view.relation_legend(stored_nodes(t, "RelationType"), META)
 
 
 @query("hier_links_coloured", """SELECT parent_path AS source, path AS target, RelationType, colour FROM nodes
        LEFT JOIN legend ON relation_type = RelationType WHERE depth > 1""")
 def _(t):
-    rows = stored_nodes(t)
+    rows = stored_nodes(t, "RelationType")
     drawn = tree_view.edge_list(rows, META, tree_view.relation_legend(rows, META))
     return drawn.select(label("source"), label("target"), "RelationType", "colour")
 
@@ -348,7 +352,7 @@ def _(t):
        (SELECT value, arg_max(path, image_order) AS path FROM fx_images WHERE view = 'node' GROUP BY 1) i
        ON n.RelationType = i.value""")
 def _(t):
-    found = tree_view.image_lookup(nodes(t), t.images, "node", "RelationType", "image_order")
+    found = tree_view.image_lookup(nodes(t, "RelationType"), t.images, "node", "RelationType", "image_order")
     return found.select(label(), "image_path")
 
 

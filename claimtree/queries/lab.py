@@ -101,7 +101,7 @@ def _(t):
          lower(regexp_extract(w, '(?s)^([^A-Za-z]*)([A-Za-z]?)(.*)$', 3)))), ' ') AS title FROM documents""",
 )
 def _(t):
-    return t.table("documents").select("doc_id", tx.title_case(F.col("text")).alias("title"))
+    return tables.spread(t.table("documents")).select("doc_id", tx.title_case(F.col("text")).alias("title"))
 
 
 @query(
@@ -159,7 +159,7 @@ def _(t):
        FROM (SELECT doc_id, text, substr(text, 1, 70) AS head FROM documents)""",
 )
 def _(t):
-    return t.table("documents").select("doc_id", tx.trim_title(F.col("text")).alias("title"))
+    return tables.spread(t.table("documents")).select("doc_id", tx.trim_title(F.col("text")).alias("title"))
 
 
 @query(

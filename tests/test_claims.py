@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from claimtree.functions.codes import month_bucket, pad_code
 from claimtree.operators import claims as ops
-from claimtree.plans.attribution import ClaimSources, Cohort, attribute_claims, publish
+from claimtree.plans.attribution import ClaimSources, Cohort, ClaimRun, publish
 from claimtree.queries import claims as registered
 from claimtree.queries.fixtures import Inputs
 
@@ -151,8 +151,8 @@ def test_group_by_measures_keeps_totals(spark):
 def test_run_with_stage_files_and_publishing(spark, tmp_path):
     t = Inputs(spark, SMALL)
     src = registered.sources(t)
-    lazy = attribute_claims(src, Cohort(patterns=["ring"]), 1999, exact_cents=True)
-    stored = attribute_claims(src, Cohort(patterns=["ring"]), 1999, str(tmp_path / "run"), exact_cents=True)
+    lazy = ClaimRun(src, Cohort(patterns=["ring"]), 1999, exact_cents=True)
+    stored = ClaimRun(src, Cohort(patterns=["ring"]), 1999, str(tmp_path / "run"), exact_cents=True)
     for (name, a), (_, b) in zip(lazy.items(), stored.items()):
         assert a.columns == b.columns and a.count() == b.count(), name
     assert stored.yearly.count() > 0
