@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from claimtree.session import scratch_path
 from claimtree.sources.sinks import materialize
@@ -45,37 +45,66 @@ def ranked(
     position: str = "position",
     total: str | None = None,
     group_rows: int = GROUP_ROWS,
+    running: tuple[str, str] | None = None,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """1-based ``position`` of each row in its group, and the group's row count as ``total``.
 
+    ``running=(column, name)`` also adds the sum of a column over the rows before this one.
     ``order`` must be unique inside a group. Groups are first counted (a partial aggregate over the
-    group columns only). While the largest fits one task, a window ranks them in one shuffle. If one
+    group columns only, of ``probe`` where that is a cheaper table with the same groups). While the largest fits one task, a window ranks them in one shuffle. If one
     is larger, all rows are range-sorted by group and order instead, which splits that group over
     many tasks, and positions are made from per-task counts.
     """
-    largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    if largest <= group_rows:
-        rows = df.withColumn(position, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-        return rows.withColumn(total, F.count("*").over(Window.partitionBy(*group))) if total else rows
-    return _ranked_by_range(df, group, order, position, total)
+    largest = (probe or df).groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    if largest > group_rows:
+        return _ranked_by_range(df, group, order, position, total, running)
+    whole = Window.partitionBy(*group)
+    added = {position: F.row_number().over(whole.orderBy(*order))}
+    if running:
+        added[running[1]] = sum_before(running[0], whole.orderBy(*order))
+    if total:
+        added[total] = F.count("*").over(whole)
+    return df.withColumns(added)
+
+
+def sum_before(column: str, window: WindowSpec) -> Column:
+    return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
 def _ranked_by_range(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], position: str, total: str | None
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    position: str,
+    total: str | None,
+    running: tuple[str, str] | None,
 ) -> DataFrame:
     # Ids grow by 1 inside a task and tasks are numbered in sort order. They must be stored before
     # use: the range bounds come from a sample, so a second run of the sort may cut elsewhere.
     spark = df.sparkSession
     sorted_rows = df.orderBy(*group, *order).withColumn("_id", F.monotonically_increasing_id())
     stored = materialize(sorted_rows, scratch_path(spark, "ranked")).withColumn("_task", F.shiftright("_id", 33))
-    pieces = stored.groupBy(*group, "_task").agg(F.min("_id").alias("_first"), F.count("*").alias("_rows"))
-    earlier = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    counts = [F.min("_id").alias("_first"), F.count("*").alias("_rows")]
+    if running:
+        counts.append(F.sum(running[0]).alias("_sum"))
+    pieces = stored.groupBy(*group, "_task").agg(*counts)
+    in_order = Window.partitionBy(*group).orderBy("_task")
+    pieces = pieces.withColumn("_before", sum_before("_rows", in_order))
+    carried = ["_first", "_before"]
+    if running:
+        pieces = pieces.withColumn("_sum_before", sum_before("_sum", in_order))
+        carried.append("_sum_before")
     if total:
         pieces = pieces.withColumn(total, F.sum("_rows").over(Window.partitionBy(*group)))
+        carried.append(total)
     keys = [*group, "_task"]
-    piece = pieces.select(*[F.col(k).alias(f"_piece_{k}") for k in keys], "_first", "_before", *([total] if total else []))
-    same = [F.col(k).eqNullSafe(F.col(f"_piece_{k}")) for k in keys]
-    joined = stored.join(piece, same)
-    rank = (F.col("_id") - F.col("_first") + F.col("_before") + 1).cast("int")
-    return joined.select(*df.columns, rank.alias(position), *([F.col(total)] if total else []))
+    piece = pieces.select(*[F.col(k).alias(f"_piece_{k}") for k in keys], *carried)
+    joined = stored.join(piece, [F.col(k).eqNullSafe(F.col(f"_piece_{k}")) for k in keys])
+    added = [(F.col("_id") - F.col("_first") + F.col("_before") + 1).cast("int").alias(position)]
+    if running:
+        inside = sum_before(running[0], Window.partitionBy(*keys).orderBy("_id"))
+        added.append((inside + F.col("_sum_before")).alias(running[1]))
+    if total:
+        added.append(F.col(total))
+    return joined.select(*df.columns, *added)

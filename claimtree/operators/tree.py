@@ -229,13 +229,14 @@ def attach_ancestors(
 ) -> DataFrame:
     """For each level add ``value`` of the node's ancestor at that level (NULL at or above it).
 
-    ``source`` holds one row per path, so a join never multiplies rows; the nodes below a large
+    ``source`` holds one row per path (a node that was built without children never gets any), so a join never multiplies rows; the nodes below a large
     ancestor are the side that adaptive execution may split. ``sizes`` gives the node count of each
     level where known, and a level that fits ``BROADCAST_BYTES`` is then joined without a shuffle.
     """
     for level in levels:
         key = f"_at_{level}"
-        above = source.where(F.col("depth") == level).select(F.col("path").alias(key), value.alias(name(level)))
+        inner = source.where((F.col("depth") == level) & F.col("has_children"))
+        above = inner.select(F.col("path").alias(key), value.alias(name(level)))
         if sizes is not None and sizes.get(level, 0) * ANCESTOR_BYTES <= BROADCAST_BYTES:
             above = F.broadcast(above)
         own = F.when(F.col("depth") > level, F.slice("parent_path", 1, level))
@@ -244,8 +245,8 @@ def attach_ancestors(
 
 
 def level_sizes(nodes: DataFrame) -> dict[int, int]:
-    """Node count per level: one row per level on the driver."""
-    return {r["depth"]: r["count"] for r in nodes.groupBy("depth").count().collect()}
+    """Count of nodes with children per level: one row per level on the driver."""
+    return {r["depth"]: r["count"] for r in nodes.where("has_children").groupBy("depth").count().collect()}
 
 
 def promote(nodes: DataFrame, field: str, values: str | Sequence[str] | None, max_depth: int) -> DataFrame:
@@ -281,13 +282,18 @@ def promote(nodes: DataFrame, field: str, values: str | Sequence[str] | None, ma
 def rollup(nodes: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Replace each metric by the sum over the node and everything below it.
 
-    Every node adds its value to all prefixes of its path; partial sums inside each task keep a large
-    root from meeting in one place.
+    Every node adds its value to all its ancestors; partial sums inside each task keep a large root
+    from meeting in one place. Only inner nodes have such a sum, so the joined side is small.
     """
-    spread = nodes.select(*metrics, F.explode(prefixes(F.col("path"))).alias("path"))
-    totals = spread.groupBy("path").agg(*[F.sum(m).alias(f"_{m}") for m in metrics])
-    joined = nodes.join(totals, "path")
-    return joined.select(*[F.col(f"_{c}").alias(c) if c in metrics else F.col(c) for c in nodes.columns])
+    above = nodes.where(F.col("depth") > 1).select(*metrics, F.explode(prefixes(F.col("parent_path"))).alias("_inner"))
+    totals = above.groupBy("_inner").agg(*[F.sum(m).alias(f"_{m}") for m in metrics])
+    joined = nodes.join(totals, F.col("path") == F.col("_inner"), "left")
+
+    def total(metric: str) -> Column:
+        both = F.coalesce(F.col(metric), F.lit(0)) + F.coalesce(F.col(f"_{metric}"), F.lit(0))
+        return F.when(F.col(metric).isNotNull() | F.col(f"_{metric}").isNotNull(), both).alias(metric)
+
+    return joined.select(*[total(c) if c in metrics else F.col(c) for c in nodes.columns])
 
 
 def subtree(nodes: DataFrame, path: Sequence[str]) -> DataFrame:

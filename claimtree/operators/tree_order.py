@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimtree.operators.metadata import HierarchyMeta
 from claimtree.operators.scale import GROUP_ROWS, ranked
 from claimtree.operators.tree import attach_ancestors, level_sizes
+from claimtree.session import scratch_path
+from claimtree.sources.sinks import materialize
 
 # Rank of text tiers, and nodes per page.
 TIER_RANK = {"high": 3, "medium": 2, "low": 1}
@@ -20,9 +23,12 @@ SIBLINGS = ["parent_path", "sibling_root"]
 
 
 def name_order(meta: HierarchyMeta, collation: str | None = None) -> list[Column]:
-    """Ascending keys by name, ties by path. ``collation='UNICODE'`` orders as a reader would."""
+    """Ascending keys by name, ties by the last step of the path, which is unique among siblings.
+
+    ``collation='UNICODE'`` orders as a reader would.
+    """
     name = F.coalesce(F.col(meta.name_key), F.lit(""))
-    return [F.collate(name, collation) if collation else name, F.col("path")]
+    return [F.collate(name, collation) if collation else name, F.element_at("path", -1)]
 
 
 def metric_order(meta: HierarchyMeta, metric: str, dtype: str | None = None) -> list[Column]:
@@ -88,35 +94,43 @@ def visible(nodes: DataFrame, order: Sequence[Column], page: int = 1, size: int
 
 
 def to_depth(nodes: DataFrame, depth: int, order: Sequence[Column], page: int = 1, size: int = PAGE_SIZE) -> DataFrame:
-    """Nodes shown when all is expanded down to ``depth``: every step of the path is on its page."""
+    """Nodes shown when all is expanded down to ``depth``: every step of the path is on its page.
+
+    The nodes on their parent's page are stored, since each level of the path is looked up in them.
+    """
     shown = on_page(nodes.where(F.col("depth") <= depth), order, page, size)
+    if depth > 2:
+        shown = materialize(shown, scratch_path(nodes.sparkSession, "shown"))
     rows = attach_ancestors(shown, shown, range(2, depth), F.lit(1), lambda k: f"_shown_{k}")
     for level in range(2, depth):
         rows = rows.where((F.col("depth") <= level) | F.col(f"_shown_{level}").isNotNull()).drop(f"_shown_{level}")
     return rows
 
 
-def order_path(nodes: DataFrame, order: Sequence[Column], max_depth: int) -> DataFrame:
-    """Add ``order_path``: the order keys of the node's ancestors and itself, top down.
-
-    Arrays compare element by element and a prefix comes first, so sorting by it is pre-order. Pass
-    stored nodes: they are read once to count the levels and once per level.
-    """
-    keyed = nodes.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)]))
-    above = keyed.select("path", "depth", "_key")
-    levels = range(1, max_depth)
-    rows = attach_ancestors(keyed, above, levels, F.col("_key"), lambda k: f"_key_{k}", level_sizes(nodes))
-    steps = [F.col(f"_key_{k}") for k in levels] + [F.col("_key")]
-    full = F.filter(F.array(*steps), lambda s: s.isNotNull())
-    return rows.withColumn("order_path", full).drop("_key", *[f"_key_{k}" for k in levels])
-
-
 def preorder(
     nodes: DataFrame, order: Sequence[Column], max_depth: int, start: int = 1, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
-    """Depth-first number of every node inside its tree."""
-    placed = ranked(order_path(nodes, order, max_depth), ["root"], [F.col("order_path")], "_n", None, group_rows)
-    return placed.withColumn("preorder", F.col("_n") + (start - 1)).drop("_n", "order_path")
+    """Depth-first number of every node inside its tree.
+
+    A node comes after its parent, and after the whole sub-trees of the siblings before it. So the
+    number is a sum over the path of such sub-tree sizes, and siblings are all that must be sorted:
+    no task ever holds a whole tree. Pass stored nodes, as they are read several times; the sibling
+    sums are stored for the same reason.
+    """
+    strict = F.transform(F.sequence(F.lit(1), F.size("parent_path")), lambda k: F.slice("parent_path", F.lit(1), k))
+    below = nodes.where(F.col("depth") > 1).select(F.explode(strict).alias("_inner")).groupBy("_inner")
+    below = below.agg(F.count("*").alias("_below"))
+    sized = nodes.join(below, F.col("path") == F.col("_inner"), "left").drop("_inner")
+    sized = _by_sibling(sized).withColumn("_size", F.coalesce("_below", F.lit(0)) + 1)
+    running = ("_size", "_earlier")
+    placed = ranked(sized, SIBLINGS, order, "_position", None, group_rows, running, _by_sibling(nodes))
+    step = F.when(F.col("depth") > 1, F.col("_earlier") + 1).otherwise(0)
+    placed = placed.select(*nodes.columns, step.alias("_step"))
+    placed = materialize(placed, scratch_path(nodes.sparkSession, "siblings"))
+    levels = range(2, max_depth)
+    rows = attach_ancestors(placed, placed, levels, F.col("_step"), lambda k: f"_step_{k}", level_sizes(placed))
+    steps = [F.col("_step"), *[F.coalesce(f"_step_{k}", F.lit(0)) for k in levels]]
+    return rows.select(*nodes.columns, (reduce(Column.__add__, steps) + start).alias("preorder"))
 
 
 def locate(nodes: DataFrame, path: Sequence[str], order: Sequence[Column], size: int = PAGE_SIZE) -> DataFrame:
