@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from claimtree.operators import tree, tree_order
@@ -39,10 +41,16 @@ def hierarchy_nodes(
     return tree.exclude(nodes, materialize(bad, scratch_path(wide.sparkSession, "conflicts")))
 
 
+def no_node_filter(value: str | Sequence[str] | None) -> bool:
+    """Node filters are off when their first value says so, whatever follows it."""
+    first = value if value is None or isinstance(value, str) else next(iter(value), None)
+    return filter_values(first) is None
+
+
 def arrange(nodes: DataFrame, meta: HierarchyMeta, config: dict, params: dict) -> DataFrame:
     """Node filters (prune, or promote where the setting says so), then sibling positions."""
     for name, setting in config.get("filters", {}).get(NODE_FILTERS, {}).items():
-        if filter_values(params[name]) is None:
+        if no_node_filter(params[name]):
             continue
         if str(setting["parameters"]).lower() == "true":
             nodes = tree.promote(nodes, setting["value"], params[name], meta.max_depth)

@@ -9,6 +9,7 @@ from claimtree.operators import claims as ops
 from claimtree.plans.attribution import ClaimSources, Cohort, ClaimRun
 from claimtree.queries.fixtures import Inputs
 from claimtree.queries.oracle import check
+from claimtree.queries.registry import Registry
 from claimtree.session import scratch_path
 from claimtree.sources import sinks, tables
 
@@ -21,15 +22,8 @@ CLAIM_COLUMNS = [
     "claim_id", "patient_id", "physician_id", "drug_id", "plan_id", "rx_fill_date", "days_supply",
     "patient_pay", "plan_pay", "claim_status", "final_claim_ind", "slice",
 ]
-QUERIES: dict = {}
-
-
-def query(name: str, sql: str | None):
-    def register(fn):
-        QUERIES[name] = (lambda spark, folder: fn(Inputs(spark, folder)), check(sql) if sql else None)
-        return fn
-
-    return register
+QUERIES = Registry(check)
+query = QUERIES.query
 
 
 def cohort(t: Inputs):
@@ -293,6 +287,27 @@ def _(t):
     return ops.reconcile(before, ops.claims_split(before), ops.SPLIT_MEASURES)
 
 
+@query(
+    "reconcile_stages",
+    """SELECT measure, before_total, after_total, after_total - before_total AS diff FROM (
+       SELECT 'claim_count' AS measure, (SELECT sum(claim_count)::DOUBLE FROM p03_rows) AS before_total, (SELECT sum(claim_count)::DOUBLE FROM p04) AS after_total
+       UNION ALL SELECT 'patient_count', (SELECT sum(patient_count)::DOUBLE FROM p03_rows), (SELECT sum(patient_count)::DOUBLE FROM p04))""",
+)
+def _(t):
+    rows = sinks.materialize(enriched(t), scratch_path(t.spark, "p03_phy_plan"))
+    return ops.reconcile(ops.claims_by_npi(rows), ops.claims_by_org(rows), ops.COUNTS)
+
+
+@query(
+    "patient_recount",
+    f"""SELECT hospital_id, pg_id, strftime(strptime(rx_fill_date, '%m-%d-%Y'), '%Y-%m') AS month, count(DISTINCT patient_id) AS patients
+       FROM p01 LEFT JOIN fx_physician d USING (physician_id) LEFT JOIN fx_affiliation a ON a.npi = d.npi
+       WHERE {{valid}} GROUP BY 1, 2, 3""",
+)
+def _(t):
+    return ops.patient_recount(cohort(t), t.physician, t.affiliation, ["hospital_id", "pg_id", "month"])
+
+
 @query("dim_fanout", "SELECT drug_name, count(*) AS rows_per_key FROM fx_drug GROUP BY 1 HAVING count(*) > 1")
 def _(t):
     return ops.dim_fanout(t.drug, ["drug_name"])

@@ -9,10 +9,12 @@ from claimtree.operators import metadata, tree, tree_order, tree_view
 from claimtree.plans.hierarchy import hierarchy_view
 from claimtree.queries.fixtures import HIER_META as META, Inputs
 from claimtree.queries.hierarchy_oracle import check
+from claimtree.queries.registry import Registry
 from claimtree.session import scratch_path
 from claimtree.sources.sinks import materialize
 
-QUERIES: dict = {}
+QUERIES = Registry(check)
+query = QUERIES.query
 # Settings of the hierarchy queries.
 CONFIG = {
     "filters": {
@@ -38,14 +40,6 @@ NODE_COLUMNS = [
 ]
 
 
-def query(name: str, sql: str | None):
-    def register(fn):
-        QUERIES[name] = (lambda spark, folder: fn(Inputs(spark, folder)), check(sql) if sql else None)
-        return fn
-
-    return register
-
-
 def name_order() -> list[Column]:
     return tree_order.name_order(META)
 

@@ -8,22 +8,16 @@ from claimtree.functions import text as tx
 from claimtree.plans import pushdown as lab
 from claimtree.queries.fixtures import Inputs
 from claimtree.queries.oracle import check
+from claimtree.queries.registry import Registry
 from claimtree.session import scratch_path
 from claimtree.sources import sinks, tables
 
 CITY, YEAR = 7, 1997
-QUERIES: dict = {}
+QUERIES = Registry(check)
+query = QUERIES.query
 _partitioned: dict[tuple[str, str], str] = {}
 
 
-def query(name: str, sql: str | None):
-    def register(fn):
-        QUERIES[name] = (lambda spark, folder: fn(Inputs(spark, folder)), check(sql) if sql else None)
-        return fn
-
-    return register
-
-
 def partitioned_sales(t: Inputs) -> DataFrame:
     """The sales table stored by year, written once per application and folder."""
     key = (t.spark.sparkContext.applicationId, t.folder)

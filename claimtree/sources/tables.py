@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -62,7 +63,8 @@ def resolve_column(df: DataFrame, name: str) -> str:
     """The column called ``name`` or, for ``snake_case`` names, its ``Title Case`` spelling."""
     if name in df.columns:
         return name
-    titled = " ".join(w[:1].upper() + w[1:].lower() for w in name.split("_"))
+    words = [re.match("([^A-Za-z]*)(.?)(.*)", w, re.DOTALL).groups() for w in name.split("_")]
+    titled = " ".join(lead + first.upper() + rest.lower() for lead, first, rest in words)
     if titled in df.columns:
         return titled
     raise ValueError(f"no column {name!r} or {titled!r} among {df.columns}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+import os
 import sys
 import time
 from collections import Counter
@@ -54,8 +54,6 @@ def compare(spark_df, con, sql) -> list[str]:
 
 
 def main() -> None:
-    import os
-
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import __spark_entry__ as entry
     from claimtree.session import build_session
