@@ -214,7 +214,7 @@ def prune(nodes: DataFrame, field: str, values: str | Sequence[str] | None) -> D
     wanted = filter_values(values)
     if wanted is None:
         return nodes
-    matching = nodes.where(F.col(field).isin(wanted) | (F.col("depth") == 1))
+    matching = nodes.where(F.col(field).cast("string").isin(wanted) | (F.col("depth") == 1))
     kept = matching.select(F.explode(prefixes(F.col("path"))).alias("path")).distinct()
     return nodes.join(kept, "path", "left_semi")
 
@@ -258,7 +258,7 @@ def promote(nodes: DataFrame, field: str, values: str | Sequence[str] | None, ma
     wanted = filter_values(values)
     if wanted is None:
         return nodes
-    kept = nodes.where((F.col("depth") <= 2) | F.col(field).isin(wanted))
+    kept = nodes.where((F.col("depth") <= 2) | F.col(field).cast("string").isin(wanted))
     rows = attach_ancestors(kept, kept, range(3, max_depth), F.lit(True), lambda k: f"_kept_{k}")
 
     def step(level: int) -> Column:

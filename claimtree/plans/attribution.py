@@ -71,7 +71,7 @@ class ClaimRun:
             rows = ops.cohort_by_area(rows, self.src.drug, self.src.ndc_map, self.selection.areas)
         else:
             rows = ops.cohort_by_name(rows, self.src.drug, self.selection.patterns)
-        return self._stage("p01_subset", rows)
+        return self._stage("cohort", rows)
 
     @cached_property
     def monthly(self) -> DataFrame:
@@ -79,7 +79,7 @@ class ClaimRun:
         rows = ops.monthly_physician_plan(self.cohort, self.src.drug, how, self.selection.area, self.exact_cents)
         if self.src.product_class is not None:
             rows = ops.enrich_class(rows, self.src.product_class)
-        return self._stage("p02_phy_plan", rows)
+        return self._stage("monthly", rows)
 
     @cached_property
     def by_npi(self) -> DataFrame:
@@ -92,7 +92,7 @@ class ClaimRun:
     def by_org(self) -> DataFrame:
         src = self.src
         dims = (src.plan, src.physician, src.affiliation, src.hospital, src.physician_group)
-        return self._stage("p04_claims_child", ops.org_claims(self.monthly, *dims))
+        return self._stage("by_org", ops.org_claims(self.monthly, *dims))
 
     @cached_property
     def split(self) -> DataFrame:
@@ -101,7 +101,7 @@ class ClaimRun:
     @cached_property
     def attributed(self) -> DataFrame:
         rows = ops.enrich_entity(ops.enrich_channel(self.split, self.src.plan_channel), self.src.entity_type)
-        return self._stage("p04_claims_splitting", rows)
+        return self._stage("attributed", rows)
 
     @cached_property
     def yearly(self) -> DataFrame:

@@ -283,7 +283,7 @@ def _(t):
        UNION ALL SELECT 'plan_pay_norm', (SELECT sum(plan_pay_norm)::DOUBLE FROM p04), (SELECT sum(plan_pay_norm) FROM p04_split))""",
 )
 def _(t):
-    before = sinks.materialize(by_org(t), scratch_path(t.spark, "p04_claims_child"))
+    before = sinks.materialize(by_org(t), scratch_path(t.spark, "by_org"))
     return ops.reconcile(before, ops.claims_split(before), ops.SPLIT_MEASURES)
 
 
@@ -294,7 +294,7 @@ def _(t):
        UNION ALL SELECT 'patient_count', (SELECT sum(patient_count)::DOUBLE FROM p03_rows), (SELECT sum(patient_count)::DOUBLE FROM p04))""",
 )
 def _(t):
-    rows = sinks.materialize(enriched(t), scratch_path(t.spark, "p03_phy_plan"))
+    rows = sinks.materialize(enriched(t), scratch_path(t.spark, "enriched"))
     return ops.reconcile(ops.claims_by_npi(rows), ops.claims_by_org(rows), ops.COUNTS)
 
 
@@ -336,7 +336,7 @@ def _(t):
 
 @query("stage_materialize", f"SELECT {', '.join(CLAIM_COLUMNS)} FROM p01")
 def _(t):
-    return sinks.materialize(cohort(t).select(*CLAIM_COLUMNS), scratch_path(t.spark, "p01_subset"))
+    return sinks.materialize(cohort(t).select(*CLAIM_COLUMNS), scratch_path(t.spark, "cohort"))
 
 
 @query(

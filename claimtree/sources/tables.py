@@ -30,12 +30,12 @@ def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table stored in fewer files than there are cores; otherwise leave it alone.
+    """Use all cores on a table whose scan has fewer tasks than there are cores; otherwise leave it alone.
 
     A file of one row group is read by one task, and so is all that follows up to the next shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 # Replacements for column names, applied in this order.

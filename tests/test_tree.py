@@ -180,6 +180,8 @@ def test_parents(case):
 def test_prune(case):
     model, _, nodes, _ = case
     assert paths(tree.prune(nodes, "RelationType", ["Managed"])) == model.prune({"Managed"})
+    pay = str(max(v["pay"] for v in model.nodes.values()))
+    assert paths(tree.prune(nodes, "Pay", pay)) > set(model.roots())
     for none in (None, "All", "", [], ["none"]):
         assert tree.prune(nodes, "RelationType", none) is nodes
 
