@@ -59,6 +59,17 @@ def apply_filters(wide: DataFrame, meta: HierarchyMeta, spec: Sequence[tuple[str
     return reduce(lambda df, one: filter_levels(df, meta, *one), spec, wide)
 
 
+def first_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of every key by the order columns, which make it unique inside the key.
+
+    A text-bearing minimum is aggregated by sorting; the hash in front of the key makes that sort
+    compare longs.
+    """
+    rest = [c for c in df.columns if c not in (*keys, *order)]
+    keyed = df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
+    return keyed.agg(F.min(F.struct(*order, *rest)).alias("_first")).select(*keys, "_first.*")
+
+
 # --- nodes and edges ------------------------------------------------------------------------------
 
 
@@ -145,8 +156,7 @@ def build_edges(
         edge = F.struct(ids[level - 1].alias("child_id"), ids[level - 2].alias("parent_id"), seen.alias("seen"))
         levels.append(F.when(held & ~F.coalesce(is_filled(relation), F.lit(False)), edge))
     rows = wide.select(F.explode(F.filter(F.array(*levels), lambda e: e.isNotNull())).alias("e")).select("e.*")
-    keyed = rows.groupBy(F.xxhash64("child_id", "parent_id").alias("_hash"), "child_id", "parent_id")
-    return keyed.agg(F.min("seen").alias("seen")).select("child_id", "parent_id", "seen.*")
+    return first_seen(rows.select("child_id", "parent_id", "seen.*"), ["child_id", "parent_id"], ["row_order", "level"])
 
 
 def conflicting_children(edges: DataFrame, meta: HierarchyMeta) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -18,6 +18,8 @@ TIER_RANK = {"high": 3, "medium": 2, "low": 1}
 PAGE_SIZE = 3
 LAST = 2**63 - 1
 
+# One page for every parent, or a page per parent path.
+Pages = int | Mapping[tuple[str, ...], int]
 # Siblings share a parent; every root is a group of its own.
 SIBLINGS = ["parent_path", "sibling_root"]
 
@@ -75,25 +77,38 @@ def pages(nodes: DataFrame, order: Sequence[Column], size: int = PAGE_SIZE, grou
     })
 
 
-def on_page(nodes: DataFrame, order: Sequence[Column], page: int = 1, size: int = PAGE_SIZE) -> DataFrame:
-    """Nodes on the given page of their parent; roots are always shown.
+def on_page(nodes: DataFrame, order: Sequence[Column], page: Pages = 1, size: int = PAGE_SIZE) -> DataFrame:
+    """Nodes on the shown page of their parent; roots are always shown.
 
-    The bound on the row number lets Spark keep only that many rows per group before the shuffle, so
-    a parent with any number of children stays cheap.
+    ``page`` is one number for all parents, or the page of each parent path that has left page 1. The
+    bound on the row number lets Spark keep only that many rows per group before the shuffle, so a
+    parent with any number of children stays cheap.
     """
+    moved = {} if isinstance(page, int) else page
+    last = page if isinstance(page, int) else max([1, *moved.values()])
     number = F.row_number().over(Window.partitionBy(*SIBLINGS).orderBy(*order))
-    numbered = _by_sibling(nodes).withColumn("position", number)
-    first, last = (page - 1) * size, page * size
-    shown = numbered.where(F.col("position") <= last)
-    return shown.where((F.col("position") > first) | (F.col("depth") == 1)).drop("sibling_root")
+    shown = _by_sibling(nodes).withColumn("position", number).where(F.col("position") <= last * size)
+    here = F.lit(page if isinstance(page, int) else 1)
+    if moved:
+        rows = [(list(path), number) for path, number in moved.items()]
+        turned = nodes.sparkSession.createDataFrame(rows, "_parent array<string>, _page int")
+        # As many rows as the caller named parents.
+        shown = shown.join(F.broadcast(turned), F.col("parent_path") == F.col("_parent"), "left")
+        here = F.coalesce(F.col("_page"), here)
+    on = (F.col("position") > (here - 1) * size) & (F.col("position") <= here * size)
+    return shown.where(on | (F.col("depth") == 1)).select(*_but(nodes, "position"), "position")
 
 
-def visible(nodes: DataFrame, order: Sequence[Column], page: int = 1, size: int = PAGE_SIZE) -> DataFrame:
+def _but(nodes: DataFrame, name: str) -> list[str]:
+    return [c for c in nodes.columns if c != name]
+
+
+def visible(nodes: DataFrame, order: Sequence[Column], page: Pages = 1, size: int = PAGE_SIZE) -> DataFrame:
     """What is shown at first: roots and one page of their children."""
     return on_page(nodes.where(F.col("depth") <= 2), order, page, size)
 
 
-def to_depth(nodes: DataFrame, depth: int, order: Sequence[Column], page: int = 1, size: int = PAGE_SIZE) -> DataFrame:
+def to_depth(nodes: DataFrame, depth: int, order: Sequence[Column], page: Pages = 1, size: int = PAGE_SIZE) -> DataFrame:
     """Nodes shown when all is expanded down to ``depth``: every step of the path is on its page.
 
     The nodes on their parent's page are stored, since each level of the path is looked up in them.

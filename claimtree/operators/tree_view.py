@@ -22,7 +22,7 @@ from claimtree.functions.text import (
 from claimtree.operators.metadata import HierarchyMeta
 from claimtree.operators.scale import dim_side
 from claimtree.operators.tree import attach_ancestors, level_sizes
-from claimtree.operators.tree_order import PAGE_SIZE, to_depth
+from claimtree.operators.tree_order import PAGE_SIZE, Pages, to_depth
 
 # Link colours in order of use.
 LINK_COLOURS = [
@@ -171,7 +171,7 @@ def image_lookup(nodes: DataFrame, images: DataFrame, view: str, field: str, ord
 
 
 def nest(
-    nodes: DataFrame, meta: HierarchyMeta, order: Sequence[Column], page: int = 1, size: int = PAGE_SIZE
+    nodes: DataFrame, meta: HierarchyMeta, order: Sequence[Column], page: Pages = 1, size: int = PAGE_SIZE
 ) -> DataFrame:
     """The shown tree of every root as one JSON text, children nested.
 

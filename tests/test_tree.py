@@ -120,12 +120,13 @@ class Model:
         walk(root)
         return out
 
-    def shown(self):
+    def shown(self, pages=None):
         out = set()
 
         def walk(path):
             out.add(path)
-            for c in self.children(path)[: tree_order.PAGE_SIZE]:
+            skip = ((pages or {}).get(path, 1) - 1) * tree_order.PAGE_SIZE
+            for c in self.children(path)[skip : skip + tree_order.PAGE_SIZE]:
                 walk(c)
 
         for r in self.roots():
@@ -229,6 +230,21 @@ def test_shown_sets(case):
     assert paths(tree_order.visible(nodes, order())) == {p for p in model.shown() if len(p) <= 2}
     second = {p for p in model.nodes if len(p) == 2 and model.children(p[:1]).index(p) in (3, 4, 5)}
     assert paths(tree_order.visible(nodes, order(), page=2)) == second | set(model.roots())
+    moved = {p: 2 for p in model.nodes if len(model.children(p)) > 3}
+    assert moved and paths(tree_order.to_depth(nodes, DEPTH, order(), moved)) == model.shown(moved)
+
+
+def test_located_pages_show_the_node(case):
+    model, _, nodes, _ = case
+    target = max(model.nodes, key=lambda p: (len(p), model.children(p[:-1]).index(p) if len(p) > 1 else 0))
+    steps = tree_order.locate(nodes, list(target), order()).collect()
+    moved = {target[: r.step - 1]: r.page_no for r in steps if r.step > 1}
+    assert target in paths(tree_order.to_depth(nodes, len(target), order(), moved))
+
+
+def test_first_seen(spark):
+    rows = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 5, None)], "k string, n int, v string")
+    assert {tuple(r) for r in tree.first_seen(rows, ["k"], ["n"]).collect()} == {("a", 1, "y"), ("b", 5, None)}
 
 
 def test_nest(case):
