@@ -6,11 +6,13 @@ import pytest
 
 import __spark_entry__ as entry
 from claimtree.plans.pushdown import plan_text
+from claimtree.queries import all_queries
 from tests.compare import compare, duck
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "InPandas", "EvalPython"]
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = {name: sql for name, (_, sql) in all_queries().items() if sql}
+QUERIES = {name: run for name, (run, _) in all_queries().items()}
 
 
 @pytest.fixture(scope="module")
