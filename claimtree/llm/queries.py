@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimtree.llm import chat, pii, url_filter
+from claimtree.llm import chat, pii, simhash, url_filter
 from claimtree.llm.common import table
 
 # A key for these queries only; real runs pass their own.
@@ -88,3 +88,9 @@ def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, PII_KEY)
+
+
+@query("op6_simhash")
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
