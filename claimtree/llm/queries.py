@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimtree.llm import chat, pii, simhash, url_filter
+from claimtree.llm import chat, packing, pii, simhash, url_filter
 from claimtree.llm.common import table
 
 # A key for these queries only; real runs pass their own.
@@ -94,3 +94,10 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query("op2_packing")
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, folder, "documents"))
+    pieces = pieces.withColumn("ids_crc32", packing.checksum(F.col("ids"))).drop("ids")
+    return packing.place(pieces)
