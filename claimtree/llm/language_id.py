@@ -29,7 +29,7 @@ WORD = re.compile(r"[^\W\d_]+")
 CUT = 24
 # Longest piece used, counting the sign for the start of a word.
 LONGEST = 8
-ITERATIONS = 3
+ITERATIONS = 2
 # Pseudo count of every piece in every language.
 SMOOTH = 0.02
 # Words that a task counts or remembers before it passes them on or starts anew.

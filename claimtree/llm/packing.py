@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import bisect
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +28,9 @@ END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 SEPARATOR = "<|endoftext|>"
 # Words whose ids a task remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
+# Signs that form a token run of their own after a word; an apostrophe may not.
+SIGNS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 PIECES = "piece int, start long, length long, ids binary"
 PLAN = "length long, rank_from long, rank_to long, first_sequence long, per_sequence long, base long"
@@ -50,7 +52,8 @@ class WordIds:
     def alone(self, part: str) -> bytes:
         return np.asarray(self.encoder.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, parts: Iterable[str]) -> None:
+    def learn(self, parts: Collection[str]) -> None:
+        self.known.update((p, self.alone(p)) for p in parts if SEPARATOR in p)
         plain = [p for p in parts if SEPARATOR not in p]
         if not plain:
             return
@@ -66,15 +69,18 @@ class WordIds:
             begin = cut + 1
 
     def encode(self, text: str) -> bytes:
+        if "<|" not in text:  # lower-casing A-Z changes no id, but could spell a special token
+            text = text.lower() if text.isascii() else text.encode().lower().decode()
         parts = text.replace("\n", " ").split(" ")
         known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
         new = set(parts).difference(known)
         if new:
-            if len(known) > REMEMBERED:
-                known.clear()
-                new = set(parts)
-            self.learn(new)
-            known.update((p, self.alone(p)) for p in new if p not in known)
+            # A word and the signs behind it are split anyway, so both are looked up by themselves.
+            split = {p: (word, p[len(word) :]) for p in new if (word := p.rstrip(SIGNS)) != p and word.isalpha()}
+            self.learn({x for pair in split.values() for x in pair}.union(new.difference(split)).difference(known))
+            known.update((p, known[word] + known[signs]) for p, (word, signs) in split.items())
         return b"".join(map(known.__getitem__, parts))
 
 

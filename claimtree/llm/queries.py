@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimtree.llm import chat, language_id, packing, pii, simhash, url_filter
+from claimtree.llm import chat, decontaminate, language_id, packing, pii, simhash, url_filter
 from claimtree.llm.common import table
 
 # A key for these queries only; real runs pass their own.
@@ -109,3 +109,9 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = docs.withColumn("held_out", language_id.held_out(F.col("doc_id")))
     model = language_id.train(docs.where(~F.col("held_out")))
     return language_id.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+@query("op10_decontamination")
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.matches(docs, table(spark, folder, "benchmark"))
