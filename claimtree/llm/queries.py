@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimtree.llm import chat, decontaminate, language_id, packing, pii, simhash, url_filter
+from claimtree.llm import chat, decontaminate, language_id, packing, pii, simhash, substring_dedup, url_filter
 from claimtree.llm.common import table
 
 # A key for these queries only; real runs pass their own.
@@ -115,3 +115,8 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.matches(docs, table(spark, folder, "benchmark"))
+
+
+@query("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.deduplicate(table(spark, folder, "documents").select("doc_id", "text"))
