@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimtree.llm import chat, decontaminate, language_id, packing, pii, simhash, substring_dedup, url_filter
+from claimtree.llm import chat, decontaminate, html_text, language_id, packing, pii, simhash, substring_dedup, url_filter
 from claimtree.llm.common import table
 
 # A key for these queries only; real runs pass their own.
@@ -120,3 +120,9 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_substring_dedup")
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.deduplicate(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op4_html_text")
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_text.extract(table(spark, folder, "pages").select("page_id", "url", "html")).drop("html")
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
