@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimtree.llm import chat, decontaminate, html_text, language_id, packing, pii, simhash, substring_dedup, url_filter
+from claimtree.llm import chat, decontaminate, html_text, language_id, neighbours, packing, pii, simhash, substring_dedup, url_filter
 from claimtree.llm.common import table
 
 # A key for these queries only; real runs pass their own.
@@ -126,3 +126,9 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
     found = html_text.extract(table(spark, folder, "pages").select("page_id", "url", "html")).drop("html")
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query("op9_neighbours")
+def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
