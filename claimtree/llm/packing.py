@@ -9,9 +9,11 @@ Pieces then take the planned slots by joining on their rank within their length.
 from __future__ import annotations
 
 import bisect
+import os
 from collections import defaultdict
 from collections.abc import Collection, Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -22,16 +24,27 @@ from tokenizers import Tokenizer
 
 from claimtree.llm.common import stored
 
+# Tasks already run beside each other.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 CAPACITY = 4096
 # Fixed value: the id that ends every document.
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
-SEPARATOR = "<|endoftext|>"
 # Words whose ids a task remembers; beyond it the memory starts anew.
 REMEMBERED = 700_000
 # Signs that form a token run of their own after a word; an apostrophe may not.
 SIGNS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
+
+
+def _byte_signs() -> dict[int, int]:
+    """The public byte-level mapping: printable Latin-1 signs stand for themselves, other bytes from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in shown)}
+
+
+BYTE_SIGNS = _byte_signs()
 PIECES = "piece int, start long, length long, ids binary"
 PLAN = "length long, rank_from long, rank_to long, first_sequence long, per_sequence long, base long"
 
@@ -40,33 +53,26 @@ class WordIds:
     """Ids of a text as little-endian unsigned 32-bit numbers.
 
     The vocabulary's splitting never crosses white space, so the ids of a text are those of its parts
-    between blanks, and frequent parts are looked up. New parts of a text are encoded in one call, with a
-    special token between them; parts that hold that token's string go alone.
+    between blanks, and frequent parts are looked up. A part of nothing but letters is one word to the
+    splitting, so its merges are asked for directly; all others are encoded in full.
     """
 
     def __init__(self, path: str):
         self.encoder = Tokenizer.from_file(path)
-        self.separator = self.encoder.token_to_id(SEPARATOR)
+        self.merges = self.encoder.model
         self.known: dict[str, bytes] = {}
 
-    def alone(self, part: str) -> bytes:
-        return np.asarray(self.encoder.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-
     def learn(self, parts: Collection[str]) -> None:
-        self.known.update((p, self.alone(p)) for p in parts if SEPARATOR in p)
-        plain = [p for p in parts if SEPARATOR not in p]
-        if not plain:
-            return
-        ids = self.encoder.encode(f" {SEPARATOR} ".join(plain), add_special_tokens=False).ids
-        ids = np.asarray(ids, "<u4")
-        cuts = np.flatnonzero(ids == self.separator)
-        if len(cuts) != len(plain) - 1:
-            self.known.update((p, self.alone(p)) for p in plain)
-            return
-        data, begin = ids.tobytes(), 0
-        for part, cut in zip(plain, [*cuts.tolist(), len(ids)], strict=True):
-            self.known[part] = data[4 * begin : 4 * cut]
-            begin = cut + 1
+        known, tokenize, rest = self.known, self.merges.tokenize, []
+        for p in parts:
+            # Lower case and composed already, so normalising would leave the word as it is.
+            if p.isalpha() and (p.isascii() or is_normalized("NFC", p)) and p == p.lower():
+                word = p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_SIGNS)
+                known[p] = np.array([t.id for t in tokenize(word)], "<u4").tobytes()
+            else:
+                rest.append(p)
+        for p, found in zip(rest, self.encoder.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            known[p] = np.array(found.ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if "<|" not in text:  # lower-casing A-Z changes no id, but could spell a special token
