@@ -32,7 +32,9 @@ CAPACITY = 4096
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 # Words whose ids a task remembers; beyond it the memory starts anew.
-REMEMBERED = 700_000
+REMEMBERED = 600_000
+# Ids that a task gathers before it passes them on.
+SENT_BYTES = 1 << 22
 # Signs that form a token run of their own after a word; an apostrophe may not.
 SIGNS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
@@ -102,10 +104,11 @@ def cut_pieces(docs: DataFrame, doc_id: str, text: str, path: str | None, capaci
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = word_ids(path or public_tokenizers.path(VOCABULARY))
+        columns = ["doc_id", "piece", "start", "length", "ids", "part", "part_rank"]
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
         end, size = np.asarray([END_ID], "<u4").tobytes(), 4 * capacity
+        rows, held = [], 0
         for batch in batches:
-            rows = []
             for key, body in zip(batch["doc_id"], batch["text"], strict=True):
                 data = encoder.encode(body or "") + end
                 for piece, at in enumerate(range(0, len(data), size)):
@@ -113,7 +116,10 @@ def cut_pieces(docs: DataFrame, doc_id: str, text: str, path: str | None, capaci
                     length = len(ids) // 4
                     rows.append((key, piece, at // 4, length, ids, part, seen[length]))
                     seen[length] += 1
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids", "part", "part_rank"])
+                if (held := held + len(data)) >= SENT_BYTES:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, held = [], 0
+        yield pd.DataFrame(rows, columns=columns)
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, schema)
 
