@@ -191,6 +191,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     histogram = {r.length: r.rows for r in counts.groupBy("length").agg(F.sum("rows").alias("rows")).collect()}
     slots = spark.createDataFrame(plan(histogram, capacity), PLAN).withColumnRenamed("length", "_length")
     ahead = counts.select(F.col("length").alias("_l"), F.col("part").alias("_p"), "before")
+    # As many rows as tasks times lengths: that grows, so it is not broadcast whatever its files' size.
+    ahead = ahead.hint("merge")
     ranked = pieces.join(ahead, (F.col("length") == F.col("_l")) & (F.col("part") == F.col("_p")))
     ranked = ranked.withColumn("_rank", F.col("part_rank") + F.col("before"))
     # The plan's rows depend on the lengths that occur, not on how many documents have them.
