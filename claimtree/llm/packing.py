@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import bisect
 import os
+from array import array
 from collections import defaultdict
-from collections.abc import Collection, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from unicodedata import is_normalized
 
@@ -51,45 +52,38 @@ PIECES = "piece int, start long, length long, ids binary"
 PLAN = "length long, rank_from long, rank_to long, first_sequence long, per_sequence long, base long"
 
 
-class WordIds:
-    """Ids of a text as little-endian unsigned 32-bit numbers.
+class WordIds(dict):
+    """Ids of a text as little-endian unsigned 32-bit numbers; a dictionary of the parts seen so far.
 
     The vocabulary's splitting never crosses white space, so the ids of a text are those of its parts
-    between blanks, and frequent parts are looked up. A part of nothing but letters is one word to the
-    splitting, so its merges are asked for directly; all others are encoded in full.
+    between blanks. A part of nothing but letters is one word to the splitting, so its merges are asked for
+    directly; a word with signs behind it is split between them anyway; all others are encoded in full.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         self.encoder = Tokenizer.from_file(path)
         self.merges = self.encoder.model
-        self.known: dict[str, bytes] = {}
 
-    def learn(self, parts: Collection[str]) -> None:
-        known, tokenize, rest = self.known, self.merges.tokenize, []
-        for p in parts:
+    def __missing__(self, part: str) -> bytes:
+        if part.isalpha() and (part.isascii() or is_normalized("NFC", part)) and part == part.lower():
             # Lower case and composed already, so normalising would leave the word as it is.
-            if p.isalpha() and (p.isascii() or is_normalized("NFC", p)) and p == p.lower():
-                word = p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_SIGNS)
-                known[p] = np.array([t.id for t in tokenize(word)], "<u4").tobytes()
-            else:
-                rest.append(p)
-        for p, found in zip(rest, self.encoder.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            known[p] = np.array(found.ids, "<u4").tobytes()
+            word = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_SIGNS)
+            found = [t.id for t in self.merges.tokenize(word)]
+        elif (word := part.rstrip(SIGNS)) != part and word.isalpha():
+            self[part] = ids = self[word] + self[part[len(word) :]]
+            return ids
+        else:
+            found = self.encoder.encode(part, add_special_tokens=False).ids
+        self[part] = ids = array("I", found).tobytes()
+        return ids
 
     def encode(self, text: str) -> bytes:
         if "<|" not in text:  # lower-casing A-Z changes no id, but could spell a special token
             text = text.lower() if text.isascii() else text.encode().lower().decode()
-        parts = text.replace("\n", " ").split(" ")
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = set(parts).difference(known)
-        if new:
-            # A word and the signs behind it are split anyway, so both are looked up by themselves.
-            split = {p: (word, p[len(word) :]) for p in new if (word := p.rstrip(SIGNS)) != p and word.isalpha()}
-            self.learn({x for pair in split.values() for x in pair}.union(new.difference(split)).difference(known))
-            known.update((p, known[word] + known[signs]) for p, (word, signs) in split.items())
-        return b"".join(map(known.__getitem__, parts))
+        if len(self) > REMEMBERED:
+            self.clear()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @lru_cache(maxsize=2)
