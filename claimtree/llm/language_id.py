@@ -12,6 +12,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,8 @@ ITERATIONS = 2
 SMOOTH = 0.02
 # Words that a task counts or remembers before it passes them on or starts anew.
 REMEMBERED = 300_000
+# Texts whose new words are scored together.
+TEXTS = 1_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -52,21 +55,77 @@ def vocabulary(path: str | None = None) -> dict[str, int]:
     return {piece: number for number, piece in enumerate([START, *usable], 1)}
 
 
+class PieceTable:
+    """Numbers of pieces by a rolling hash of their letters, for whole columns of words at once."""
+
+    SLOTS = 1 << 20
+
+    def __init__(self, known: dict[str, int]):
+        by_length: dict[int, list[str]] = {}
+        for piece in known:
+            by_length.setdefault(len(piece), []).append(piece)
+        self.numbers = np.array([known[p] for same in by_length.values() for p in same])
+        rng = np.random.default_rng(3)
+        while True:  # until no slot has more than two pieces and no two pieces have one hash
+            self.factor = np.uint64(int(rng.integers(1 << 62, 1 << 63)) | 1)
+            hashes = []
+            for same in by_length.values():
+                total = np.zeros(len(same), np.uint64)
+                for column in letters(same).T:
+                    total = self.step(total, column)
+                hashes.append(total)
+            self.hashes = np.concatenate(hashes)
+            slots, counts = np.unique(self._slot(self.hashes), return_counts=True)
+            if counts.max() <= 2 and len(np.unique(self.hashes)) == len(self.hashes):
+                break
+        self.slots = np.zeros((self.SLOTS, 2), np.int32)
+        order = np.argsort(self._slot(self.hashes), kind="stable")
+        first = np.cumsum(counts) - counts
+        self.slots[slots] = order[first][:, None]
+        self.slots[slots, 1] = order[first + counts - 1]
+
+    def step(self, total: np.ndarray, column: np.ndarray) -> np.ndarray:
+        return (total + column + np.uint64(1)) * self.factor
+
+    def _slot(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(44)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the hashes that are those of pieces, and the pieces' numbers."""
+        both = self.slots[self._slot(hashes)]
+        hit = self.hashes[both] == hashes[:, None]
+        at = np.flatnonzero(hit.any(axis=1))
+        return at, self.numbers[np.where(hit[at, 0], both[at, 0], both[at, 1])]
+
+
+def letters(words: list[str]) -> np.ndarray:
+    """(word, place): code points of words of one length."""
+    return np.array(words).view(np.uint32).reshape(len(words), -1).astype(np.uint64)
+
+
+@lru_cache(maxsize=2)
+def piece_table(path: str | None = None) -> PieceTable:
+    return PieceTable(vocabulary(path))
+
+
 class Lattice:
     """All segmentations of words of one length at once: by start and end, the words that have a piece there."""
 
-    def __init__(self, words: list[str], known: dict[str, int]):
-        marked = [START + w for w in words]
-        self.rows, self.size = len(marked), len(marked[0])
+    def __init__(self, words: list[str], table: PieceTable):
+        codes = letters([START + w for w in words])
+        self.rows, self.size = codes.shape
         self.pieces: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-        get = known.get
         for a in range(self.size):
+            total = np.zeros(self.rows, np.uint64)
             for b in range(a + 1, min(a + LONGEST, self.size) + 1):
-                other = 0 if b == a + 1 else -1  # every single letter can be passed
-                ids = np.array([get(w[a:b], other) for w in marked])
-                at = np.flatnonzero(ids >= 0)
+                total = table.step(total, codes[:, b - 1])
+                at, ids = table.find(total)
+                if b == a + 1:  # every single letter can be passed
+                    single = np.zeros(self.rows, np.int64)
+                    single[at] = ids
+                    at, ids = np.arange(self.rows), single
                 if len(at):
-                    self.pieces.append((a, b, at, ids[at]))
+                    self.pieces.append((a, b, at, ids))
 
     def forward(self, table: np.ndarray) -> np.ndarray:
         """(place, word, language): summed probability of the letters before the place."""
@@ -89,14 +148,14 @@ class Lattice:
             np.add.at(flat, (ids[:, None] * len(columns) + columns).ravel(), uses.ravel())
 
 
-def lattices(words: Iterable[str], known: dict[str, int]) -> Iterator[tuple[list[str], Lattice]]:
+def lattices(words: Iterable[str], table: PieceTable) -> Iterator[tuple[list[str], Lattice]]:
     by_length: dict[int, list[str]] = {}
     for w in words:
         by_length.setdefault(len(w), []).append(w)
     for same in by_length.values():
         for at in range(0, len(same), 4096):
             block = same[at : at + 4096]
-            yield block, Lattice(block, known)
+            yield block, Lattice(block, table)
 
 
 class Model:
@@ -104,33 +163,43 @@ class Model:
 
     def __init__(self, languages: list[str], prior: np.ndarray, table: np.ndarray, path: str | None = None):
         self.languages, self.prior, self.table, self.path = languages, prior, table, path
-        self.known_words: dict[str, np.ndarray] = {}
+        self._forget()
 
     def __getstate__(self):
-        return self.__dict__ | {"known_words": {}}
-
-    def learn(self, words: Iterable[str]) -> None:
-        for block, lattice in lattices(words, vocabulary(self.path)):
-            scores = np.log(lattice.forward(self.table)[lattice.size])
-            self.known_words.update(zip(block, scores, strict=True))
-
-    def scores(self, words: list[str]) -> np.ndarray:
-        known = self.known_words
-        counted = Counter(words)
-        new = [w for w in counted if w not in known]
+        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "scores")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.scores = np.zeros((0, len(self.languages)))
+
+    def learn(self, words: list[str]) -> None:
+        """Remembers the log probabilities of these words."""
+        parts, blocks = [self.scores], lattices(words, piece_table(self.path))
+        for block, lattice in blocks:
+            self.rows.update(zip(block, range(len(self.rows), len(self.rows) + len(block)), strict=True))
+            parts.append(np.log(lattice.forward(self.table)[lattice.size]))
+        self.scores = np.concatenate(parts)
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        words = [words_of(t) for t in texts]
+        if not self.languages:
+            return [(UNDETERMINED, 0.0)] * len(texts)
+        if len(self.rows) > REMEMBERED:
+            self._forget()
+        new = set(chain.from_iterable(words)).difference(self.rows)
         if new:
-            if len(known) > REMEMBERED:
-                known.clear()
-                new = list(counted)
-            self.learn(new)
-        values = np.array([known[w] for w in counted])
-        return np.asarray(list(counted.values()), float) @ values
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text)
-        if not words or not self.languages:
+            self.learn(list(new))
+        return [self._best(w) for w in words]
+
+    def _best(self, words: list[str]) -> tuple[str, float]:
+        if not words:
             return UNDETERMINED, 0.0
-        total = self.prior + self.scores(words)
+        rows = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+        total = self.prior + self.scores[rows].sum(axis=0)
         odds = np.exp(total - total.max())
         best = int(total.argmax())
         return self.languages[best], float(odds[best] / odds.sum())
@@ -164,7 +233,7 @@ def _round(counts: DataFrame, languages: list[str], table: np.ndarray, path: str
     column = {lang: k for k, lang in enumerate(languages)}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, into = vocabulary(path), np.zeros_like(table)
+        known, into = piece_table(path), np.zeros_like(table)
         for batch in batches:
             seen = {w: k for k, w in enumerate(dict.fromkeys(batch["word"]))}
             matrix = np.zeros((len(seen), len(languages)))
@@ -219,7 +288,8 @@ def predictions(text: Column, model: Model) -> Column:
 
     @F.pandas_udf("lang string, score double")
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([model.predict(t) for t in texts], columns=["lang", "score"])
+        parts = (texts.iloc[a : a + TEXTS].tolist() for a in range(0, len(texts), TEXTS))
+        return pd.DataFrame(list(chain.from_iterable(map(model.predict, parts))), columns=["lang", "score"])
 
     return run(text)
 
