@@ -92,12 +92,13 @@ def repeated_places(docs: DataFrame, span: int = SPAN) -> DataFrame:
     spans = spans.select("hash", "key", (F.shiftleft("mark", 32) + F.col("position")).alias("place"))
     spans = stored(spans, "spans")
     often = spans.groupBy(F.col("hash").alias("_hash")).agg(F.count("*").alias("_n"), F.min("key").alias("first_key"))
-    often = often.where("_n > 1").drop("_n")
+    # Stored, so that the join meets two plain shuffles, of which a hot hash's can be split.
+    often = stored(often.where("_n > 1").drop("_n"), "often")
     repeats = stored(spans.join(often, F.col("hash") == F.col("_hash")).drop("_hash"), "repeats")
     # Inside the first document the first place counts.
     own = repeats.where("key = first_key")
     first = own.groupBy(F.col("hash").alias("_hash")).agg(F.min("place").alias("first_place"))
-    own = own.join(first, F.col("hash") == F.col("_hash")).where("place > first_place")
+    own = own.join(stored(first, "first-places"), F.col("hash") == F.col("_hash")).where("place > first_place")
     rest = repeats.where("key <> first_key").select("key", "place").union(own.select("key", "place"))
     return rest.select("key", F.shiftright("place", 32).alias("mark"), F.col("place").bitwiseAND(2**32 - 1).cast("int").alias("position"))
 
