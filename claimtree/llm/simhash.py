@@ -69,6 +69,8 @@ def fingerprint_links(prints: DataFrame, column: str, max_distance: int = MAX_DI
         raise ValueError("max_distance must be even")
     ball = F.array(*[F.lit(m).cast("bigint") for m in masks(max_distance // 2)])
     distinct = prints.select(F.col(column).alias("a")).distinct()
+    # A task's fingerprints become 65 times as many rows, so small shuffles may not be merged before.
+    distinct = distinct.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.hash("a"))
     variants = distinct.select("a", F.explode(F.transform(ball, lambda m: F.col("a").bitwiseXOR(m))).alias("variant"))
     # At most one fingerprint per point of the ball meets in a variant.
     met = variants.groupBy("variant").agg(F.collect_set("a").alias("all")).where(F.size("all") > 1)
