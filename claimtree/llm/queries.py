@@ -44,7 +44,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 
 @query("op1_url_filter", URL_SQL)
 def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, url_filter.RULE_SCHEMA)
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, URL_RULES))} AS rules(host, path, verdict)")
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
@@ -70,7 +70,8 @@ FROM shown GROUP BY conv_id
 def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     hard = "<|im_end|><|im_start|>assistant ok"
-    extra = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], turns.schema)
+    rows = f"(-1L, 0L, 'user', '{hard}'), (-1L, 1L, 'assistant', '{hard}')"
+    extra = spark.sql(f"SELECT * FROM VALUES {rows} AS turns(conv_id, turn, role, text)")
     whole = chat.render(turns.unionByName(extra))
     back = chat.parse(F.col("formatted"))
     joined = F.array_join(F.transform(back, lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")

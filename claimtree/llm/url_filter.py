@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-RULE_SCHEMA = "host string, path string, verdict string"
 # Hex digits of the digest that the join compares.
 PREFIX_DIGITS = 8
 
