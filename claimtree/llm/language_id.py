@@ -36,7 +36,7 @@ SMOOTH = 0.02
 # Words that a task counts or remembers before it passes them on or starts anew.
 REMEMBERED = 300_000
 # Texts whose new words are scored together.
-TEXTS = 1_000
+TEXTS = 500
 
 
 def words_of(text: str | None) -> list[str]:

@@ -19,6 +19,7 @@ from unicodedata import is_normalized
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from tokenizers import Tokenizer
@@ -33,7 +34,7 @@ CAPACITY = 4096
 END_ID = 1
 VOCABULARY = "word_bpe_49k.json"
 # Words whose ids a task remembers; beyond it the memory starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 # Ids that a task gathers before it passes them on.
 SENT_BYTES = 1 << 22
 # Signs that form a token run of their own after a word; an apostrophe may not.
@@ -97,6 +98,7 @@ def cut_pieces(docs: DataFrame, doc_id: str, text: str, path: str | None, capaci
     schema = f"doc_id {kind}, {PIECES}, part int, part_rank long"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pa.default_memory_pool().release_unused()  # what tasks before this one left in the process
         encoder = word_ids(path or public_tokenizers.path(VOCABULARY))
         columns = ["doc_id", "piece", "start", "length", "ids", "part", "part_rank"]
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
