@@ -197,9 +197,16 @@ def prefixes(path: Column) -> Column:
 
 
 def leaves(nodes: DataFrame) -> DataFrame:
-    """Nodes without children in this node table."""
+    """Nodes without children; after a filter, pass the nodes through ``current_children`` first."""
+    return nodes.where(~F.col("has_children"))
+
+
+def current_children(nodes: DataFrame) -> DataFrame:
+    """The same nodes with ``has_children`` as it is in this table: filters can take a parent's children away."""
     parents = nodes.where(F.col("depth") > 1).select(F.col("parent_path").alias("_parent")).distinct()
-    return nodes.join(parents, F.col("path") == F.col("_parent"), "left_anti")
+    joined = nodes.join(parents, F.col("path") == F.col("_parent"), "left")
+    flag = F.col("_parent").isNotNull().alias("has_children")
+    return joined.select(*[flag if c == "has_children" else F.col(c) for c in nodes.columns])
 
 
 def child_count(nodes: DataFrame) -> DataFrame:
@@ -316,6 +323,5 @@ def subtree(nodes: DataFrame, path: Sequence[str]) -> DataFrame:
 
 
 def has_subtree(nodes: DataFrame) -> DataFrame:
-    """Nodes that can be opened as a tree of their own: not a root, and with children."""
-    parents = nodes.where(F.col("depth") > 1).select(F.col("parent_path").alias("_parent")).distinct()
-    return nodes.where(F.col("depth") > 1).join(parents, F.col("path") == F.col("_parent"), "left_semi")
+    """Nodes that can be opened as a tree of their own: not a root, and with children (see ``leaves``)."""
+    return nodes.where((F.col("depth") > 1) & F.col("has_children"))

@@ -16,6 +16,8 @@ from claimtree.sources.sinks import materialize
 # Rank of text tiers, and nodes per page.
 TIER_RANK = {"high": 3, "medium": 2, "low": 1}
 PAGE_SIZE = 3
+# Up to this many rows per group Spark applies a bound on the row number before the shuffle.
+BOUNDED_ROWS = 1000
 LAST = 2**63 - 1
 
 # One page for every parent, or a page per parent path.
@@ -80,23 +82,32 @@ def pages(nodes: DataFrame, order: Sequence[Column], size: int = PAGE_SIZE, grou
 def on_page(nodes: DataFrame, order: Sequence[Column], page: Pages = 1, size: int = PAGE_SIZE) -> DataFrame:
     """Nodes on the shown page of their parent; roots are always shown.
 
-    ``page`` is one number for all parents, or the page of each parent path that has left page 1. The
-    bound on the row number lets Spark keep only that many rows per group before the shuffle, so a
-    parent with any number of children stays cheap.
+    ``page`` is one number for all parents, or the page of each parent path that has left page 1. Early
+    pages bound the row number, so Spark keeps only that many rows per group before the shuffle; later ones
+    are numbered by range. The parents of a page map are taken apart first, so they change nothing for the rest.
     """
-    moved = {} if isinstance(page, int) else page
-    last = page if isinstance(page, int) else max([1, *moved.values()])
-    number = F.row_number().over(Window.partitionBy(*SIBLINGS).orderBy(*order))
-    shown = _by_sibling(nodes).withColumn("position", number).where(F.col("position") <= last * size)
-    here = F.lit(page if isinstance(page, int) else 1)
-    if moved:
-        rows = [(list(path), number) for path, number in moved.items()]
-        turned = nodes.sparkSession.createDataFrame(rows, "_parent array<string>, _page int")
-        # As many rows as the caller named parents.
-        shown = shown.join(F.broadcast(turned), F.col("parent_path") == F.col("_parent"), "left")
-        here = F.coalesce(F.col("_page"), here)
-    on = (F.col("position") > (here - 1) * size) & (F.col("position") <= here * size)
-    return shown.where(on | (F.col("depth") == 1)).select(*_but(nodes, "position"), "position")
+    columns = [*_but(nodes, "position"), "position"]
+    if isinstance(page, int):
+        return _shown(nodes, order, F.lit(page), page, size).select(*columns)
+    if not page:
+        return on_page(nodes, order, 1, size)
+    rows = [(list(path), number) for path, number in page.items()]
+    # The caller's own list; left to Spark's choice of join.
+    turned = nodes.sparkSession.createDataFrame(rows, "_parent array<string>, _page int")
+    same = F.col("parent_path") == F.col("_parent")
+    rest = _shown(nodes.join(turned, same, "left_anti"), order, F.lit(1), 1, size)
+    moved = _shown(nodes.join(turned, same), order, F.col("_page"), max(page.values()), size)
+    return rest.select(*columns).unionByName(moved.select(*columns))
+
+
+def _shown(nodes: DataFrame, order: Sequence[Column], page: Column, last: int, size: int) -> DataFrame:
+    on = (F.col("position") > (page - 1) * size) & (F.col("position") <= page * size)
+    if last * size <= BOUNDED_ROWS:
+        number = F.row_number().over(Window.partitionBy(*SIBLINGS).orderBy(*order))
+        placed = _by_sibling(nodes).withColumn("position", number).where(F.col("position") <= last * size)
+    else:
+        placed = sibling_positions(nodes, order, group_rows=0)
+    return placed.where(on | (F.col("depth") == 1))
 
 
 def _but(nodes: DataFrame, name: str) -> list[str]:

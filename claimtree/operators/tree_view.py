@@ -20,9 +20,9 @@ from claimtree.functions.text import (
     trim_title,
 )
 from claimtree.operators.metadata import HierarchyMeta
-from claimtree.operators.scale import dim_side
+from claimtree.operators.scale import dim_side, ranked
 from claimtree.operators.tree import attach_ancestors, level_sizes
-from claimtree.operators.tree_order import PAGE_SIZE, Pages, to_depth
+from claimtree.operators.tree_order import PAGE_SIZE, pages
 
 # Link colours in order of use.
 LINK_COLOURS = [
@@ -133,7 +133,7 @@ def relation_legend(
     """Relation types with the colour of their first appearance; types beyond the colours have none.
 
     Appearance is depth-first over first-seen rows. Siblings of one type are first reduced to their
-    earliest, and only as many types as there are colours are numbered.
+    earliest. Every type has its ordinal, however many there are.
     """
     type_key = F.col(meta.relation_key).alias("relation_type")
     typed = nodes.where(F.col(meta.relation_key).isNotNull())
@@ -142,14 +142,9 @@ def relation_legend(
     placed = attach_ancestors(earliest, nodes, levels, F.col("row_order"), lambda k: f"_{k}", level_sizes(nodes))
     steps = F.filter(F.array(*[F.col(f"_{k}") for k in levels], F.col("row_order")), lambda s: s.isNotNull())
     types = placed.groupBy("relation_type").agg(F.min(steps).alias("_first"))
-    leading = types.orderBy("_first").limit(len(colours))
-    numbered = leading.agg(F.sort_array(F.collect_list(F.struct("_first", "relation_type"))).alias("t"))
-    numbered = numbered.select(F.posexplode("t.relation_type").alias("_at", "_type"))
+    numbered = ranked(types.withColumn("_all", F.lit(0)), ["_all"], [F.col("_first"), F.col("relation_type")], "ordinal")
     palette = F.array(*map(F.lit, colours))
-    joined = types.join(F.broadcast(numbered), F.col("relation_type") == F.col("_type"), "left")
-    return joined.select(
-        "relation_type", (F.col("_at") + 1).alias("ordinal"), F.get(palette, F.col("_at")).alias("colour")
-    )
+    return numbered.select("relation_type", "ordinal", F.get(palette, F.col("ordinal") - 1).alias("colour"))
 
 
 def edge_list(nodes: DataFrame, meta: HierarchyMeta, legend: DataFrame) -> DataFrame:
@@ -170,28 +165,16 @@ def image_lookup(nodes: DataFrame, images: DataFrame, view: str, field: str, ord
     return nodes.join(dim_side(dim), F.col(field) == F.col("_value"), "left").drop("_value")
 
 
-def nest(
-    nodes: DataFrame, meta: HierarchyMeta, order: Sequence[Column], page: Pages = 1, size: int = PAGE_SIZE
-) -> DataFrame:
-    """The shown tree of every root as one JSON text, children nested.
+def nest(nodes: DataFrame, meta: HierarchyMeta, order: Sequence[Column], size: int = PAGE_SIZE) -> DataFrame:
+    """The whole tree, a row per parent and page: the children on that page as a JSON array.
 
-    Nesting brings children into their parent's row, so it works on the paged tree: at most ``size``
-    children per parent and ``max_depth`` levels. The whole tree stays in the node table.
+    Every node is in exactly one row, and a row has at most ``size`` nodes, so no parent is ever gathered.
+    Each root is a page of its own, with an empty ``parent_path``.
     """
-    shown = to_depth(nodes, meta.max_depth, order, page, size)
-    fields = [F.col("node_id").alias(meta.id_key), *[F.col(k) for k in meta.keys() if k in nodes.columns]]
-    below = None
-    for level in range(meta.max_depth, 0, -1):
-        here = shown.where(F.col("depth") == level)
-        members = list(fields)
-        if below is not None:
-            here = here.join(below, F.col("path") == F.col("_parent"), "left")
-            members.append(F.col("children"))
-        here = here.select("path", "root", "parent_path", "position", F.struct(*members).alias("node"))
-        if level == 1:
-            return here.select("root", F.to_json("node").alias("tree"))
-        placed = here.groupBy(F.col("parent_path").alias("_parent")).agg(
-            F.sort_array(F.collect_list(F.struct("position", "node"))).alias("_kids")
-        )
-        below = placed.select("_parent", F.col("_kids.node").alias("children"))
-    raise ValueError("the metadata names no level")
+    members = [F.col("node_id").alias(meta.id_key), *[F.col(k) for k in meta.keys() if k in nodes.columns], "has_children"]
+    placed = pages(nodes, order, size)
+    pair = F.struct("position", F.struct(*members).alias("node"))
+    grouped = placed.groupBy("root", "parent_path", "page_no").agg(F.sort_array(F.collect_list(pair)).alias("_kids"))
+    return grouped.select(
+        "root", "parent_path", "page_no", F.to_json("_kids.node", {"ignoreNullFields": "false"}).alias("children")
+    )

@@ -56,6 +56,7 @@ def arrange(nodes: DataFrame, meta: HierarchyMeta, config: dict, params: dict) -
             nodes = tree.promote(nodes, setting["value"], params[name], meta.max_depth)
         else:
             nodes = tree.prune(nodes, setting["value"], params[name])
+    nodes = tree.current_children(nodes)
     metric = resolve_sort(config, params)
     order = tree_order.metric_order(meta, metric) if metric else tree_order.name_order(meta)
     return tree_order.sibling_positions(nodes, order)

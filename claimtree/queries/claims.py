@@ -124,7 +124,8 @@ def _(t):
 
 @query("monthly_physician_plan_left", "SELECT * FROM p02_area")
 def _(t):
-    drug = t.drug.where(F.col("drug_id") % 3 != 0)
+    # Every third drug gets a key that no claim has, so that the left join meets claims without a drug.
+    drug = t.drug.withColumn("drug_id", F.when(F.col("drug_id") % 3 == 0, -1 - F.col("drug_id")).otherwise(F.col("drug_id")))
     return ops.monthly_physician_plan(area_cohort(t), drug, "left", AREA, exact_cents=True)
 
 

@@ -11,7 +11,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from claimtree.operators.metadata import HierarchyMeta, LevelColumn
-from claimtree.sources.tables import spread
 
 FIXTURES = {
     "fx_drug": """
@@ -174,7 +173,7 @@ class Inputs:
 
     def sql(self, text: str, facts: list[str] = ()) -> DataFrame:
         names = set(re.findall(r"\{(\w+)\}", text))
-        return self.spark.sql(text, **{t: spread(self.table(t)) if t in facts else self.table(t) for t in names})
+        return self.spark.sql(text, **{t: self.table(t) for t in names})
 
     def __getattr__(self, name: str) -> DataFrame:
         if f"fx_{name}" not in FIXTURES:

@@ -113,7 +113,7 @@ def _(t):
     return all_nodes(t).select(label(), *NODE_COLUMNS)
 
 
-@query("hier_leaf", "SELECT path FROM nodes n WHERE NOT EXISTS (SELECT 1 FROM nodes c WHERE c.parent_path = n.path)")
+@query("hier_leaf", "SELECT path FROM nodes LEFT JOIN (SELECT DISTINCT parent_path AS parent FROM nodes) ON parent = path WHERE parent IS NULL")
 def _(t):
     return tree.leaves(nodes(t)).select(label())
 
@@ -129,10 +129,11 @@ def _(t):
     return tree.conflicting_children(edges(t), META)
 
 
-@query("hier_exclude", "SELECT path FROM kept_nodes")
+@query("hier_exclude", """SELECT path, parent IS NOT NULL AS has_children FROM kept_nodes
+       LEFT JOIN (SELECT DISTINCT parent_path AS parent FROM kept_nodes) ON parent = path""")
 def _(t):
     bad = materialize(tree.conflicting_children(edges(t), META), scratch_path(t.spark, "conflicts"))
-    return tree.exclude(nodes(t), bad).select(label())
+    return tree.current_children(tree.exclude(nodes(t), bad)).select(label(), "has_children")
 
 
 @query(
@@ -159,33 +160,37 @@ def _(t):
     return tree.child_count(nodes(t)).select(label(), "child_count")
 
 
-@query("hier_filled_flag", "SELECT path, lower(RelationType) LIKE '%filled%' AS is_filled FROM nodes WHERE RelationType IS NOT NULL")
+@query("hier_filled_flag", "SELECT path, coalesce(lower(RelationType) LIKE '%filled%', false) AS is_filled FROM nodes")
 def _(t):
-    rows = nodes(t, "RelationType").where(F.col("RelationType").isNotNull())
-    return rows.select(label(), is_filled(F.col("RelationType")).alias("is_filled"))
+    return nodes(t, "RelationType").select(label(), F.coalesce(is_filled(F.col("RelationType")), F.lit(False)).alias("is_filled"))
 
 
 # --- filters on nodes, roll-up, sub-tree
 
 
-@query("hier_prune", """SELECT path, depth FROM nodes n WHERE depth = 1 OR EXISTS (SELECT 1 FROM nodes m
-       WHERE m.Tier IN ('High', 'HIGH') AND (m.path = n.path OR starts_with(m.path, n.path || '/')))""")
+@query("hier_prune", """SELECT * FROM (WITH kept AS MATERIALIZED (SELECT path, depth, parent_path FROM nodes n WHERE depth = 1
+       OR EXISTS (SELECT 1 FROM nodes m WHERE m.Tier IN ('High', 'HIGH') AND (m.path = n.path OR starts_with(m.path, n.path || '/'))))
+       SELECT path, depth, parent IS NOT NULL AS has_children FROM kept
+       LEFT JOIN (SELECT DISTINCT parent_path AS parent FROM kept) ON parent = path)""")
 def _(t):
-    return tree.prune(nodes(t, "Tier"), "Tier", ["High", "HIGH"]).select(label(), "depth")
+    kept = tree.current_children(tree.prune(nodes(t, "Tier"), "Tier", ["High", "HIGH"]))
+    return kept.select(label(), "depth", "has_children")
 
 
 @query(
     "hier_promote",
-    """SELECT n.node_id, CASE WHEN n.depth < 4 THEN n.path WHEN p.path IS NOT NULL THEN n.path
+    """SELECT * FROM (WITH kept AS MATERIALIZED (SELECT n.node_id, CASE WHEN n.depth < 4 THEN n.path WHEN p.path IS NOT NULL THEN n.path
          ELSE n.p2 || '/' || n.a3 || '>' || n.a4 END AS path,
          CASE WHEN n.depth < 4 THEN n.parent_path WHEN p.path IS NOT NULL THEN p.path ELSE n.p2 END AS parent_path,
          CASE WHEN n.depth < 4 THEN n.depth WHEN p.path IS NOT NULL THEN 4 ELSE 3 END AS depth
        FROM nodes n LEFT JOIN nodes p ON n.parent_path = p.path AND p.depth = 3 AND p.Tier IN ('High', 'medium')
-       WHERE n.depth <= 2 OR n.Tier IN ('High', 'medium')""",
+       WHERE n.depth <= 2 OR n.Tier IN ('High', 'medium'))
+       SELECT kept.*, parent IS NOT NULL AS has_children FROM kept
+       LEFT JOIN (SELECT DISTINCT parent_path AS parent FROM kept) ON parent = path)""",
 )
 def _(t):
-    rows = tree.promote(nodes(t, "Tier"), "Tier", ["High", "medium"], META.max_depth)
-    return rows.select("node_id", label(), label("parent_path"), "depth")
+    rows = tree.promote(stored_nodes(t, "Tier"), "Tier", ["High", "medium"], META.max_depth)
+    return tree.current_children(rows).select("node_id", label(), label("parent_path"), "depth", "has_children")
 
 
 @query("hier_rollup", """SELECT n.path, CAST(sum(d.Balance) AS BIGINT) AS Balance FROM nodes n JOIN
@@ -204,7 +209,7 @@ def _(t):
 
 @query(
     "hier_subtree_eligible",
-    "SELECT path FROM nodes n WHERE depth > 1 AND EXISTS (SELECT 1 FROM nodes c WHERE c.parent_path = n.path)",
+    "SELECT path FROM nodes JOIN (SELECT DISTINCT parent_path AS parent FROM nodes) ON parent = path WHERE depth > 1",
 )
 def _(t):
     return tree.has_subtree(nodes(t)).select(label())
@@ -270,9 +275,16 @@ def _(t):
     return tree_order.to_depth(stored_nodes(t, "EntityName"), META.max_depth, name_order()).select(label(), "position")
 
 
-@query("hier_nested", None)
+@query("hier_nested", """SELECT root, parent_path, page_no, count(*) AS n_children, string_agg(node_id, '|' ORDER BY position) AS ids
+       FROM (SELECT root, CASE WHEN depth > 1 THEN parent_path ELSE '' END AS parent_path, node_id, position,
+         CAST(CASE WHEN depth > 1 THEN ceil(position / 3.0) ELSE 1 END AS INTEGER) AS page_no FROM by_name) GROUP BY 1, 2, 3""")
 def _(t):
-    return tree_view.nest(stored_nodes(t, "EntityName", "RelationType", "Balance"), META, name_order())
+    rows = tree_view.nest(stored_nodes(t, "EntityName", "RelationType", "Balance"), META, name_order())
+    kids = F.from_json("children", f"array<struct<{META.id_key}:string>>")
+    return rows.select(
+        "root", label("parent_path"), "page_no", F.size(kids).cast("bigint").alias("n_children"),
+        F.array_join(kids[META.id_key], "|").alias("ids"),
+    )
 
 
 # --- what a reader sees
@@ -375,7 +387,8 @@ def _(t):
 # --- the whole view
 
 
-@query("hierarchy_view", "SELECT path, depth, node_id, Balance, position FROM view_nodes")
+@query("hierarchy_view", """SELECT path, depth, node_id, Balance, position, parent IS NOT NULL AS has_children FROM view_nodes
+       LEFT JOIN (SELECT DISTINCT parent_path AS parent FROM view_nodes) ON parent = path""")
 def _(t):
     view = hierarchy_view(t.hier, META, CONFIG, PARAMS, root="ASIA")
-    return view.select(label(), "depth", "node_id", "Balance", "position")
+    return view.select(label(), "depth", "node_id", "Balance", "position", "has_children")

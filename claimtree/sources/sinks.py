@@ -33,10 +33,10 @@ def save_table(df: DataFrame, name: str, path: str) -> None:
     df.write.mode("overwrite").option("path", path).saveAsTable(name)
 
 
-def export_csv(df: DataFrame, path: str, single_file_rows: int = 1_000_000) -> None:
-    """CSV with header; one file for a report, several files when the result is larger than that."""
+def export_csv(df: DataFrame, path: str, files: int | None = 1) -> None:
+    """CSV with header in the given number of files, one for a report; None leaves it to the plan."""
     # repartition, not coalesce: what computes the report keeps its tasks, only its rows are gathered.
-    report = df.repartition(1) if df.limit(single_file_rows + 1).count() <= single_file_rows else df
+    report = df.repartition(files) if files else df
     report.write.mode("overwrite").option("header", True).csv(path)
 
 
@@ -50,10 +50,18 @@ def content_hash(df: DataFrame) -> Column:
     return F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)"))
 
 
+def partition_columns(df: DataFrame, path: str) -> list[str]:
+    """Columns that a data set's folders stand for, outermost first, read from the name of one of its files."""
+    first = next(iter(df.inputFiles()), "")
+    folders = [part.split("=", 1)[0] for part in first.split("/")[:-1] if "=" in part]
+    return [name for name in folders if name in df.columns and f"{name}=" not in path]
+
+
 def relocate(spark: SparkSession, source: str, dest: str) -> DataFrame:
-    """Copy a Parquet data set and report both sides' row count and content hash."""
+    """Copy a Parquet data set with its partitions and report both sides' row count and content hash."""
     original = spark.read.parquet(source)
-    copied = materialize(original, dest).select(*original.columns)
+    write_parquet(original, dest, *partition_columns(original, source))
+    copied = spark.read.parquet(dest).select(*original.columns)
 
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count("*").alias("n"), content_hash(df).alias("h")).select(F.lit(name).alias("side"), "n", "h")

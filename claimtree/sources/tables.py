@@ -29,15 +29,6 @@ def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> Da
     return spark.read.format(fmt).load(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table whose scan has fewer tasks than there are cores; otherwise leave it alone.
-
-    A file of one row group is read by one task, and so is all that follows up to the next shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # Replacements for column names, applied in this order.
 NAME_CLEANUP = [(" ", ""), ("#", "no"), ("(", ""), (")", ""), ("-", ""), (":", "_"), (".", "")]
 
@@ -105,7 +96,3 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what} has more than {limit} rows; it is not a settings table")
     return rows
-
-
-def distinct_dim(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return df.select(*columns).distinct()

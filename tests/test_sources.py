@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from claimtree.operators import claims
 from claimtree.plans import pushdown as lab
 from claimtree.queries.fixtures import Inputs
 from claimtree.queries.lab import CITY, YEAR, partitioned_sales
@@ -65,7 +66,7 @@ def test_exports(spark, tmp_path):
     df = spark.range(0, 100, 1, 4)
     sinks.export_csv(df, str(tmp_path / "one"))
     assert len(list((tmp_path / "one").glob("part-*"))) == 1
-    sinks.export_csv(df, str(tmp_path / "many"), single_file_rows=10)
+    sinks.export_csv(df, str(tmp_path / "many"), files=None)
     assert len(list((tmp_path / "many").glob("part-*"))) > 1
     assert tables.read_csv(spark, str(tmp_path / "many")).count() == 100
 
@@ -83,24 +84,28 @@ def test_relocation_notices_a_difference(spark, tmp_path, monkeypatch):
     source, dest = str(tmp_path / "s"), str(tmp_path / "d")
     spark.range(50).write.parquet(source)
     assert tuple(sinks.relocate(spark, source, dest).first()) == (50, 50, True, True)
-    real = sinks.materialize
-    monkeypatch.setattr(sinks, "materialize", lambda df, path: real(df.withColumn("id", F.col("id") + 1), path))
+    real = sinks.write_parquet
+    monkeypatch.setattr(sinks, "write_parquet", lambda df, *rest: real(df.withColumn("id", F.col("id") + 1), *rest))
     assert tuple(sinks.relocate(spark, source, dest + "2").first()) == (50, 50, True, False)
 
 
+def test_relocation_keeps_partitions(spark, tmp_path):
+    source, dest = str(tmp_path / "s"), str(tmp_path / "d")
+    spark.range(30).withColumn("p", F.col("id") % 3).write.partitionBy("p").parquet(source)
+    assert tuple(sinks.relocate(spark, source, dest).first()) == (30, 30, True, True)
+    assert {x.name for x in (tmp_path / "d").glob("p=*")} == {"p=0", "p=1", "p=2"}
+
+
+def test_reconciliation_does_not_depend_on_row_order(spark):
+    rows = spark.range(20_000).select((F.rand(1) * 100).alias("x"))
+    assert claims.reconcile(rows, rows.repartition(7), ["x"]).first()["diff"] == 0
+
+
 def test_scratch_follows_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
-def test_spread(spark, tmp_path):
-    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "one"))
-    assert tables.spread(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == 8
-    spark.range(10).repartition(9).write.parquet(str(tmp_path / "nine"))
-    many = spark.read.parquet(str(tmp_path / "nine"))
-    assert tables.spread(many) is many
-
-
 def test_what_reaches_the_scan(spark):
     t = Inputs(spark, SMALL)
     sales, parts = t.sales, partitioned_sales(t)

@@ -249,16 +249,36 @@ def test_first_seen(spark):
 
 def test_nest(case):
     model, _, nodes, _ = case
-
-    def walk(path):
-        kids = model.children(path)[: tree_order.PAGE_SIZE]
-        return (path[-1], [walk(c) for c in kids])
-
-    def read(node):
-        return (node["EntityId"], [read(c) for c in node.get("children") or []])
-
-    got = {r.root: read(json.loads(r.tree)) for r in tree_view.nest(nodes, META, order()).collect()}
-    assert got == {r[0]: walk(r) for r in model.roots()}
+    rows = tree_view.nest(nodes, META, order()).collect()
+    roots, found = [], {}
+    for r in rows:
+        kids = [k["EntityId"] for k in json.loads(r.children)]
+        assert 0 < len(kids) <= tree_order.PAGE_SIZE
+        if r.parent_path:
+            found.setdefault(tuple(r.parent_path), {})[r.page_no] = kids
+        else:
+            roots += kids
+    assert sorted(roots) == sorted(r[0] for r in model.roots())
+    assert found.keys() == {p for p in model.nodes if model.children(p)}
+    for path, pages in found.items():
+        assert [k for page in sorted(pages) for k in pages[page]] == [c[-1] for c in model.children(path)]
+
+
+def test_late_pages_are_numbered_by_range(spark):
+    rows = [(["r"], 1, "r", "r", [], "r", True)]
+    rows += [(["r", f"n{i:05d}"], 2, "r", f"n{i:05d}", ["r"], f"n{i:05d}", False) for i in range(1500)]
+    schema = "path array<string>, depth int, root string, node_id string, parent_path array<string>, EntityName string, has_children boolean"
+    nodes = spark.createDataFrame(rows, schema)
+    want = {"r", *(f"n{i:05d}" for i in range(1197, 1200))}
+    assert {r.node_id for r in tree_order.visible(nodes, order(), page=400).collect()} == want
+    late = tree_order.visible(nodes, order(), page={("r",): 400})
+    assert {r.node_id for r in late.collect()} == want
+
+
+def test_children_after_filters(case):
+    model, _, nodes, _ = case
+    top = tree.current_children(nodes.where(F.col("depth") <= 2))
+    assert paths(top.where("has_children")) == {p for p in model.nodes if len(p) == 1 and model.children(p)}
 
 
 def test_locate(case):
@@ -295,7 +315,7 @@ def test_legend_follows_depth_first_appearance(case):
         walk(r)
     rows = tree_view.relation_legend(nodes, META, ["#1", "#2"]).collect()
     got = {r.relation_type: (r.ordinal, r.colour) for r in rows}
-    assert got == {rel: ((n, f"#{n}") if n <= 2 else (None, None)) for n, rel in enumerate(seen, 1)}
+    assert got == {rel: (n, f"#{n}" if n <= 2 else None) for n, rel in enumerate(seen, 1)}
 
 
 def test_whole_view(case, spark):
