@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from claimtree.session import scratch_path
@@ -16,3 +20,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a Python worker receives at once by bytes, since texts differ in length by any factor.
+
+    A session that has its own setting keeps it.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
+def give_back_memory() -> None:
+    """Returns what a task has freed to the system: a Python worker lives on beside the tasks that follow."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -22,6 +23,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimtree.llm.common import give_back_memory, small_batches
+
 SIMILARITY = 0.8
 # Items with fewer words are left out: they are common phrases, not test items.
 LEAST_WORDS = 8
@@ -34,7 +37,7 @@ BLOCK_WORDS = 2_000_000
 # Windows that are walked at once.
 CHUNK = 1 << 15
 # Texts whose windows are walked together.
-TEXTS = 2_000
+TEXTS = 500
 WORD = re.compile(r"\w+")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -231,6 +234,7 @@ def with_hits(
     clean. Rows are judged one by one, so repeated rows get equal hits; other columns pass through, one
     named like ``hits`` is replaced. An empty benchmark leaves everything clean.
     """
+    small_batches(docs.sparkSession)
     kind = dict(benchmark.dtypes)[item_id]
     schema = f"array<struct<{HIT.format(kind=kind).replace(' ', ':').replace(',:', ',')}>>"
     found = []
@@ -244,9 +248,11 @@ def with_hits(
 
 def _search_column(text: Column, index: Index, schema: str) -> Column:
     @F.pandas_udf(schema)
-    def run(texts: pd.Series) -> pd.Series:
-        parts = np.arange(0, len(texts), TEXTS)
-        return pd.Series(list(chain.from_iterable(index.search(texts.iloc[a : a + TEXTS].tolist()) for a in parts)))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            parts = (texts.iloc[a : a + TEXTS].tolist() for a in range(0, len(texts), TEXTS))
+            yield pd.Series(list(chain.from_iterable(map(index.search, parts))))
+        give_back_memory()
 
     return run(text)
 

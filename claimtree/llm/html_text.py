@@ -14,6 +14,8 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimtree.llm.common import small_batches
+
 # Element names by what they mean in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
@@ -250,4 +252,5 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFra
     depth are read whole, each by itself; repeated rows are all returned. Other columns pass through; one
     named like ``text`` is replaced.
     """
+    small_batches(pages.sparkSession)
     return pages.withColumn(text, extracted(F.col(html)))

@@ -20,7 +20,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimtree.llm.common import stored
+from claimtree.llm.common import give_back_memory, small_batches, stored
 
 VOCABULARY = "piece_bpe_32k.model"
 UNDETERMINED = "und"
@@ -33,10 +33,14 @@ LONGEST = 8
 ITERATIONS = 2
 # Pseudo count of every piece in every language.
 SMOOTH = 0.02
-# Words that a task counts or remembers before it passes them on or starts anew.
-REMEMBERED = 300_000
+# Words that a task remembers before it starts anew.
+REMEMBERED = 250_000
+# Different words that a task counts before it passes them on.
+COUNTED = 120_000
 # Texts whose new words are scored together.
-TEXTS = 500
+TEXTS = 2_000
+# Words of a pass over the corpus that a task takes together.
+TOGETHER = 50_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -205,6 +209,18 @@ class Model:
         return self.languages[best], float(odds[best] / odds.sum())
 
 
+def gathered(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """The same rows in frames of at least so many, except for the last."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= rows:
+            yield pd.concat(held)
+            held = []
+    if held:
+        yield pd.concat(held)
+
+
 def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """(language, word, count) over all rows; counted in the task first, so frequent words shuffle once a task."""
 
@@ -219,9 +235,10 @@ def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
         for batch in batches:
             for key, body in zip(batch["lang"], batch["text"], strict=True):
                 counted.setdefault(key, Counter()).update(words_of(body))
-                if sum(map(len, counted.values())) > REMEMBERED:
+                if sum(map(len, counted.values())) > COUNTED:
                     yield flush()
         yield flush()
+        give_back_memory()
 
     pairs = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     counted = pairs.mapInPandas(run, "lang string, word string, n long")
@@ -234,7 +251,7 @@ def _round(counts: DataFrame, languages: list[str], table: np.ndarray, path: str
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, into = piece_table(path), np.zeros_like(table)
-        for batch in batches:
+        for batch in gathered(batches, TOGETHER):
             seen = {w: k for k, w in enumerate(dict.fromkeys(batch["word"]))}
             matrix = np.zeros((len(seen), len(languages)))
             np.add.at(matrix, (batch["word"].map(seen), batch["lang"].map(column)), batch["n"])
@@ -264,6 +281,7 @@ def train(
     counts only: the size of the vocabulary times the number of languages. Rows with a NULL language or
     text are left out; with none left, the model has no language and predicts ``und`` everywhere.
     """
+    small_batches(docs.sparkSession)
     labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
     # One row per language.
     shares = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}
@@ -287,9 +305,12 @@ def predictions(text: Column, model: Model) -> Column:
     """
 
     @F.pandas_udf("lang string, score double")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        parts = (texts.iloc[a : a + TEXTS].tolist() for a in range(0, len(texts), TEXTS))
-        return pd.DataFrame(list(chain.from_iterable(map(model.predict, parts))), columns=["lang", "score"])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            parts = (texts.iloc[a : a + TEXTS].tolist() for a in range(0, len(texts), TEXTS))
+            yield pd.DataFrame(list(chain.from_iterable(map(model.predict, parts))), columns=["lang", "score"])
+        model._forget()
+        give_back_memory()
 
     return run(text)
 
@@ -299,6 +320,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", lang: str = "lan
 
     Every row is predicted by itself from its text alone; repeated rows get the same result.
     """
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (lang, score)]
     found = docs.select(*kept, predictions(F.col(text), model).alias("__p"))
     return found.select(*kept, F.col("__p.lang").alias(lang), F.col("__p.score").alias(score))

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from claimtree.llm.common import stored
+from claimtree.llm.common import small_batches, stored
 
 # Rows that the index is fitted on, at most: those with the smallest hash of their id.
 SAMPLE_ROWS = 8192
@@ -211,6 +211,7 @@ def nearest(
     candidates gets them all. Other columns are not used; empty tables give no row.
     """
     spark = vectors.sparkSession
+    small_batches(spark)
     own = [F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector")]
     pick = lambda df: df.select(*own).where(F.col("id").isNotNull() & usable(F.col("vector")))
     schema = "query_id long, vec_id long, score double"

@@ -19,12 +19,11 @@ from unicodedata import is_normalized
 import numpy as np
 import pandas as pd
 import public_tokenizers
-import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
-from claimtree.llm.common import stored
+from claimtree.llm.common import give_back_memory, small_batches, stored
 
 # Tasks already run beside each other.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -98,7 +97,6 @@ def cut_pieces(docs: DataFrame, doc_id: str, text: str, path: str | None, capaci
     schema = f"doc_id {kind}, {PIECES}, part int, part_rank long"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pa.default_memory_pool().release_unused()  # what tasks before this one left in the process
         encoder = word_ids(path or public_tokenizers.path(VOCABULARY))
         columns = ["doc_id", "piece", "start", "length", "ids", "part", "part_rank"]
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
@@ -116,6 +114,8 @@ def cut_pieces(docs: DataFrame, doc_id: str, text: str, path: str | None, capaci
                     yield pd.DataFrame(rows, columns=columns)
                     rows, held = [], 0
         yield pd.DataFrame(rows, columns=columns)
+        encoder.clear()
+        give_back_memory()
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, schema)
 
@@ -188,7 +188,8 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     slots = spark.createDataFrame(plan(histogram, capacity), PLAN).withColumnRenamed("length", "_length")
     ahead = counts.select(F.col("length").alias("_l"), F.col("part").alias("_p"), "before")
     # As many rows as tasks times lengths: that grows, so it is not broadcast whatever its files' size.
-    ahead = ahead.hint("merge")
+    # Each task holds those of its share of tasks and lengths, and the ids are not sorted.
+    ahead = ahead.hint("shuffle_hash")
     ranked = pieces.join(ahead, (F.col("length") == F.col("_l")) & (F.col("part") == F.col("_p")))
     ranked = ranked.withColumn("_rank", F.col("part_rank") + F.col("before"))
     # The plan's rows depend on the lengths that occur, not on how many documents have them.
@@ -210,6 +211,7 @@ def token_pieces(
     one: its only id is the end id. Every row of ``docs`` is a document, repeated rows and NULL ids too.
     Other columns are not used; an empty table gives no piece.
     """
+    small_batches(docs.sparkSession)
     return stored(cut_pieces(docs, doc_id, text, path, capacity), "pieces")
 
 

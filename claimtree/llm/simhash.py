@@ -14,7 +14,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimtree.llm.common import stored
+from claimtree.llm.common import small_batches, stored
 from claimtree.llm.components import components
 
 SHINGLE_WORDS, MAX_DISTANCE = 3, 2
@@ -89,6 +89,7 @@ def near_duplicates(
     word, has fingerprint zero and is linked like any other. Repeated rows are all returned. A NULL id is
     returned, but is nobody's component unless all ids of the component are NULL. Other columns are not used.
     """
+    small_batches(docs.sparkSession)
     prints = docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), words).alias("fingerprint"))
     prints = stored(prints, "fingerprints")
     links = fingerprint_links(prints, "fingerprint", max_distance)

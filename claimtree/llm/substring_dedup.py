@@ -15,7 +15,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimtree.llm.common import stored
+from claimtree.llm.common import small_batches, stored
 
 SPAN = 3
 # Covered stretches with fewer words stay: short phrases repeat without being copied.
@@ -115,6 +115,7 @@ def deduplicate(
     id and text are one document and are returned alike; rows with the same id and another text are different
     ones. Other columns pass through; one named like ``removed`` is replaced.
     """
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c != removed]
     own = F.struct(*[F.col(c).alias(c) for c in kept])
     key = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
