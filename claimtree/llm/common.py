@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from claimtree.session import scratch_path
@@ -38,5 +39,6 @@ def small_batches(spark: SparkSession) -> None:
 def give_back_memory() -> None:
     """Returns what a task has freed to the system: a Python worker lives on beside the tasks that follow."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
         ctypes.CDLL("libc.so.6").malloc_trim(0)

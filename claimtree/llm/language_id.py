@@ -259,6 +259,7 @@ def _round(counts: DataFrame, languages: list[str], table: np.ndarray, path: str
                 lattice.expected(table, matrix[[seen[w] for w in block]], into)
         at, lang = np.nonzero(into)
         yield pd.DataFrame({"piece": at, "lang": lang, "uses": into[at, lang]})
+        give_back_memory()
 
     uses = counts.mapInPandas(run, "piece long, lang long, uses double")
     # At most one row per piece of the vocabulary and language.

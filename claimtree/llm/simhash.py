@@ -7,6 +7,7 @@ most as many fingerprints as its ball has points (65 for radius 1), so no group
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -14,7 +15,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimtree.llm.common import small_batches, stored
+from claimtree.llm.common import give_back_memory, small_batches, stored
 from claimtree.llm.components import components
 
 SHINGLE_WORDS, MAX_DISTANCE = 3, 2
@@ -47,8 +48,10 @@ def fingerprints(text: Column, words: int = SHINGLE_WORDS) -> Column:
     """The fingerprint as a signed long; A-Z are lower-cased, words are runs without ASCII white space."""
 
     @F.pandas_udf("long")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, words) for t in texts], "<u8").view("<i8"))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(np.array([fingerprint(t, words) for t in texts], "<u8").view("<i8"))
+        give_back_memory()
 
     return run(text)
 
