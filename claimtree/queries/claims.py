@@ -91,6 +91,14 @@ def _(t):
     return rows.select("claim_id", "slice", *ops.PAYS)
 
 
+@query(
+    "normalize_pay_double",
+    "SELECT claim_id, slice, patient_pay::DOUBLE / days_supply * 30 AS patient_pay_norm, plan_pay::DOUBLE / days_supply * 30 AS plan_pay_norm FROM fx_claim WHERE {valid}",
+)
+def _(t):
+    return ops.normalize_pay(ops.valid_claims(t.claim)).select("claim_id", "slice", *ops.PAYS)
+
+
 @query(
     "month_bucket",
     """SELECT claim_id, fill_text, strftime(try_strptime(fill_text, '%m-%d-%Y'), '%Y-%m') AS month FROM (
@@ -247,11 +255,11 @@ def _(t):
 
 @query(
     "plan_mix",
-    """SELECT plan_type_description, plan_subtype, payment_type, sum(claim_count)::BIGINT AS claim_count FROM (
-         SELECT plan_id, count(DISTINCT claim_id) AS claim_count FROM p01
-         WHERE claim_status = 1 AND final_claim_ind = 'Y' GROUP BY 1)
-       LEFT JOIN (SELECT DISTINCT plan_id, plan_type_description, plan_subtype, payment_type FROM fx_plan) USING (plan_id)
-       GROUP BY 1, 2, 3""",
+    """SELECT kind.* EXCLUDE (plan_id), count(claim_id) AS claim_count
+       FROM (SELECT plan_id, claim_id FROM p01 WHERE claim_status = 1 AND final_claim_ind = 'Y' GROUP BY ALL) pair
+       LEFT JOIN (SELECT plan_id, plan_type_description, plan_subtype, payment_type FROM fx_plan GROUP BY ALL) kind
+         ON kind.plan_id = pair.plan_id
+       GROUP BY ALL""",
 )
 def _(t):
     return ops.plan_mix(ops.claims_per_plan(cohort(t)), t.plan)
@@ -259,10 +267,13 @@ def _(t):
 
 @query(
     "drug_ranking",
-    """SELECT drug_name, drug_generic_name, count(claim_id) AS claim_count
-       FROM (SELECT drug_id, claim_id FROM fx_claim WHERE claim_status = 1 AND final_claim_ind = 'Y') a
-       JOIN (SELECT DISTINCT drug_id, drug_name, drug_generic_name FROM fx_drug) b USING (drug_id)
-       GROUP BY 1, 2 ORDER BY claim_count DESC, drug_name, drug_generic_name LIMIT 200""",
+    """SELECT drug_name, drug_generic_name, claim_count FROM (
+         SELECT *, row_number() OVER (ORDER BY claim_count DESC, drug_name, drug_generic_name) AS place FROM (
+           SELECT drug_name, drug_generic_name, sum(n)::BIGINT AS claim_count
+           FROM (SELECT drug_id, count(claim_id) FILTER (claim_status = 1 AND final_claim_ind = 'Y') AS n,
+               bool_or(claim_status = 1 AND final_claim_ind = 'Y') AS paid FROM fx_claim GROUP BY drug_id)
+           JOIN (SELECT drug_id, drug_name, drug_generic_name FROM fx_drug GROUP BY ALL) USING (drug_id) WHERE paid GROUP BY ALL))
+       WHERE place <= 200""",
 )
 def _(t):
     return ops.drug_ranking(t.claim, t.drug)

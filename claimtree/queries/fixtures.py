@@ -18,11 +18,13 @@ SELECT p_partkey AS drug_id, lpad(concat('', p_partkey), 11, '0') AS ndc11, p_na
   p_brand AS drug_generic_name, CASE WHEN p_partkey % 2 = 0 THEN 'B' ELSE 'G' END AS bgi
 FROM {part}""",
     "fx_ndc_map": """
-SELECT concat('', p_partkey) AS ndc11, p_type AS therapy_area FROM {part} WHERE p_partkey % 10 <> 9""",
+SELECT CASE WHEN p_partkey % 10 = 9 THEN concat('X', p_partkey) ELSE concat('', p_partkey) END AS ndc11, p_type AS therapy_area
+FROM {part}""",
     "fx_product_class": """
-SELECT DISTINCT p_name AS drug_name, split_part(p_name, ' ', 1) AS overall_class,
+SELECT DISTINCT CASE WHEN split_part(p_name, ' ', 1) = 'red' THEN concat('old ', p_name) ELSE p_name END AS drug_name,
+  split_part(p_name, ' ', 1) AS overall_class,
   split_part(p_name, ' ', 2) AS initial_class, concat('CLS-', split_part(p_name, ' ', 2)) AS drug_class
-FROM {part} WHERE split_part(p_name, ' ', 1) <> 'red'""",
+FROM {part}""",
     "fx_claim": """
 SELECT l_orderkey * 10 + l_linenumber AS claim_id, o_custkey AS patient_id, l_suppkey AS physician_id,
   l_partkey AS drug_id, o_custkey % 25 AS plan_id,
@@ -35,24 +37,25 @@ SELECT l_orderkey * 10 + l_linenumber AS claim_id, o_custkey AS patient_id, l_su
   CASE WHEN l_returnflag = 'R' THEN 'N' ELSE 'Y' END AS final_claim_ind, l_orderkey % 3 + 1 AS slice
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
     "fx_plan": """
-SELECT CAST(n_nationkey AS BIGINT) AS plan_id, n_name AS plan_name, concat('T', n_regionkey) AS plan_type,
+SELECT CAST(CASE WHEN n_nationkey < 20 THEN n_nationkey ELSE -1 - n_nationkey END AS BIGINT) AS plan_id, n_name AS plan_name, concat('T', n_regionkey) AS plan_type,
   r_name AS plan_type_description, concat('S', n_nationkey % 2) AS plan_subtype,
   concat('P', n_nationkey % 3) AS payment_type, concat('Insurer ', n_regionkey) AS national_insurer_name,
   concat('NT', n_nationkey % 2) AS national_type, concat('Regional ', n_nationkey % 4) AS regional_name,
   concat('RT', n_nationkey % 3) AS regional_type, concat('Org ', n_nationkey % 6) AS organization_name,
   concat('OT', n_nationkey % 2) AS organization_type, concat('Admin ', n_nationkey % 7) AS admin_name,
   concat('AT', n_nationkey % 2) AS admin_type
-FROM {nation} JOIN {region} ON n_regionkey = r_regionkey WHERE n_nationkey < 20""",
+FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
     "fx_physician": """
 SELECT s_suppkey AS physician_id, CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE concat('NPI', s_suppkey) END AS npi,
   concat('Specialty ', s_nationkey % 4) AS specialty_description
 FROM {supplier}""",
     "fx_affiliation": """
-SELECT concat('NPI', s_suppkey) AS npi, CASE WHEN s_suppkey % 4 IN (0, 1) THEN s_nationkey END AS hospital_id,
+SELECT CASE WHEN s_suppkey % 5 = 0 THEN concat('OLD', s_suppkey) ELSE concat('NPI', s_suppkey) END AS npi,
+  CASE WHEN s_suppkey % 4 IN (0, 1) THEN s_nationkey END AS hospital_id,
   CASE WHEN s_suppkey % 4 IN (1, 2) THEN 100 + s_nationkey END AS pg_id,
   CASE WHEN s_suppkey % 4 IN (0, 1) THEN n_regionkey END AS hospital_network_id,
   CASE WHEN s_suppkey % 4 IN (1, 2) THEN n_regionkey END AS pg_network_id
-FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey WHERE s_suppkey % 5 <> 0""",
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey""",
     "fx_hospital": """
 SELECT n_nationkey AS definitive_id, concat('Hospital ', n_nationkey) AS hospital_name, r_name AS hospital_type,
   CASE WHEN n_nationkey % 2 = 0 THEN concat('H', n_nationkey) END AS id_340b, n_regionkey AS definitive_idn_id,
@@ -64,12 +67,12 @@ SELECT 100 + n_nationkey AS definitive_id, concat('Group ', n_nationkey) AS phys
   concat('Net ', r_name) AS network_name
 FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
     "fx_plan_channel": """
-SELECT DISTINCT r_name AS plan_type_description, concat('S', n_nationkey % 2) AS plan_subtype,
+SELECT DISTINCT CASE WHEN n_nationkey % 4 = 0 THEN concat('OLD ', r_name) ELSE r_name END AS plan_type_description, concat('S', n_nationkey % 2) AS plan_subtype,
   concat('P', n_nationkey % 3) AS payment_type,
   CASE WHEN n_nationkey % 3 = 0 THEN 'Commercial' ELSE 'Government' END AS plan_channel_type
-FROM {nation} JOIN {region} ON n_regionkey = r_regionkey WHERE n_nationkey % 4 <> 0""",
+FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
     "fx_entity_type": """
-SELECT n_nationkey AS final_child, concat('COT', n_nationkey % 3) AS child_cot_type,
+SELECT CASE WHEN n_nationkey % 3 = 0 THEN -1 - n_nationkey ELSE n_nationkey END AS final_child, concat('COT', n_nationkey % 3) AS child_cot_type,
   concat(n_nationkey, ' Main St') AS address, n_name AS city, concat('ST', n_regionkey) AS state,
   lpad(concat('', n_nationkey * 7), 5, '0') AS zip_code, n_nationkey % 6 AS lhm_id,
   concat('Market ', n_nationkey % 6) AS lhm_name, n_nationkey % 8 AS cbsa, concat('CBSA ', n_nationkey % 8) AS cbsa_name,
@@ -77,7 +80,7 @@ SELECT n_nationkey AS final_child, concat('COT', n_nationkey % 3) AS child_cot_t
   CASE WHEN n_nationkey % 2 = 0 THEN 'Y' ELSE 'N' END AS ahrq_flag, concat('FT', n_nationkey % 4) AS entity_firm_type,
   concat('ET', n_nationkey % 3) AS final_entity_type, concat('RET', n_nationkey % 5) AS refined_entity_type,
   concat('Level ', n_nationkey % 3) AS idn_integration_level
-FROM {nation} JOIN {region} ON n_regionkey = r_regionkey WHERE n_nationkey % 3 <> 0""",
+FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""",
     "fx_sales": """
 SELECT l_suppkey AS city_id, l_shipdate AS transacted_at, l_extendedprice AS amount,
   CAST(round(l_extendedprice * 100) AS BIGINT) AS amount_cents, year(l_shipdate) AS p_transacted_year

@@ -310,12 +310,11 @@ def _(t):
     "hier_cards",
     """SELECT path, CASE WHEN length(full_title) <= 70 THEN full_title ELSE concat(regexp_replace(substr(full_title, 1, 70), ' [^ ]*$', ''), ' ...') END AS title,
          CASE WHEN RelationType IS NULL THEN '' WHEN length(RelationType) > 27 THEN concat(substr(RelationType, 1, 24), '...') ELSE RelationType END AS subtitle,
-         concat('Balance : $', {short}) AS caption
-       FROM (SELECT *, {title}(concat(EntityName, ' (', node_id, ')')) AS full_title FROM nodes) WHERE Balance IS NOT NULL""",
+         CASE WHEN Balance IS NOT NULL THEN concat('Balance : $', {short}) END AS caption
+       FROM (SELECT *, {title}(concat(EntityName, ' (', node_id, ')')) AS full_title FROM nodes)""",
 )
 def _(t):
-    rows = nodes(t, "EntityName", "RelationType", "Balance").where(F.col("Balance").isNotNull())
-    return tree_view.node_cards(rows, META, TEXT, "Balance").select(label(), "title", "subtitle", "caption")
+    return tree_view.node_cards(nodes(t, "EntityName", "RelationType", "Balance"), META, TEXT, "Balance").select(label(), "title", "subtitle", "caption")
 
 
 @query(

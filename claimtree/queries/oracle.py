@@ -16,35 +16,37 @@ DIMS = f"month, drug_name, bgi, {PLAN}, specialty_description, {AFFILIATION}"
 SUMS = ", ".join(
     f"sum({m})::BIGINT AS {m}" for m in ("patient_count", "claim_count", "patient_pay_norm", "plan_pay_norm")
 )
-MONTHLY = """count(DISTINCT claim_id) AS claim_count, count(DISTINCT patient_id) AS patient_count,
-  sum(patient_pay_norm)::BIGINT AS patient_pay_norm, sum(plan_pay_norm)::BIGINT AS plan_pay_norm"""
 MONTH = "strftime(strptime(rx_fill_date, '%m-%d-%Y'), '%Y-%m') AS month"
 
 
+# The four cases of a row with or without a hospital and a group: who gets what share.
+SHARES = """(VALUES (true, false, 'hospital', 'Hospital', 1.0), (false, true, 'pg', 'PG', 1.0), (true, true, 'hospital', 'Hospital', 0.5),
+  (true, true, 'pg', 'PG', 0.5), (false, false, 'hospital', 'Null', 1.0)) AS share(with_hospital, with_pg, side, child_type, weight)"""
+
+
 def split(table: str, kept: str) -> str:
-    """The five-branch union that the one-pass split must equal."""
-    full = "claim_count, patient_pay_norm, plan_pay_norm"
-    half = "claim_count / 2 AS claim_count, patient_pay_norm / 2 AS patient_pay_norm, plan_pay_norm / 2 AS plan_pay_norm"
-
-    def hospital(kind: str, measures: str, where: str) -> str:
-        return f"""SELECT hospital_id AS child_id, hospital_name AS child_name, '{kind}' AS child_type,
-  hospital_type AS child_subtype, hospital_network_id AS parent_id, hospital_network_name AS parent_name, {kept},
-  "340b_id_number", "340b_flag", {measures} FROM {table} WHERE {where}"""
-
-    def group(measures: str, where: str) -> str:
-        return f"""SELECT pg_id AS child_id, pg_name AS child_name, 'PG' AS child_type, physician_group_type AS child_subtype,
-  pg_network_id AS parent_id, pg_network_name AS parent_name, {kept}, 'Null' AS "340b_id_number",
-  'Null' AS "340b_flag", {measures} FROM {table} WHERE {where}"""
-
-    branches = [
-        hospital("Hospital", full, "pg_id IS NULL AND hospital_id IS NOT NULL"),
-        group(full, "hospital_id IS NULL AND pg_id IS NOT NULL"),
-        group(half, "pg_id IS NOT NULL AND hospital_id IS NOT NULL"),
-        hospital("Hospital", half, "pg_id IS NOT NULL AND hospital_id IS NOT NULL"),
-        hospital("Null", full, "pg_id IS NULL AND hospital_id IS NULL"),
-    ]
-    doubles = "claim_count::DOUBLE AS claim_count, patient_pay_norm::DOUBLE AS patient_pay_norm, plan_pay_norm::DOUBLE AS plan_pay_norm"
-    return f"SELECT * REPLACE ({doubles}) FROM ({' UNION ALL '.join(branches)})"
+    """Rows meet the shares of their case; each share picks its side as one structure."""
+
+    def side(name: str, subtype: str, code: str, flag: str) -> str:
+        return f"""{{'child_id': {name}_id, 'child_name': {name}_name, 'child_subtype': {subtype}, 'parent_id': {name}_network_id,
+  'parent_name': {name}_network_name, '340b_id_number': {code}, '340b_flag': {flag}}}"""
+
+    hospital = side("hospital", "hospital_type", '"340b_id_number"', '"340b_flag"')
+    group = side("pg", "physician_group_type", "'Null'", "'Null'")
+    shared = ", ".join(f"{m} * weight::DOUBLE AS {m}" for m in ("claim_count", "patient_pay_norm", "plan_pay_norm"))
+    return f"""SELECT unnest(CASE side WHEN 'pg' THEN {group} ELSE {hospital} END), child_type, {kept}, {shared}
+  FROM {table} JOIN {SHARES} ON with_hospital = (hospital_id IS NOT NULL) AND with_pg = (pg_id IS NOT NULL)"""
+
+
+def monthly(rows: str, keys: str, join: str = "JOIN", drugs: str = "drug_label") -> str:
+    """Distinct ids counted as rows that come first among those of their group with the same id."""
+    return f"""SELECT {keys}, sum((nth_claim = 1 AND claim_id IS NOT NULL)::INT)::BIGINT AS claim_count,
+  sum((nth_patient = 1 AND patient_id IS NOT NULL)::INT)::BIGINT AS patient_count,
+  sum(patient_pay_norm)::BIGINT AS patient_pay_norm, sum(plan_pay_norm)::BIGINT AS plan_pay_norm
+  FROM (SELECT *, row_number() OVER (PARTITION BY {keys}, claim_id) AS nth_claim,
+      row_number() OVER (PARTITION BY {keys}, patient_id) AS nth_patient
+    FROM (SELECT *, {NORM}, {MONTH} FROM {rows} WHERE {VALID}) {join} {drugs} USING (drug_id))
+  GROUP BY ALL"""
 
 
 def enriched(table: str, columns: str) -> str:
@@ -66,33 +68,40 @@ AREA_KEPT = f"month, overall_class, initial_class, drug_class, drug_name, bgi, t
 
 CTES: dict[str, str] = {name: checking_cte(name) for name in FIXTURES}
 CTES |= {
-    "p01": """SELECT c.* FROM fx_claim c JOIN (SELECT drug_id FROM fx_drug
-  WHERE lower(drug_name) LIKE '%ring%' OR lower(drug_name) LIKE '%bolt%') b ON c.drug_id = b.drug_id""",
-    "p01_area": """SELECT c.*, therapy_area FROM fx_claim c JOIN (SELECT drug_id, therapy_area FROM fx_drug a
-  JOIN (SELECT lpad(ndc11, 11, '0') AS ndc11, therapy_area FROM fx_ndc_map WHERE therapy_area IN ('SMALL', 'ECONOMY', 'PROMO')) b
-  ON a.ndc11 = b.ndc11) d ON c.drug_id = d.drug_id""",
-    "p02": f"""SELECT physician_id, plan_id, {MONTH}, drug_name, bgi, {MONTHLY}
-  FROM (SELECT *, {NORM} FROM p01 WHERE {VALID}) a
-  JOIN (SELECT DISTINCT drug_id, drug_name, bgi FROM fx_drug) b USING (drug_id) GROUP BY 1, 2, 3, 4, 5""",
-    "p02_area": f"""SELECT physician_id, plan_id, {MONTH}, therapy_area, drug_name, bgi, {MONTHLY}
-  FROM (SELECT *, {NORM} FROM p01_area WHERE {VALID} AND therapy_area = 'ECONOMY') a
-  LEFT JOIN (SELECT DISTINCT drug_id, drug_name, bgi FROM fx_drug WHERE drug_id % 3 <> 0) b USING (drug_id) GROUP BY 1, 2, 3, 4, 5, 6""",
-    "p02_area_all": f"""SELECT physician_id, plan_id AS claim_plan_id, {MONTH}, therapy_area, drug_name, bgi, {MONTHLY}
-  FROM (SELECT *, {NORM} FROM p01_area WHERE {VALID} AND therapy_area = 'ECONOMY') a
-  LEFT JOIN (SELECT DISTINCT drug_id, drug_name, bgi FROM fx_drug) b USING (drug_id) GROUP BY 1, 2, 3, 4, 5, 6""",
+    "drug_label": "SELECT drug_id, drug_name, bgi FROM fx_drug GROUP BY ALL",
+    # Every third drug under a key that no claim has.
+    "drug_label_gaps": "SELECT CASE WHEN drug_id % 3 = 0 THEN -1 - drug_id ELSE drug_id END AS drug_id, drug_name, bgi FROM drug_label",
+    "p01": """SELECT * FROM fx_claim
+  WHERE drug_id IN (SELECT drug_id FROM fx_drug WHERE regexp_matches(drug_name, 'ring|bolt', 'i'))""",
+    "code_areas": "SELECT lpad(ndc11, 11, '0') AS ndc11, list(therapy_area) AS areas FROM fx_ndc_map GROUP BY 1",
+    "drug_area": "SELECT drug_id, unnest(areas) AS therapy_area FROM fx_drug JOIN code_areas USING (ndc11)",
+    "p01_area": "SELECT * FROM fx_claim JOIN drug_area USING (drug_id) WHERE list_contains(['SMALL', 'ECONOMY', 'PROMO'], therapy_area)",
+    "economy": "SELECT * FROM p01_area WHERE therapy_area = 'ECONOMY'",
+    "p02": monthly("p01", "physician_id, plan_id, month, drug_name, bgi"),
+    "p02_area": monthly("economy", "physician_id, plan_id, month, therapy_area, drug_name, bgi", "LEFT JOIN", "drug_label_gaps"),
+    "p02_area_all": f"""SELECT * RENAME (plan_id AS claim_plan_id)
+  FROM ({monthly("economy", "physician_id, plan_id, month, therapy_area, drug_name, bgi", "LEFT JOIN")})""",
     "p02_class": """SELECT a.*, overall_class, initial_class, drug_class FROM p02_area_all a
   LEFT JOIN fx_product_class c ON a.drug_name = c.drug_name""",
     "p02_plan": """SELECT a.* EXCLUDE (plan_id), b.* FROM p02 a LEFT JOIN fx_plan b ON a.plan_id = b.plan_id""",
-    "profile": """SELECT a.npi, hospital_id, pg_id, hospital_network_id, pg_network_id, hospital_name,
-  idn AS hospital_network_name, physician_group_name AS pg_name, network_name AS pg_network_name, hospital_type,
-  physician_group_type, "340b_id_number", "340b_flag" FROM fx_affiliation a
-  LEFT JOIN (SELECT DISTINCT definitive_id, hospital_name, hospital_type, id_340b AS "340b_id_number",
-    CASE WHEN id_340b IS NULL THEN 'No' ELSE 'yes' END AS "340b_flag" FROM fx_hospital) b ON a.hospital_id = b.definitive_id
-  LEFT JOIN (SELECT DISTINCT definitive_idn_id, idn FROM fx_hospital) c ON a.hospital_network_id = c.definitive_idn_id
-  LEFT JOIN (SELECT DISTINCT definitive_id, physician_group_name, physician_group_type FROM fx_physician_group) d
-    ON a.pg_id = d.definitive_id
-  LEFT JOIN (SELECT DISTINCT definitive_network_id, network_name FROM fx_physician_group) e
-    ON a.pg_network_id = e.definitive_network_id""",
+    # One table of what is known of an organisation in a role; a physician's four roles are rows that look it up.
+    "org_fact": """SELECT 'hospital' AS role, definitive_id AS id, hospital_name AS title, hospital_type AS kind, id_340b AS code,
+    if(id_340b IS NULL, 'No', 'yes') AS flag FROM fx_hospital
+  UNION SELECT 'hospital_network', definitive_idn_id, idn, NULL, NULL, NULL FROM fx_hospital
+  UNION SELECT 'pg', definitive_id, physician_group_name, physician_group_type, NULL, NULL FROM fx_physician_group
+  UNION SELECT 'pg_network', definitive_network_id, network_name, NULL, NULL, NULL FROM fx_physician_group""",
+    "profile": "SELECT npi, hospital_id, pg_id, hospital_network_id, pg_network_id, "
+    + ", ".join(
+        f"""max({fact}) FILTER (WHERE role = '{role}') AS "{name}\""""
+        for name, role, fact in (
+            ("hospital_name", "hospital", "title"), ("hospital_type", "hospital", "kind"), ("340b_id_number", "hospital", "code"),
+            ("340b_flag", "hospital", "flag"), ("hospital_network_name", "hospital_network", "title"), ("pg_name", "pg", "title"),
+            ("physician_group_type", "pg", "kind"), ("pg_network_name", "pg_network", "title"),
+        )
+    )
+    + """ FROM (SELECT *, row_number() OVER () AS line, unnest(['hospital', 'pg', 'hospital_network', 'pg_network']) AS role,
+    unnest([hospital_id, pg_id, hospital_network_id, pg_network_id]) AS id FROM fx_affiliation)
+  LEFT JOIN org_fact USING (role, id) GROUP BY line, npi, hospital_id, pg_id, hospital_network_id, pg_network_id""",
     "p02_keyed": "SELECT * RENAME (plan_id AS claim_plan_id) FROM p02",
     "p03_rows": "SELECT * FROM (" + enriched("p02_keyed", "physician_id, month, drug_name, bgi") + ")",
     "p04": f"SELECT {DIMS}, {SUMS} FROM p03_rows GROUP BY ALL",
