@@ -138,14 +138,25 @@ def filter_values(value: str | Sequence[str] | None) -> list[str] | None:
     return values
 
 
-def resolve_sort(config: dict, params: dict[str, str]) -> str | None:
-    """The metric to sort by: a fixed name, or the parameter's value where the setting is ``{...}``."""
-    chosen = None
-    for name, setting in config.get("filters", {}).get("func_sort", {}).items():
+def _sort_settings(config: dict, params: dict[str, str]) -> list[tuple[str, str]]:
+    """(parameter's value, setting's value) of every sort setting, in order."""
+    settings = config.get("filters", {}).get("func_sort", {})
+    for name in settings:
         if name not in params:
             raise ValueError(f"Cannot find filter {name}: please check the filter name in the config")
-        if params[name].lower() == "none":
-            chosen = None
-        else:
-            chosen = params[name] if "{" in setting["value"] else setting["value"]
-    return chosen
+    return [(params[name], setting["value"]) for name, setting in settings.items()]
+
+
+def resolve_sort(config: dict, params: dict[str, str]) -> str | None:
+    """The column to sort by: a fixed name, or the parameter's value where the setting is ``{...}``.
+
+    The last setting whose parameter is not ``none`` counts; a later ``none`` leaves its order in place.
+    """
+    columns = [chosen if "{" in value else value for chosen, value in _sort_settings(config, params) if chosen.lower() != "none"]
+    return columns[-1] if columns else None
+
+
+def resolve_metric(config: dict, params: dict[str, str]) -> str | None:
+    """The metric that cards show: the last sort parameter's value, whatever column it sorts by; None for ``none``."""
+    chosen = [value for value, _ in _sort_settings(config, params)]
+    return chosen[-1] if chosen and chosen[-1].lower() != "none" else None

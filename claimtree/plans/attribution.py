@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from claimtree.operators import claims as ops
+from claimtree.session import scratch_path
 from claimtree.sources.sinks import export_csv, materialize, save_table
 
 
@@ -48,8 +49,8 @@ STAGES = [
 class ClaimRun:
     """Stage tables of a run, each made when asked for.
 
-    All stages are lazy plans unless ``workdir`` is given; then the stages that others reuse are
-    written there once and read back. Area cohorts keep claims without a drug row, name cohorts drop
+    The stages that others reuse are written once, to ``workdir`` or else under the session's scratch
+    folder, and read back, so that several results of a run scan the claims once. Area cohorts keep claims without a drug row, name cohorts drop
     them. ``exact_cents`` keeps pays as integer cents.
     """
 
@@ -61,7 +62,8 @@ class ClaimRun:
     top: int = 200
 
     def _stage(self, name: str, df: DataFrame) -> DataFrame:
-        return materialize(df, f"{self.workdir.rstrip('/')}/{name}") if self.workdir else df
+        path = f"{self.workdir.rstrip('/')}/{name}" if self.workdir else scratch_path(df.sparkSession, name)
+        return materialize(df, path)
 
     @cached_property
     def cohort(self) -> DataFrame:

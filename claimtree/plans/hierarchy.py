@@ -10,6 +10,7 @@ from claimtree.operators import tree, tree_order
 from claimtree.operators.metadata import HierarchyMeta, filter_values, resolve_sort
 from claimtree.session import scratch_path
 from claimtree.sources.sinks import materialize
+from claimtree.sources.tables import require_nonempty
 
 # Config keys of the row filters, node filters and the sort.
 ROW_FILTERS, NODE_FILTERS = "func_csv", "func_json"
@@ -72,9 +73,10 @@ def hierarchy_view(
     workdir: str | None = None,
 ) -> DataFrame:
     """The filtered, sorted node table. The unfiltered nodes are stored once, since later steps join
-    the node table with itself; the folder is ``workdir`` or one under the session's scratch folder."""
+    the node table with itself; the folder is ``workdir`` or one under the session's scratch folder.
+    Filters that leave no row raise ``ValueError``."""
     nodes = hierarchy_nodes(wide, meta, config, params, root, order)
-    nodes = materialize(nodes, workdir or scratch_path(wide.sparkSession, "nodes"))
+    nodes = require_nonempty(materialize(nodes, workdir or scratch_path(wide.sparkSession, "nodes")))
     return arrange(nodes, meta, config, params)
 
 

@@ -429,6 +429,22 @@ def test_resolve_sort():
         metadata.resolve_sort(config, {})
 
 
+def test_sort_column_and_shown_metric_with_two_settings():
+    config = {"filters": {"func_sort": {"A": {"value": "Fixed"}, "B": {"value": "{B}"}}}}
+    assert metadata.resolve_sort(config, {"A": "Pay", "B": "Rate"}) == "Rate"
+    assert metadata.resolve_metric(config, {"A": "Pay", "B": "Rate"}) == "Rate"
+    # A later none clears the metric and leaves the rows in their order.
+    assert metadata.resolve_sort(config, {"A": "Pay", "B": "none"}) == "Fixed"
+    assert metadata.resolve_metric(config, {"A": "Pay", "B": "none"}) is None
+    assert metadata.resolve_metric({"filters": {"func_sort": {"A": {"value": "Fixed"}}}}, {"A": "Pay"}) == "Pay"
+    assert metadata.resolve_metric({}, {}) is None
+
+
+def test_view_without_rows_is_refused(spark):
+    with pytest.raises(ValueError, match="Empty data"):
+        hierarchy_view(to_df(spark, random_wide(2)), META, {}, {}, root="no such root")
+
+
 def test_arrange_without_settings(spark):
     nodes = tree.build_nodes(to_df(spark, random_wide(2)), META)
     assert arrange(nodes, META, {}, {}).count() == nodes.count()
