@@ -20,32 +20,51 @@ from claimtree.llm.common import small_batches, stored
 SPAN = 3
 # Covered stretches with fewer words stay: short phrases repeat without being copied.
 LEAST_WORDS = 20
-# A longer sentence is cut behind words chosen by their hash, on average every CUT_EVERY words, so that text
-# without full stops has units too, and a copy of it has the same ones wherever it stands.
-LONG_SENTENCE, CUT_EVERY = 24, 8
+# A sentence is cut behind the word with the smallest hash, the last one of equals, of every WINDOW of its words.
+# A window decides by its own words only, so a copy has the same units wherever it stands, save for at most WINDOW
+# words at a cut-off end. No unit has more words, so more than 4 * WINDOW words in a row hold three whole units.
+WINDOW = 12
 SENTENCE = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)\s*|\n\s*|\Z)")
-WORD_AND_SPACE = re.compile(r"\S+\s*|\s+")
+WORD_AND_SPACE = re.compile(r"\s*\S+\s*|\s+")
 # A NULL id comes after all others.
 LAST = 2**63 - 1
 
 
+class WordHashes(dict):
+    """Hash of a word whatever its case and white space, kept for short words, of which there are few."""
+
+    def __missing__(self, word: str) -> int:
+        value = zlib.crc32(word.strip().lower().encode("utf-8", "surrogatepass"))
+        if len(word) <= 24:
+            if len(self) >= 50_000:
+                self.clear()
+            self[word] = value
+        return value
+
+
+HASHES = WordHashes()
+
+
 def sentences(text: str) -> list[str]:
     """Consecutive pieces that together are the text; each keeps the white space behind it."""
     found = [s for s in SENTENCE.findall(text) if s]
-    units = []
-    for s in found:
-        if s.count(" ") < LONG_SENTENCE:
-            units.append(s)
-            continue
-        begin = at = 0
-        for word in WORD_AND_SPACE.findall(s):
-            at += len(word)
-            if zlib.crc32(word.strip().lower().encode("utf-8", "surrogatepass")) % CUT_EVERY == 0:
-                units.append(s[begin:at])
-                begin = at
-        if begin < len(s):
-            units.append(s[begin:])
-    return units
+    parts = [WORD_AND_SPACE.findall(s) for s in found]
+    counts = np.array([len(p) for p in parts], int)
+    if not (counts >= WINDOW).any():
+        return found
+    words = [w for p in parts for w in p]
+    n, last = len(words), np.cumsum(counts) - 1
+    stops = np.zeros(n, bool)
+    stops[last] = True
+    # Hash and place from the end in one number; the smallest of a window, by windows of 2, 4, 8 and 12 words.
+    low = (np.array([HASHES[w] for w in words], "<u8") << 32) | np.arange(n - 1, -1, -1, dtype="<u8")
+    for step in (1, 2, 4, WINDOW - 8):
+        low = np.minimum(low[:-step], low[step:])
+    # A window that begins fewer than WINDOW words before the end of its sentence leaves it.
+    low = low[(np.repeat(last, counts) - np.arange(n) >= WINDOW - 1)[: len(low)]]
+    stops[n - 1 - (low & 0xFFFFFFFF).astype(int)] = True
+    ends = np.cumsum([len(w) for w in words])[stops].tolist()
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def span_hashes(text: str | None, span: int = SPAN) -> np.ndarray:

@@ -102,6 +102,37 @@ def test_substring_dedup(docs, empty, spark):
     assert "".join(substring_dedup.sentences(LONG)) == LONG
 
 
+def repeated_runs(texts, words=51):
+    """Ids whose text holds that many words in a row which occur in a text before."""
+    seen, found = set(), set()
+    for key, text in texts:
+        split = text.lower().split()
+        runs = {tuple(split[a : a + words]) for a in range(len(split) - words + 1)}
+        found |= {key} if runs & seen else set()
+        seen |= runs
+    return found
+
+
+def test_substring_dedup_leaves_no_run_of_over_50_words(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+
+    def prose(n, stop):
+        return " ".join(w + "." * (rng.random() < stop) for w in rng.choices(vocabulary, k=n))
+
+    data = []
+    for stop in (0, 0.05, 0.1, 0.3):
+        for n in (51, 51, 52, 60, 90):
+            passage = prose(n, stop)
+            data += [f"{prose(rng.randrange(1, 40), stop)} {passage} {prose(rng.randrange(1, 40), stop)}" for _ in range(4)]
+    data += ["One " + "and " * 400, "Two " + "and " * 400, "One " + "to be " * 200, "Two " + "be to " * 200]
+    out = substring_dedup.deduplicate(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")).collect()
+    assert len(repeated_runs(enumerate(data))) == 62
+    assert not repeated_runs(sorted((r.doc_id, r.text) for r in out))
+    firsts = {i for i in range(0, 80, 4)}
+    assert all(r.text == data[r.doc_id] for r in out if r.doc_id in firsts)
+
+
 def test_decontamination(docs, empty, spark):
     item = " ".join(f"w{i}" for i in range(20))
     edited = " ".join(f"w{i}" for i in range(20) if i not in (4, 11)).replace("w7", "x y")
