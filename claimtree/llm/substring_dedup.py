@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from claimtree.llm.common import small_batches, stored
 
 SPAN = 3
-# Covered stretches with fewer words stay: short phrases repeat without being copied.
+# Covered stretches with fewer words stay, as short phrases repeat without being copied, unless they hold ``SPAN``
+# whole sentences or are the whole text.
 LEAST_WORDS = 20
 # A sentence is cut behind the word with the smallest hash, the last one of equals, of every WINDOW of its words.
 # A window decides by its own words only, so a copy has the same units wherever it stands, save for at most WINDOW
@@ -83,11 +84,17 @@ def without(text: str, starts: list[int], span: int = SPAN, least_words: int = L
     covered = np.zeros(len(units) + 1, bool)
     for a in starts:
         covered[a : min(a + span, len(units))] = True
+    # How many sentences end at or before each edge between units, and whether one ends there.
+    ends = np.cumsum([len(s) for s in SENTENCE.findall(text) if s])
+    places = np.cumsum([0, *map(len, units)])
+    before = np.searchsorted(ends, places, "right")
+    cut_off = ~np.isin(places, [0, *ends])
     kept, removed, begin = [], 0, 0
     edges = np.flatnonzero(np.diff(np.concatenate(([False], covered)))).tolist()
     for first, stop in zip(edges[::2], edges[1::2], strict=True):
         kept.extend(units[begin:first])
-        if sum(len(u.split()) for u in units[first:stop]) < least_words:
+        whole = stop - first == len(units) or before[stop] - before[first] - cut_off[first] >= span
+        if not whole and sum(len(u.split()) for u in units[first:stop]) < least_words:
             kept.extend(units[first:stop])
         else:
             removed += stop - first
@@ -129,8 +136,8 @@ def deduplicate(
     """All rows with repeated passages taken out of ``text``, and the number of sentences as ``removed``.
 
     The first occurrence, by ``doc_id`` (an integer; NULL comes last) and place, stays whole; in all others the
-    sentences it covers go, in stretches of at least ``least_words`` words. A copy of a whole document becomes
-    empty. A text with fewer sentences than ``span`` is one span. A NULL text stays NULL. Rows with the same
+    sentences it covers go: stretches of at least ``least_words`` words or ``span`` whole sentences, and whole
+    texts. A copy of a whole document becomes empty, however short. ``removed`` counts the units of ``sentences``. A text with fewer sentences than ``span`` is one span. A NULL text stays NULL. Rows with the same
     id and text are one document and are returned alike; rows with the same id and another text are different
     ones. Other columns pass through; one named like ``removed`` is replaced.
     """

@@ -133,6 +133,15 @@ def test_substring_dedup_leaves_no_run_of_over_50_words(spark):
     assert all(r.text == data[r.doc_id] for r in out if r.doc_id in firsts)
 
 
+def test_substring_dedup_of_short_copies(spark):
+    notice, phrase = "All rights reserved. No warranty. Use at own risk.", "of the best we have seen in all these years of work at the old mill"
+    long = "He said that this was one {} and that nobody who came by later could do any better than what they did."
+    data = [(1, "one"), (2, "one"), (3, "Two words. And four more."), (4, "Two words. And four more."), (5, f"First text. {notice}"),
+            (6, f"Another text here. {notice} Its end."), (7, long.format(phrase)), (8, f"Nothing beats {phrase}, or so they say.")]
+    out = {r.doc_id: r.text for r in substring_dedup.deduplicate(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert out == dict(data) | {2: "", 4: "", 6: "Another text here. Its end."}
+
+
 def test_decontamination(docs, empty, spark):
     item = " ".join(f"w{i}" for i in range(20))
     edited = " ".join(f"w{i}" for i in range(20) if i not in (4, 11)).replace("w7", "x y")
