@@ -3,7 +3,8 @@
 Paragraphs pass points for their length and commas to their ancestors, the parent in full and each further
 one less; a container's points are discounted by the share of its text that is links. The container with
 the most points is the article, and its siblings with enough points of their own belong to it. Parts that
-are never article text (menus, forms, notices, adverts, comments of readers) are left out before scoring.
+are never article text (menus, forms, notices, adverts, comments of readers) are left out before scoring; one
+whose name alone is doubtful stays if it holds over half of the page's points.
 """
 
 from __future__ import annotations
@@ -35,11 +36,21 @@ CLOSES_P = frozenset(
 SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
+# Names of parts that are never the article, however long, and names that an article's container can bear as well
+# (social-science, search-engines, side-by-side): those are left out unless they hold most of the page's points.
 JUNK_NAME = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent\w*|gdpr|notices?|notification\w*|alerts?|"
-    r"popup\w*|modal\w*|overlay\w*|newsletter\w*|subscri\w*|shar(?:e|ing)\w*|social\w*|related\w*|recommend\w*|sidebars?|"
-    r"side|menus?|nav\w*|breadcrumbs?|foot\w*|masthead|site-?header|page-?header|top-?bar|header|comments?\w*|repl(?:y|ies)|"
-    r"respond|disqus|login|signup|search\w*|widgets?|pag(?:er|ination)|toolbar|outbrain|taboola|skip-?link|disclaimer|legal)"
+    r"(?:^|[-_\s])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:s|ed)?|banners?|cookies?|consent|gdpr|popups?|modals?|"
+    r"overlays?|newsletters?|breadcrumbs?|comments?|comment(?:list|form|box)|repl(?:y|ies)|respond|disqus|login|signup|"
+    r"pag(?:er|ination)|outbrain|taboola|skip-?link)"
+    r"(?=$|[-_\s\d])",
+    re.IGNORECASE,
+)
+DOUBTFUL_NAME = re.compile(
+    r"(?:^|[-_\s])(?:advert\w*|sponsor\w*|promo(?:s|box|bar|tions?|tional)?|banner\w*|cookie\w*|notices?|notification\w*|alerts?|"
+    r"popup\w*|modal\w*|overlay\w*|newsletter\w*|subscri\w*|shar(?:e|ing)(?:s|d|bar|box|this|buttons?|links?|icons?)?|social\w*|"
+    r"related\w*|recommend\w*|sidebars?|side|menus?|nav\w*|foot|footers?|foot(?:er)?(?:bar|nav|links?|menu|text)|masthead|"
+    r"site-?header|page-?header|top-?bar|header|comments?(?:area|section|wrap|wrapper|s|ers?)|"
+    r"search(?:bar|box|form|field|input|results?)?|widgets?|toolbar|disclaimer|legal)"
     r"(?=$|[-_\s\d])",
     re.IGNORECASE,
 )
@@ -55,12 +66,12 @@ SIBLING_SHARE = 0.2
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "junk", "points", "chars", "link_chars", "best")
+    __slots__ = ("tag", "parent", "children", "junk", "points", "chars", "link_chars", "best", "doubtful", "held")
 
-    def __init__(self, tag: str, parent: Node | None, junk: bool):
-        self.tag, self.parent, self.junk = tag, parent, junk
+    def __init__(self, tag: str, parent: Node | None, junk: bool, doubtful: bool = False):
+        self.tag, self.parent, self.junk, self.doubtful = tag, parent, junk, doubtful
         self.children: list[Node | str] = []
-        self.points = 0.0
+        self.points = self.held = 0.0
         self.chars = self.link_chars = 0
 
 
@@ -79,6 +90,12 @@ def is_junk(tag: str, attributes: list[tuple[str, str | None]], inside_article:
     return False
 
 
+def is_doubtful(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
+    if tag in KEPT_TAGS:
+        return False
+    return any(name in ("class", "id") and value and DOUBTFUL_NAME.search(value) for name, value in attributes)
+
+
 class Tree(HTMLParser):
     """A forgiving tree: unclosed paragraphs, items and inline marks end where their block ends."""
 
@@ -86,6 +103,7 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None, False)
         self.articles = 0
+        self.doubtful: list[Node] = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in CLOSES_P:
@@ -98,7 +116,9 @@ class Tree(HTMLParser):
             return
         if tag in ("html", "body"):
             return
-        node = Node(tag, self.at, is_junk(tag, attrs, self.articles > 0))
+        node = Node(tag, self.at, is_junk(tag, attrs, self.articles > 0), is_doubtful(tag, attrs))
+        if node.doubtful and not node.junk:
+            self.doubtful.append(node)
         self.articles += tag in ("article", "main")
         self.at.children.append(node)
         self.at = node
@@ -174,6 +194,8 @@ def _ordered(root: Node) -> list[Node]:
 
 
 def _score(order: list[Node]) -> None:
+    for node in order:
+        node.points, node.chars, node.link_chars, node.held = 0.0, 0, 0, 0.0
     texts: dict[int, list[str]] = {}
     for node in reversed(order):
         own = "".join(c for c in node.children if isinstance(c, str))
@@ -194,6 +216,7 @@ def _score(order: list[Node]) -> None:
         if node.tag not in PARAGRAPHS and not words.strip() or len(words) < LEAST_PARAGRAPH:
             continue
         points = BASE_POINTS + words.count(",") + min(len(words) / CHARS_A_POINT, MOST_LENGTH_POINTS)
+        node.held += points
         if node.tag not in PARAGRAPHS:
             node.points += points
         above, share = node.parent, 1.0
@@ -204,11 +227,26 @@ def _score(order: list[Node]) -> None:
         node.points *= 1 - node.link_chars / max(1, node.chars)
 
 
+def _drop_doubtful(tree: Tree) -> None:
+    """Parts with a doubtful name become junk, save those that hold over half of the page's paragraph points."""
+    if not tree.doubtful:
+        return
+    order = _ordered(tree.root)
+    _score(order)
+    for node in reversed(order):
+        if node.parent is not None:
+            node.parent.held += node.held
+    for node in tree.doubtful:
+        share = 1 - node.link_chars / max(1, node.chars)
+        node.junk = node.held * share <= tree.root.held / 2
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks in page order, joined by single spaces; '' if there is none."""
     tree = Tree()
     tree.feed(html or "")
     tree.close()
+    _drop_doubtful(tree)
     order = _ordered(tree.root)
     _score(order)
     best = max(order, key=lambda n: n.points)

@@ -142,6 +142,18 @@ def test_substring_dedup_of_short_copies(spark):
     assert out == dict(data) | {2: "", 4: "", 6: "Another text here. Its end."}
 
 
+@pytest.mark.parametrize("name", [
+    "football-report", "commentary", "social-science", "search-engines", "footnotes", "article-header", "side-by-side",
+])
+def test_article_in_a_container_with_a_doubtful_name(name):
+    lines = [f"The team met at the gate number {i}, and then it went on, as ever, to the old ground." for i in range(6)]
+    article = "".join(f"<p>{x}</p>" for x in lines)
+    rest = "<p>Short lines about other things, to be left out of the text.</p>"
+    page = f"<body><div class='sidebar'>{rest}</div><div id='{{}}'>{article}</div><div class='{name}'>{rest}</div><div id='comments'>{rest * 20}</div>"
+    assert html_text.main_text(page.format(name)).startswith(" ".join(lines))
+    assert "other things" not in html_text.main_text(f"<body><div class='social'>{rest}</div><div id='{name}'>{article}</div><div id='footer'>{rest}</div>")
+
+
 def test_decontamination(docs, empty, spark):
     item = " ".join(f"w{i}" for i in range(20))
     edited = " ".join(f"w{i}" for i in range(20) if i not in (4, 11)).replace("w7", "x y")
