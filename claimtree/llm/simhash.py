@@ -92,8 +92,16 @@ def near_duplicates(
     word, has fingerprint zero and is linked like any other. Repeated rows are all returned. A NULL id is
     returned, but is nobody's component unless all ids of the component are NULL. Other columns are not used.
     """
+    return _labelled(docs, doc_id, text, words, max_distance).select("doc_id", "fingerprint", "component_id")
+
+
+def _labelled(
+    docs: DataFrame, doc_id: str, text: str, words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE, **more: Column,
+) -> DataFrame:
+    """The rows of ``near_duplicates`` with the ``root`` fingerprint of their component and the columns ``more``."""
     small_batches(docs.sparkSession)
-    prints = docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), words).alias("fingerprint"))
+    more = [c.alias(name) for name, c in more.items()]
+    prints = docs.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text), words).alias("fingerprint"), *more)
     prints = stored(prints, "fingerprints")
     links = fingerprint_links(prints, "fingerprint", max_distance)
     groups = components(links)  # node, root: fingerprints that have a link
@@ -102,9 +110,8 @@ def near_duplicates(
     nodes = nodes.select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
     nodes = stored(nodes, "fingerprint-roots")
     smallest = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
-    labelled = nodes.join(smallest, "root").select(F.col("fingerprint").alias("fp"), "component_id")
-    joined = prints.join(labelled, F.col("fingerprint") == F.col("fp"))
-    return joined.select("doc_id", "fingerprint", "component_id")
+    labelled = nodes.join(smallest, "root").select(F.col("fingerprint").alias("fp"), "root", "component_id")
+    return prints.join(labelled, F.col("fingerprint") == F.col("fp")).drop("fp")
 
 
 def hex_digits(fingerprint: Column) -> Column:
@@ -112,11 +119,17 @@ def hex_digits(fingerprint: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; repeated rows of that id become one.
+    """One row of each component of ``docs``, with its smallest id; repeated rows of it become one.
 
-    Rows with a NULL id stay, as they cannot be told apart.
+    Of several texts with that id in one component the one with the smallest fingerprint stays. Rows with a NULL
+    id stay, as they cannot be told apart.
     """
-    found = near_duplicates(docs.select(doc_id, text), doc_id, text, **options)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(keep, F.col(doc_id) == F.col("__keep"), "left_semi").dropDuplicates([doc_id])
+    mark = F.xxhash64(F.col(text))
+    found = _labelled(docs.select(doc_id, text), doc_id, text, mark=mark, **options)
+    found = found.where(F.col("doc_id") == F.col("component_id"))
+    keep = found.groupBy("root").agg(F.min(F.struct("doc_id", "fingerprint", "mark")).alias("k"))
+    keep = keep.select(F.col("k.doc_id").alias("__keep"), F.col("k.mark").alias("__kept_mark"))
+    marked = docs.withColumn("__mark", mark)
+    same = (F.col(doc_id) == F.col("__keep")) & (F.col("__mark") == F.col("__kept_mark"))
+    kept = marked.join(keep, same, "left_semi").dropDuplicates([doc_id, "__mark"]).drop("__mark")
     return kept.unionByName(docs.where(F.col(doc_id).isNull()))

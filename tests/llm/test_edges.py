@@ -59,6 +59,14 @@ def test_simhash(docs, empty):
     assert sorted(x for x in kept if x is not None) == [0, 3, 5, 6] and kept.count(None) == 1
 
 
+def test_one_of_each_of_different_texts_with_one_id(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(60)) for name in ("red", "green", "blue", "gray")]
+    ids = [(3, 0), (7, 0), (7, 1), (7, 2), (7, 2), (9, 1), (7, 0), (8, 3)]
+    data = [(i, texts[t], f"row{n}") for n, (i, t) in enumerate(ids)]
+    kept = simhash.one_of_each(spark.createDataFrame(data, "doc_id long, text string, key string")).collect()
+    assert sorted((r.doc_id, texts.index(r.text)) for r in kept) == [(3, 0), (7, 1), (7, 2), (8, 3)]
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, 5)]
     rows = components.components(spark.createDataFrame(links, "a long, b long")).collect()
