@@ -43,6 +43,8 @@ class Cohort:
 STAGES = [
     "cohort", "monthly", "by_npi", "by_org", "split", "attributed", "yearly", "crosstab", "plan_mix", "drug_ranking",
 ]
+# Stages of few rows whatever the number of claims.
+REPORTS = frozenset(["crosstab", "plan_mix", "drug_ranking"])
 
 
 @dataclass
@@ -125,9 +127,15 @@ class ClaimRun:
         return [(name, getattr(self, name)) for name in STAGES]
 
 
-def publish(run: ClaimRun, tables: dict[str, tuple[str, str]], exports: dict[str, str]) -> None:
-    """Save stages as external tables (``stage -> (name, path)``) and as CSV files (``stage -> path``)."""
+def publish(
+    run: ClaimRun, tables: dict[str, tuple[str, str]], exports: dict[str, str], files: dict[str, int | None] | None = None,
+) -> None:
+    """Save stages as external tables (``stage -> (name, path)``) and as CSV files (``stage -> path``).
+
+    ``files`` gives the number of CSV files of a stage. Others are one file for a report, and for stages that grow
+    with the claims as many as the plan has tasks.
+    """
     for stage, (name, path) in tables.items():
         save_table(getattr(run, stage), name, path)
     for stage, path in exports.items():
-        export_csv(getattr(run, stage), path)
+        export_csv(getattr(run, stage), path, (files or {}).get(stage, 1 if stage in REPORTS else None))

@@ -160,6 +160,14 @@ def test_run_with_stage_files_and_publishing(spark, tmp_path):
     assert len(list((tmp_path / "crosstab").glob("part-*.csv"))) == 1
 
 
+def test_published_stages_that_grow_are_not_one_file(spark, tmp_path, monkeypatch):
+    asked = {}
+    monkeypatch.setattr("claimtree.plans.attribution.export_csv", lambda df, path, files=1: asked.update({path: files}))
+    run = ClaimRun(registered.sources(Inputs(spark, SMALL)), Cohort(patterns=["ring"]), 1999)
+    publish(run, {}, {s: s for s in ("split", "attributed", "by_org", "crosstab")}, files={"by_org": 7})
+    assert asked == {"split": None, "attributed": None, "by_org": 7, "crosstab": 1}
+
+
 def test_crosstab_pivot(spark):
     t = Inputs(spark, SMALL)
     rows = ops.claims_split(registered.by_org(t))
