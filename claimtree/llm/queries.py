@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimtree.llm import chat, decontaminate, html_text, language_id, neighbours, packing, pii, simhash, substring_dedup, url_filter
+from claimtree.llm import alignment, chat, decontaminate, html_text, language_id, neighbours, packing, pii, simhash
+from claimtree.llm import substring_dedup, url_filter
 from claimtree.llm.common import table
 
 # A key for these queries only; real runs pass their own.
@@ -133,3 +134,9 @@ def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
 def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found, _ = alignment.align_documents(table(spark, folder, "documents").select("doc_id", "text"))
+    return found
