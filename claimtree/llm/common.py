@@ -7,6 +7,7 @@ import ctypes
 import gc
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 from claimtree.session import scratch_path
@@ -42,3 +43,11 @@ def give_back_memory() -> None:
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
         ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def shared_files(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """File system and path of a place in the shared folder, for tasks that read or write files themselves.
+
+    Any store that Arrow opens can be the shared folder: a mounted path, HDFS, S3 or GCS.
+    """
+    return pyarrow.fs.FileSystem.from_uri(path)

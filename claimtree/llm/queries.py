@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimtree.llm import alignment, chat, decontaminate, html_text, language_id, neighbours, packing, pii, simhash
-from claimtree.llm import substring_dedup, url_filter
+from claimtree.llm import source_audit, substring_dedup, url_filter
 from claimtree.llm.common import table
 
 # A key for these queries only; real runs pass their own.
@@ -140,3 +140,33 @@ def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = alignment.align_documents(table(spark, folder, "documents").select("doc_id", "text"))
     return found
+
+
+AUDIT_SQL = r"""
+WITH texts AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+kept AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM texts) GROUP BY lang, term HAVING count(*) >= 30),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+uses AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS term FROM texts)
+  JOIN kept USING (lang, term) GROUP BY lang, source, term),
+own AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM texts) LEFT JOIN uses USING (lang, source) GROUP BY lang, source),
+every AS (SELECT lang, sum(total) AS total FROM own GROUP BY lang),
+cells AS (SELECT own.lang, own.source, kept.term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p
+  FROM own JOIN kept ON own.lang = kept.lang JOIN sizes ON sizes.lang = own.lang
+  LEFT JOIN uses ON uses.lang = own.lang AND uses.source = own.source AND uses.term = kept.term),
+whole AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) // (any_value(total) + 5 * any_value(v)) AS q
+  FROM uses JOIN every USING (lang) JOIN sizes USING (lang) GROUP BY lang, term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM cells a JOIN cells b
+  ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM own a JOIN own b
+  ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM cells JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op12_source_audit", AUDIT_SQL)
+def op12_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.audit(table(spark, folder, "documents").select("lang", "source", "text"))
