@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimtree.llm import alignment, chat, decontaminate, html_text, language_id, neighbours, packing, pii, simhash
-from claimtree.llm import source_audit, substring_dedup, url_filter
-from claimtree.llm.common import table
+from claimtree.llm import source_audit, substring_dedup, url_filter, warc
+from claimtree.llm.common import stored, table
 
 # A key for these queries only; real runs pass their own.
 PII_KEY = "claimtree-example"
@@ -170,3 +170,26 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank F
 @query("op12_source_audit", AUDIT_SQL)
 def op12_source_audit(spark: SparkSession, folder: str) -> DataFrame:
     return source_audit.audit(table(spark, folder, "documents").select("lang", "source", "text"))
+
+
+WARC_SQL = """
+WITH raw AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+fifths AS (SELECT page_id, payload_bytes, list_transform(range(8), lambda k: ('0x' || substr(hex, 5 * k + 1, 5))::BIGINT) AS twenty FROM raw),
+digests AS (SELECT page_id, payload_bytes::BIGINT AS payload_bytes, list_aggregate(list_transform(range(32), lambda k:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((twenty[k // 4 + 1] >> (15 - 5 * (k % 4))) & 31)::INTEGER + 1, 1)), 'string_agg', '')
+  AS payload_digest FROM fifths),
+marked AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS original FROM digests)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to FROM marked
+"""
+
+
+@query("op11_warc", WARC_SQL)
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    written = warc.write_pages(table(spark, folder, "pages").select("page_id", "url", "html"))
+    reduced = warc.deduplicate(written, prefer=F.col("source_id").cast("bigint"), least_bytes=0)
+    back = warc.payload_records(stored(warc.read_headers(reduced), "headers"))
+    return back.select(
+        F.col("source_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("type").alias("record_type"), F.col("refers_source_id").cast("bigint").alias("refers_to"),
+    )
