@@ -3,14 +3,19 @@
 Paragraphs pass points for their length and commas to their ancestors, the parent in full and each further
 one less; a container's points are discounted by the share of its text that is links. The container with
 the most points is the article, and its siblings with enough points of their own belong to it. Parts that
-are never article text (menus, forms, notices, adverts, comments of readers) are left out before scoring; one
-whose name alone is doubtful stays if it holds over half of the page's points.
+are never article text (menus, notices, adverts, comments of readers) are left out before scoring. A part whose
+name alone is doubtful stays if it holds over half of the page's points, and so does a form, which may span the
+page, or a part that was never closed, which swallows what follows it.
+
+Any text gives a tree: declarations and marked sections are comments, ``head`` ends where the body's content
+begins, and end tags without a start are skipped. Every tag costs the same, however deep the page is.
 """
 
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from collections import defaultdict
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,7 +25,7 @@ from claimtree.llm.common import small_batches
 # Element names by what they mean in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
-    "script style noscript template head title nav aside footer form button select textarea option iframe object svg "
+    "script style noscript template head title nav aside footer button select textarea option iframe object svg "
     "canvas audio video dialog menu input map applet".split()
 )
 INLINE = frozenset(
@@ -59,6 +64,19 @@ JUNK_ROLES = frozenset(
 )
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 KEPT_TAGS = frozenset("html body article main".split())
+# What a head may hold; anything else ends it.
+HEAD_TAGS = frozenset("base basefont bgsound link meta title script style noscript template".split())
+# Elements that need no end tag, so that a missing one says nothing.
+OPEN_ENDED = frozenset("p li dt dd td th tr option thead tbody tfoot colgroup".split())
+
+# Elements whose content is text up to their own end tag; without that end, the last two are like any other.
+RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
+TEXT_IF_OPEN = frozenset("textarea title".split())
+# A tag with quoted values; longer ones end at the next sign that could end them.
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+OPEN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+LONGEST_QUOTED = 1 << 16
+ATTRIBUTE = re.compile(r"""([^\s/>=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?""")
 
 BASE_POINTS, CHARS_A_POINT, MOST_LENGTH_POINTS = 1.0, 100, 3.0
 LEAST_PARAGRAPH = 25
@@ -66,13 +84,14 @@ SIBLING_SHARE = 0.2
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "junk", "points", "chars", "link_chars", "best", "doubtful", "held")
+    __slots__ = ("tag", "parent", "children", "junk", "points", "chars", "link_chars", "doubtful", "held", "depth")
 
     def __init__(self, tag: str, parent: Node | None, junk: bool, doubtful: bool = False):
         self.tag, self.parent, self.junk, self.doubtful = tag, parent, junk, doubtful
         self.children: list[Node | str] = []
         self.points = self.held = 0.0
         self.chars = self.link_chars = 0
+        self.depth = 0 if parent is None else parent.depth + 1
 
 
 def is_junk(tag: str, attributes: list[tuple[str, str | None]], inside_article: bool) -> bool:
@@ -93,19 +112,72 @@ def is_junk(tag: str, attributes: list[tuple[str, str | None]], inside_article:
 def is_doubtful(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
     if tag in KEPT_TAGS:
         return False
+    if tag == "form":
+        return True
     return any(name in ("class", "id") and value and DOUBTFUL_NAME.search(value) for name, value in attributes)
 
 
-class Tree(HTMLParser):
+class Tree:
     """A forgiving tree: unclosed paragraphs, items and inline marks end where their block ends."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None, False)
-        self.articles = 0
         self.doubtful: list[Node] = []
+        # Open elements by tag, and the open ones that are not inline, innermost last.
+        self.open: dict[str, list[Node]] = defaultdict(list)
+        self.blocks = [self.root]
+
+    def read(self, html: str) -> None:
+        """Reads the page from start to end; what does not end is text, so nothing is looked at twice."""
+        at, missing = 0, set()  # ends that do not occur any more
+        while at < len(html):
+            start = html.find("<", at)
+            if start < 0:
+                break
+            if start > at:
+                self.handle_data(unescape(html[at:start]))
+            if html.startswith("<!--", start):
+                end = -1 if "-->" in missing else html.find("-->", start + 2)
+                if end >= 0:
+                    at = end + 3
+                    continue
+                missing.add("-->")
+            after = html[start + 1 : start + 3]
+            first = after[1:] if after[:1] == "/" else after[:1]
+            is_tag = first.isascii() and first.isalpha()
+            if not is_tag and after[:1] not in ("!", "?", "/"):
+                self.handle_data("<")
+                at = start + 1
+                continue
+            end = html.find(">", start)
+            if end < 0:
+                at = start
+                break
+            at = end + 1
+            tag = (TAG.match(html, start, start + LONGEST_QUOTED) or OPEN_TAG.match(html, start)) if is_tag else None
+            if tag is None:
+                continue
+            at, name = tag.end(), tag[2].lower()
+            if tag[1]:
+                self.handle_endtag(name)
+                continue
+            attributes = [(m[1].lower(), m[2] and unescape(m[2].strip("\"'"))) for m in ATTRIBUTE.finditer(tag[3])]
+            self.handle_starttag(name, attributes)
+            if name in RAW and name not in missing:
+                close = re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE).search(html, at)
+                if close is None:
+                    missing.add(name)
+                if close or name not in TEXT_IF_OPEN:
+                    at = close.start() if close else len(html)
+            elif tag[3].endswith("/") and name not in VOID:
+                self.handle_endtag(name)
+        self.handle_data(unescape(html[at:]))
+        while self.at.parent is not None:
+            self._leave(self.at)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.open["head"] and tag not in HEAD_TAGS:
+            self._leave(self.open["head"][-1])
         if tag in CLOSES_P:
             self._end({"p"}, CLOSES_P - {"p"})
         if tag in SAME_ENDS:
@@ -116,39 +188,56 @@ class Tree(HTMLParser):
             return
         if tag in ("html", "body"):
             return
-        node = Node(tag, self.at, is_junk(tag, attrs, self.articles > 0), is_doubtful(tag, attrs))
+        inside_article = bool(self.open["article"] or self.open["main"])
+        node = Node(tag, self.at, is_junk(tag, attrs, inside_article), is_doubtful(tag, attrs))
         if node.doubtful and not node.junk:
             self.doubtful.append(node)
-        self.articles += tag in ("article", "main")
         self.at.children.append(node)
+        self.open[tag].append(node)
+        if tag not in INLINE:
+            self.blocks.append(node)
         self.at = node
 
+    def _innermost(self, tags: set[str] | frozenset[str]) -> Node | None:
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), key=lambda n: n.depth, default=None)
+
     def _end(self, tags: set[str], scopes: set[str] | frozenset[str]) -> None:
-        node = self.at
-        while node.parent is not None and node.tag not in tags:
-            if node.tag in scopes:
-                return
-            node = node.parent
-        if node.parent is not None:
+        node = self._innermost(tags)
+        if node is None:
+            return
+        scope = self._innermost(scopes - tags)
+        if scope is None or scope.depth < node.depth:
             self._leave(node)
 
-    def _leave(self, node: Node) -> None:
-        while self.at is not node:
-            self.articles -= self.at.tag in ("article", "main")
-            self.at = self.at.parent
-        self.articles -= node.tag in ("article", "main")
-        self.at = node.parent
+    def _leave(self, node: Node, closed: bool = False) -> None:
+        while True:
+            left = self.at
+            self.open[left.tag].pop()
+            if self.blocks[-1] is left:
+                self.blocks.pop()
+            self.at = left.parent
+            if left is node:
+                break
+            self._unclosed(left)
+        if not closed:
+            self._unclosed(node)
+
+    def _unclosed(self, node: Node) -> None:
+        """What a part without its end tag holds may be the rest of the page."""
+        if node.junk and node.tag not in OPEN_ENDED and node.tag not in INLINE and node.tag != "head":
+            node.junk = False
+            self.doubtful.append(node)
 
     def handle_endtag(self, tag: str) -> None:
-        node = self.at
-        while node.parent is not None and node.tag != tag:
-            if tag in INLINE and node.tag not in INLINE:
-                return
-            node = node.parent
-        if node.parent is not None:
-            self._leave(node)
+        if not self.open.get(tag):
+            return
+        node = self.open[tag][-1]
+        if tag not in INLINE or self.blocks[-1].depth < node.depth:
+            self._leave(node, closed=True)
 
     def handle_data(self, data: str) -> None:
+        if self.at.tag == "head" and data.strip():
+            self._leave(self.at)
         self.at.children.append(data)
 
 
@@ -196,26 +285,27 @@ def _ordered(root: Node) -> list[Node]:
 def _score(order: list[Node]) -> None:
     for node in order:
         node.points, node.chars, node.link_chars, node.held = 0.0, 0, 0, 0.0
-    texts: dict[int, list[str]] = {}
+    # Length and commas of the text that inline elements pass up to their block.
+    passed: dict[int, tuple[int, int]] = {}
     for node in reversed(order):
         own = "".join(c for c in node.children if isinstance(c, str))
         text = " ".join(own.split())
         node.chars += len(text)
         if node.tag == "a":
             node.link_chars = node.chars
-        parts = texts.pop(id(node), [])
-        parts.append(text)
+        length, commas = passed.pop(id(node), (0, 0))
+        length, commas = length + len(text) + 1, commas + text.count(",")
         if node.parent is not None:
             node.parent.chars += node.chars
             node.parent.link_chars += node.link_chars
             if node.tag in INLINE:
-                texts.setdefault(id(node.parent), []).extend(parts)
+                before = passed.get(id(node.parent), (0, 0))
+                passed[id(node.parent)] = (before[0] + length, before[1] + commas)
                 continue
         # A block's own text, with that of the inline elements in it, is a paragraph if it is long enough.
-        words = " ".join(parts)
-        if node.tag not in PARAGRAPHS and not words.strip() or len(words) < LEAST_PARAGRAPH:
+        if length - 1 < LEAST_PARAGRAPH:
             continue
-        points = BASE_POINTS + words.count(",") + min(len(words) / CHARS_A_POINT, MOST_LENGTH_POINTS)
+        points = BASE_POINTS + commas + min((length - 1) / CHARS_A_POINT, MOST_LENGTH_POINTS)
         node.held += points
         if node.tag not in PARAGRAPHS:
             node.points += points
@@ -244,8 +334,7 @@ def _drop_doubtful(tree: Tree) -> None:
 def main_text(html: str | None) -> str:
     """The article's blocks in page order, joined by single spaces; '' if there is none."""
     tree = Tree()
-    tree.feed(html or "")
-    tree.close()
+    tree.read(html or "")
     _drop_doubtful(tree)
     order = _ordered(tree.root)
     _score(order)
