@@ -38,8 +38,16 @@ REMEMBERED = 300_000
 SENT_BYTES = 1 << 22
 # Signs that form a token run of their own after a word; an apostrophe may not.
 SIGNS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+# Letters from here on are left to the tokenizer, whose tables of letters may be older.
+SURE = "\u0530"
 
 
+def is_plain(word: str) -> bool:
+    """Letters that normalising leaves as they are: composed, and in lower case."""
+    if word.isascii():
+        return word.isalpha() and word.islower()
+    return max(word) < SURE and word.isalpha() and word == word.lower() and is_normalized("NFC", word)
+
 
 def _byte_signs() -> dict[int, int]:
     """The public byte-level mapping: printable Latin-1 signs stand for themselves, other bytes from 256 on."""
@@ -57,7 +65,7 @@ class WordIds(dict):
 
     The vocabulary's splitting never crosses white space, so the ids of a text are those of its parts
     between blanks. A part of nothing but letters is one word to the splitting, so its merges are asked for
-    directly; a word with signs behind it is split between them anyway; all others are encoded in full.
+    directly; such a word with signs behind it is split between them anyway; all others are encoded in full.
     """
 
     def __init__(self, path: str):
@@ -66,11 +74,10 @@ class WordIds(dict):
         self.merges = self.encoder.model
 
     def __missing__(self, part: str) -> bytes:
-        if part.isalpha() and (part.isascii() or is_normalized("NFC", part)) and part == part.lower():
-            # Lower case and composed already, so normalising would leave the word as it is.
+        if is_plain(part):
             word = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_SIGNS)
             found = [t.id for t in self.merges.tokenize(word)]
-        elif (word := part.rstrip(SIGNS)) != part and word.isalpha():
+        elif (word := part.rstrip(SIGNS)) != part and is_plain(word):
             self[part] = ids = self[word] + self[part[len(word) :]]
             return ids
         else:
