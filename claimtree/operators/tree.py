@@ -60,14 +60,18 @@ def apply_filters(wide: DataFrame, meta: HierarchyMeta, spec: Sequence[tuple[str
 
 
 def first_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of every key by the order columns, which make it unique inside the key.
+    """The first row of every key by the order columns, numbers that make it unique inside the key.
 
-    A text-bearing minimum is aggregated by sorting; the hash in front of the key makes that sort
-    compare longs.
+    Two phases and no sorted aggregate: the least number of each key is a hash aggregate that carries nothing
+    else, and the rows that have it are joined back. A key with many rows is split by the join, as there is
+    one least row on the other side. ``df`` is read once more for each order column.
     """
     rest = [c for c in df.columns if c not in (*keys, *order)]
-    keyed = df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
-    return keyed.agg(F.min(F.struct(*order, *rest)).alias("_first")).select(*keys, "_first.*")
+    for column in order:
+        least = df.groupBy(*[F.col(k).alias(f"_first_{k}") for k in keys]).agg(F.min(column).alias("_first"))
+        same = [F.col(k).eqNullSafe(F.col(f"_first_{k}")) for k in keys]
+        df = df.join(least, reduce(Column.__and__, same, F.col(column) == F.col("_first")), "left_semi")
+    return df.select(*keys, *order, *rest)
 
 
 # --- nodes and edges ------------------------------------------------------------------------------
@@ -98,10 +102,10 @@ def build_nodes(
 ) -> DataFrame:
     """One row per distinct path, with the attributes of its first row by ``order`` (a unique number).
 
-    Each wide row yields its levels down to the first missing id; one aggregation on ``path`` makes
-    the nodes. Rows of a large root are combined inside each task before that shuffle. A text-bearing
-    minimum is aggregated by sorting, and the hash in front of the key makes that sort compare longs.
-    ``attributes`` (default: all) limits what is carried: unused ones cannot be pruned from a minimum.
+    Each wide row yields its levels down to the first missing id. One hash aggregation on ``path`` finds the
+    nodes and the number of their first row; it carries ids only, and rows of a large root are combined inside
+    each task before its shuffle. The attributes come from a join with the wide rows by that number, of which
+    each has at most as many nodes as levels. ``attributes`` (default: all) limits what that join carries.
     """
     ids = level_ids(wide, meta)
     keys = [k for k in meta.keys() if k != meta.id_key and (attributes is None or k in attributes)]
@@ -109,17 +113,23 @@ def build_nodes(
     for level in range(1, meta.max_depth + 1):
         held = reduce(Column.__and__, [i.isNotNull() for i in ids[:level]])
         deeper = ids[level].isNotNull() if level < meta.max_depth else F.lit(False)
-        values = [level_value(wide, meta, level, k).alias(k) for k in keys]
-        seen = F.struct(F.col(order).alias("row_order"), *values)
-        node = F.struct(F.array(*ids[:level]).alias("path"), seen.alias("seen"), deeper.alias("deeper"))
-        levels.append(F.when(held, node))
-    rows = wide.select(F.explode(F.filter(F.array(*levels), lambda n: n.isNotNull())).alias("n")).select("n.*")
+        levels.append(F.when(held, F.struct(F.array(*ids[:level]).alias("path"), deeper.alias("deeper"))))
+    rows = wide.select(F.col(order).alias("row_order"), F.explode(F.filter(F.array(*levels), lambda n: n.isNotNull())).alias("n"))
+    first = rows.groupBy("n.path").agg(F.min("row_order").alias("row_order"), F.max("n.deeper").alias("has_children"))
     if not keys:
-        first = rows.groupBy("path").agg(F.min("seen.row_order").alias("row_order"), F.max("deeper").alias("has_children"))
         return first.select(*path_columns(F.col("path")), "row_order", "has_children")
-    keyed = rows.groupBy(F.xxhash64("path").alias("_hash"), "path")
-    first = keyed.agg(F.min("seen").alias("seen"), F.max("deeper").alias("has_children"))
-    return first.select(*path_columns(F.col("path")), "seen.*", "has_children")
+    found = first.select(*[F.col(c).alias(f"_node_{c}") for c in first.columns])
+    joined = found.join(wide, F.col("_node_row_order") == F.col(order))
+
+    def seen(key: str) -> Column:
+        values = [level_value(wide, meta, level, key) for level in range(1, meta.max_depth + 1)]
+        case = reduce(lambda c, k: c.when(F.size("_node_path") == k, values[k - 1]), range(1, meta.max_depth + 1), F)
+        return case.alias(key)
+
+    return joined.select(
+        *path_columns(F.col("_node_path")), F.col("_node_row_order").alias("row_order"), *map(seen, keys),
+        F.col("_node_has_children").alias("has_children"),
+    )
 
 
 def path_columns(path: Column) -> list[Column]:
@@ -137,26 +147,38 @@ def build_edges(
 ) -> DataFrame:
     """Distinct child and parent pairs over all levels, with first-seen parent attributes.
 
-    The primary flag and relation type are the child's. Dummy ('filled') children give no edge.
-    ``attributes`` limits the parent attributes carried, as in ``build_nodes``.
+    The primary flag and relation type are the child's. Dummy ('filled') children give no edge. Found like
+    nodes: a hash aggregate of the pairs, then a join with the rows that hold each pair first; of several
+    levels of that row the highest counts. ``attributes`` limits the parent attributes carried.
     """
     ids = level_ids(wide, meta)
     own = [meta.primary_key, meta.relation_key]
     keys = [k for k in meta.keys() if k not in (meta.id_key, *own) and (attributes is None or k in attributes)]
-    levels = []
-    for level in range(2, meta.max_depth + 1):
+    levels = range(2, meta.max_depth + 1)
+
+    def is_edge(level: int) -> Column:
         held = reduce(Column.__and__, [i.isNotNull() for i in ids[1:level]])
-        relation = level_value(wide, meta, level, meta.relation_key)
-        seen = F.struct(
-            F.col(order).alias("row_order"),
-            F.lit(level).alias("level"),
-            *[level_value(wide, meta, level, k).alias(k) for k in own],
-            *[level_value(wide, meta, level - 1, k).alias(k) for k in keys],
-        )
-        edge = F.struct(ids[level - 1].alias("child_id"), ids[level - 2].alias("parent_id"), seen.alias("seen"))
-        levels.append(F.when(held & ~F.coalesce(is_filled(relation), F.lit(False)), edge))
-    rows = wide.select(F.explode(F.filter(F.array(*levels), lambda e: e.isNotNull())).alias("e")).select("e.*")
-    return first_seen(rows.select("child_id", "parent_id", "seen.*"), ["child_id", "parent_id"], ["row_order", "level"])
+        return held & ~F.coalesce(is_filled(level_value(wide, meta, level, meta.relation_key)), F.lit(False))
+
+    def pair(level: int) -> Column:
+        return F.struct(ids[level - 1].alias("child_id"), ids[level - 2].alias("parent_id"))
+
+    pairs = F.filter(F.array(*[F.when(is_edge(k), pair(k)) for k in levels]), lambda e: e.isNotNull())
+    rows = wide.select(F.col(order).alias("row_order"), F.explode(pairs).alias("e"))
+    first = rows.groupBy("e.child_id", "e.parent_id").agg(F.min("row_order").alias("row_order"))
+    found = first.select(*[F.col(c).alias(f"_edge_{c}") for c in first.columns])
+    joined = found.join(wide, F.col("_edge_row_order") == F.col(order))
+
+    def seen(level: int) -> Column:
+        values = [level_value(wide, meta, level, k).alias(k) for k in own]
+        values += [level_value(wide, meta, level - 1, k).alias(k) for k in keys]
+        parent = ids[level - 2].eqNullSafe(F.col("_edge_parent_id"))
+        here = is_edge(level) & (ids[level - 1] == F.col("_edge_child_id")) & parent
+        return F.when(here, F.struct(F.lit(level).alias("level"), *values))
+
+    picked = joined.withColumn("_edge_seen", F.coalesce(*map(seen, levels)))
+    renamed = [F.col(f"_edge_{c}").alias(c) for c in ("child_id", "parent_id", "row_order")]
+    return picked.select(*renamed, "_edge_seen.*")
 
 
 def conflicting_children(edges: DataFrame, meta: HierarchyMeta) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from claimtree.operators import metadata, tree, tree_order, tree_view
 from claimtree.operators.metadata import HierarchyMeta, LevelColumn
 from claimtree.plans.hierarchy import arrange, hierarchy_view, subtree_view
+from claimtree.plans.pushdown import plan_text
 
 DEPTH = 4
 META = HierarchyMeta(
@@ -448,3 +449,18 @@ def test_view_without_rows_is_refused(spark):
 def test_arrange_without_settings(spark):
     nodes = tree.build_nodes(to_df(spark, random_wide(2)), META)
     assert arrange(nodes, META, {}, {}).count() == nodes.count()
+
+
+def test_nodes_and_edges_are_found_without_sorted_aggregates(spark):
+    wide = to_df(spark, random_wide(3))
+    for rows in (tree.build_nodes(wide, META), tree.build_edges(wide, META), tree.build_nodes(wide, META, attributes=[])):
+        text = plan_text(rows)
+        assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_first_seen_of_null_keys_and_several_order_columns(spark):
+    rows = [(None, 2, 1, "a"), (None, 1, 9, "b"), (None, 1, 3, "c"), ("x", 5, 5, None), ("x", 5, 4, "d")]
+    df = spark.createDataFrame(rows, "k string, n int, m int, v string")
+    found = tree.first_seen(df, ["k"], ["n", "m"])
+    assert {tuple(r) for r in found.collect()} == {(None, 1, 3, "c"), ("x", 5, 4, "d")}
+    assert "SortAggregate" not in plan_text(found)
