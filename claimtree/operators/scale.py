@@ -1,8 +1,9 @@
-"""Size-checked broadcast and ranking inside groups of any size."""
+"""Size-checked broadcast, joins that no key can skew, and ranking inside groups of any size."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
@@ -11,6 +12,9 @@ from claimtree.sources.sinks import materialize
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 GROUP_ROWS = 2_000_000
+# Rows of a key from which they are dealt out in pieces, each of about this many, and keys treated so at most: one
+# beyond them holds less than a thousandth of the rows.
+HEAVY_ROWS, HEAVY_KEYS = 50_000, 1000
 
 
 def row_width(schema: T.StructType) -> int:
@@ -38,6 +42,45 @@ def dim_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def left_lookup(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: Sequence[tuple[str, str]],
+    side: Callable[[DataFrame], DataFrame] = dim_side,
+    heavy_rows: int | None = HEAVY_ROWS,
+) -> DataFrame:
+    """Left join of ``fact`` with ``dim`` on pairs of columns with different names; all columns of both are kept.
+
+    A small ``dim`` is broadcast. A larger one is joined by shuffle, evenly whatever the keys are: rows with a
+    NULL key, which meet nothing, are dealt out by their own hash, and so are the rows of a key that has at
+    least ``heavy_rows`` of them (None: no key), whose rows in ``dim`` are repeated for each piece. Heavy keys
+    are counted by the plan itself, from the key columns only, so nothing runs while the plan is built.
+    """
+    hinted = side(dim)
+    matches = reduce(Column.__and__, [F.col(a) == F.col(b) for a, b in on])
+    if hinted is not dim:
+        return fact.join(hinted, matches, "left")
+    keys, dim_keys = [a for a, _ in on], [b for _, b in on]
+    # The partition's number tells repeated rows of one key apart; both are the same when a task is repeated.
+    own_hash = F.xxhash64(*fact.columns, F.spark_partition_id())
+    missing = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    piece, pieces = F.when(missing, own_hash), F.lit(1)
+    if heavy_rows is not None:
+        names = [f"_heavy_{i}" for i in range(len(keys))]
+        counts = fact.where(~missing).groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).count()
+        heavy = counts.where(F.col("count") >= heavy_rows).orderBy(F.desc("count"), *names).limit(HEAVY_KEYS)
+        heavy = F.broadcast(heavy.select(*names, F.ceil(F.col("count") / heavy_rows).alias("_pieces")))
+        same = lambda columns: reduce(Column.__and__, [F.col(c) == F.col(n) for c, n in zip(columns, names, strict=True)])
+        fact, dim = fact.join(heavy, same(keys), "left"), dim.join(heavy, same(dim_keys), "left").drop(*names)
+        piece, pieces = piece.when(F.col("_pieces").isNotNull(), F.pmod(own_hash, F.col("_pieces"))), F.coalesce("_pieces", F.lit(1))
+        fact = fact.drop(*names)
+    # Never more than 0 for a key that is not heavy, but no constant, so that it stays part of the join's key.
+    first = F.pmod(F.xxhash64(*dim_keys), F.lit(1))
+    dealt = fact.withColumn("_piece", piece.otherwise(F.lit(0))).drop("_pieces")
+    repeated = dim.withColumn("_copy", F.explode(F.sequence(first, pieces - 1))).drop("_pieces")
+    return dealt.join(repeated, matches & (F.col("_piece") == F.col("_copy")), "left").drop("_piece", "_copy")
+
+
 def ranked(
     df: DataFrame,
     group: Sequence[str],

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from claimtree.functions.codes import null_token
 from claimtree.functions.text import is_filled, typed_cast
 from claimtree.operators.metadata import HierarchyMeta, filter_values
-from claimtree.operators.scale import BROADCAST_BYTES, dim_side
+from claimtree.operators.scale import BROADCAST_BYTES, dim_side, left_lookup
 from claimtree.sources.tables import resolve_column
 
 # Primary flags that count as set; a missing flag reads as NULL.
@@ -268,18 +268,19 @@ def attach_ancestors(
 ) -> DataFrame:
     """For each level add ``value`` of the node's ancestor at that level (NULL at or above it).
 
-    ``source`` holds one row per path (a node that was built without children never gets any), so a join never multiplies rows; the nodes below a large
-    ancestor are the side that adaptive execution may split. ``sizes`` gives the node count of each
-    level where known, and a level that fits ``BROADCAST_BYTES`` is then joined without a shuffle.
+    ``source`` holds one row per path (a node that was built without children never gets any), so a join never
+    multiplies rows. Nodes at or above the level have no ancestor there and are spread over all tasks; the
+    nodes below a large ancestor are the side that adaptive execution may split. ``sizes`` gives the node count
+    of each level where known, and a level that fits ``BROADCAST_BYTES`` is then joined without a shuffle.
     """
     for level in levels:
         key = f"_at_{level}"
         inner = source.where((F.col("depth") == level) & F.col("has_children"))
         above = inner.select(F.col("path").alias(key), value.alias(name(level)))
-        if sizes is not None and sizes.get(level, 0) * ANCESTOR_BYTES <= BROADCAST_BYTES:
-            above = F.broadcast(above)
-        own = F.when(F.col("depth") > level, F.slice("parent_path", 1, level))
-        nodes = nodes.join(above, own == F.col(key), "left").drop(key)
+        small = sizes is not None and sizes.get(level, 0) * ANCESTOR_BYTES <= BROADCAST_BYTES
+        nodes = nodes.withColumn("_own", F.when(F.col("depth") > level, F.slice("parent_path", 1, level)))
+        side = F.broadcast if small else lambda df: df
+        nodes = left_lookup(nodes, above, [("_own", key)], side, heavy_rows=None).drop("_own", key)
     return nodes
 
 

@@ -102,3 +102,42 @@ def test_page_limit_runs_before_the_shuffle(spark):
 def test_drug_ranking_is_a_top_k(spark):
     t = Inputs(spark, SMALL)
     assert "TakeOrderedAndProject" in plan_text(ops.drug_ranking(t.claim, t.drug))
+
+
+def test_lookup_is_even_whatever_the_keys_are(spark):
+    """Half of the keys are NULL and one key holds a third of the rows; nothing is broadcast or split at run time."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    key = F.when(F.col("id") % 6 < 3, None).when(F.col("id") % 6 < 5, 7).otherwise(F.col("id") % 5000)
+    facts = spark.range(0, 300_000, 1, 8).select(key.alias("plan_id"), "id")
+    plan = spark.range(4000).select(F.col("id").alias("plan_id"), F.col("id").cast("string").alias("plan_name"))
+    plan = plan.unionByName(plan.where("plan_id % 100 = 7"))  # repeated keys, the hot one too
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        dim = plan.select(F.col("plan_id").alias("_plan"), "plan_name")
+        plain = facts.join(dim, F.col("plan_id") == F.col("_plan"), "left")
+        for heavy_rows in (2000, None):
+            joined = scale.left_lookup(facts, dim, [("plan_id", "_plan")], lambda df: df, heavy_rows)
+            assert joined.columns == plain.columns
+            assert joined.exceptAll(plain).count() == 0 and plain.exceptAll(joined).count() == 0
+        rows = scale.left_lookup(facts, dim, [("plan_id", "_plan")], lambda df: df, 2000)
+        sizes = sorted(r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 8 and sizes[-1] <= 1.5 * sizes[len(sizes) // 2]
+        nulls = scale.left_lookup(facts.where("plan_id IS NULL OR plan_id <> 7"), dim, [("plan_id", "_plan")], lambda df: df, None)
+        sizes = sorted(r["count"] for r in nulls.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 8 and sizes[-1] <= 1.5 * sizes[len(sizes) // 2]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_lookup_plans_run_no_job(spark):
+    facts, dim = spark.range(10).toDF("k"), spark.range(100).select(F.col("id").alias("d"))
+    tracker, group = spark.sparkContext.statusTracker(), "lookup-plan"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        scale.left_lookup(facts, dim, [("k", "d")], lambda df: df)
+        assert list(tracker.getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
