@@ -111,6 +111,22 @@ def ranked(
     return df.withColumns(added)
 
 
+def numbered(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """All rows with their place in ``order``, from 0 without gaps; stored, since a second sort may cut elsewhere.
+
+    Rows are range-sorted over all tasks, and a task's numbers start behind those of the tasks before it.
+    """
+    spark = df.sparkSession
+    placed = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    placed = materialize(placed, scratch_path(spark, "numbered")).withColumn("_task", F.shiftright("_id", 33))
+    # One row per task.
+    tasks = placed.groupBy("_task").agg(F.count("*").alias("_rows"))
+    before = tasks.select(F.col("_task").alias("_own"), sum_before("_rows", Window.orderBy("_task")).alias("_before"))
+    inside = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    met = placed.join(F.broadcast(before), F.col("_task") == F.col("_own"))
+    return met.select(*df.columns, (inside + F.col("_before")).alias(name))
+
+
 def sum_before(column: str, window: WindowSpec) -> Column:
     return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 

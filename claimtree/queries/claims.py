@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from claimtree.functions.codes import month_bucket, pad_code
-from claimtree.operators import claims as ops
+from claimtree.operators import claims as ops, patients
 from claimtree.plans.attribution import ClaimSources, Cohort, ClaimRun
 from claimtree.queries.fixtures import Inputs
 from claimtree.queries.oracle import check
@@ -320,6 +320,37 @@ def _(t):
     return ops.patient_recount(cohort(t), t.physician, t.affiliation, ["hospital_id", "pg_id", "month"])
 
 
+PATIENT_LEVELS = {
+    "organisation and month": ["hospital_network_id", "pg_network_id", "month"], "network": ["hospital_network_id"], "all": [],
+}
+
+
+def _counted(level: str, keys: list[str]) -> str:
+    shown = ", ".join(k if k in keys else f"NULL AS {k}" for k in ("hospital_network_id", "pg_network_id", "month"))
+    group = f"GROUP BY {', '.join(keys)}" if keys else ""
+    return f"SELECT '{level}' AS level, {shown}, count(DISTINCT patient_id) AS patients FROM org_rows {group}"
+
+
+@query(
+    "patient_rollups",
+    f"""SELECT * FROM (WITH org_rows AS (SELECT hospital_network_id, pg_network_id, strftime(strptime(rx_fill_date, '%m-%d-%Y'), '%Y-%m') AS month, patient_id
+       FROM p01 LEFT JOIN fx_physician d USING (physician_id) LEFT JOIN fx_affiliation a ON a.npi = d.npi WHERE {{valid}})
+       {' UNION ALL '.join(_counted(*x) for x in PATIENT_LEVELS.items())})""",
+)
+def _(t):
+    """Three levels from one stored table of patient sets."""
+    rows = patients.claim_keys(cohort(t), t.physician, t.affiliation)
+    numbers = patients.number_patients(rows, ["hospital_network_id", "pg_network_id"])
+    finest = PATIENT_LEVELS["organisation and month"]
+    sets = sinks.materialize(patients.patient_sets(rows, numbers, finest), scratch_path(t.spark, "patient-sets"))
+    shown = lambda keys: [F.col(k) if k in keys else F.lit(None).cast(rows.schema[k].dataType).alias(k) for k in finest]
+    levels = [
+        patients.count_sets(sets, keys).select(F.lit(level).alias("level"), *shown(keys), "patients")
+        for level, keys in PATIENT_LEVELS.items()
+    ]
+    return levels[0].unionByName(levels[1]).unionByName(levels[2])
+
+
 @query("dim_fanout", "SELECT drug_name, count(*) AS rows_per_key FROM fx_drug GROUP BY 1 HAVING count(*) > 1")
 def _(t):
     return ops.dim_fanout(t.drug, ["drug_name"])
