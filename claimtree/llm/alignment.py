@@ -13,25 +13,21 @@ to the block as one row, so that no row of the shuffle is a token or a link.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Tokenizer
 
 from claimtree.llm.common import give_back_memory, small_batches, stored
 
-# Tasks already run beside each other.
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Bytes of text that are tokenized and aligned together; a longer text is taken by itself.
 TOGETHER_BYTES = 1 << 20
@@ -61,23 +57,29 @@ class Side:
         marks = (IN_GROUP, OF_SIDES, OF_GROUPS)
         self.shown = [f"{k}{mark}" for k in range(size) for mark in marks]
 
-    def covers(self, ids: list[int], data: bytes) -> bool:
-        return b"".join(map(self.bytes.__getitem__, ids)) == data
+    def ids(self, text: str) -> np.ndarray | None:
+        """Ids of a text with a blank before it; None if they do not give back its bytes."""
+        raise NotImplementedError
 
 
 class ByteSide(Side):
-    def __init__(self, path: str):
-        self.encoder = Tokenizer.from_file(path)
-        self.encoder.encode_special_tokens = True  # their strings inside a text are plain text
-        signs = byte_level_signs()
-        entries = {}
-        for token, k in self.encoder.get_vocab(with_added_tokens=True).items():
-            entries[k] = bytes(map(signs.__getitem__, token)) if all(c in signs for c in token) else token.encode()
-        super().__init__(entries)
+    """A byte-level vocabulary, run by its ranks: its merges must be numbered in the order in which they apply."""
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.encoder.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [x.ids for x in found]
+    def __init__(self, path: str):
+        with open(path, "rb") as f:
+            model = json.load(f)
+        signs, vocabulary = byte_level_signs(), model["model"]["vocab"]
+        merged = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["model"]["merges"]]
+        if merged != sorted(merged) or model["normalizer"] is not None:
+            raise ValueError("a vocabulary without a normalizer, its ids in the order of its merges, is needed")
+        ranks = {bytes(map(signs.__getitem__, token)): k for token, k in vocabulary.items() if all(c in signs for c in token)}
+        self.encoder = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        super().__init__({k: token for token, k in ranks.items()})
+
+    def ids(self, text: str) -> np.ndarray | None:
+        text = f" {text}"
+        found = self.encoder.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+        return found if self.lengths[found].sum() == len(text.encode()) else None
 
 
 class PieceSide(Side):
@@ -89,8 +91,9 @@ class PieceSide(Side):
             entries[k] = bytes([int(piece[3:5], 16)]) if self.encoder.is_byte(k) else piece.replace(BLANK, " ").encode()
         super().__init__(entries)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.encoder.encode(texts, num_threads=1)
+    def ids(self, text: str) -> np.ndarray | None:
+        found = self.encoder.encode(text)
+        return np.array(found, np.int64) if b"".join(map(self.bytes.__getitem__, found)) == f" {text}".encode() else None
 
 
 @lru_cache(maxsize=2)
@@ -101,9 +104,9 @@ def sides(a_path: str | None, b_path: str | None) -> tuple[ByteSide, PieceSide]:
     )
 
 
-def tokens(side: Side, ids: list[list[int]]) -> pd.DataFrame:
+def tokens(side: Side, ids: list[np.ndarray]) -> pd.DataFrame:
     """One row per token of the texts, laid end to end: document, id, first byte and the byte behind the last."""
-    flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(map(len, ids)))
+    flat = np.concatenate([np.empty(0, np.int64), *ids])
     ends = np.cumsum(side.lengths[flat])
     doc = np.repeat(np.arange(len(ids)), [len(one) for one in ids])
     frame = pd.DataFrame({"doc": doc, "id": flat, "start": ends - side.lengths[flat], "end": ends})
@@ -111,6 +114,17 @@ def tokens(side: Side, ids: list[list[int]]) -> pd.DataFrame:
     return frame
 
 
+def token_ids(texts: list[str | None], side_a: Side, side_b: Side) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Ids of both sides for each text; none where the text is empty or a side does not give back its bytes."""
+    none, out_a, out_b = np.empty(0, np.int64), [], []
+    for text in texts:
+        a, b = (side_a.ids(text), side_b.ids(text)) if text else (none, none)
+        covered = a is not None and b is not None
+        out_a.append(a if covered else none)
+        out_b.append(b if covered else none)
+    return out_a, out_b
+
+
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     """(doc, row of a, row of b) of all tokens that share a byte."""
     keys = ["doc", "start", "row"]
@@ -128,28 +142,22 @@ def grouped(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(common, a["end"].to_numpy()), np.searchsorted(common, b["end"].to_numpy())
 
 
-def described(a: pd.DataFrame, b: pd.DataFrame, group_a: np.ndarray, group_b: np.ndarray, side_a: Side, side_b: Side) -> list[str]:
-    """The texts ``a1,a2|`` and ``b1;`` of all groups of the frames, token by token, in order."""
+def described(a: pd.DataFrame, b: pd.DataFrame, group_a: np.ndarray, group_b: np.ndarray, side_a: Side) -> np.ndarray:
+    """``a1,a2|`` and ``b1;`` of all groups of the frames, token by token, as places in both sides' ``shown``."""
     n_groups = int(group_a[-1]) + 1 if len(group_a) else 0
     of_a, of_b = np.bincount(group_a, minlength=n_groups), np.bincount(group_b, minlength=n_groups)
     before_b, after_a = np.cumsum(of_b) - of_b, np.cumsum(of_a)
     last_a = np.append(group_a[1:] != group_a[:-1], True)
     last_b = np.append(group_b[1:] != group_b[:-1], True)
-    texts = np.empty(len(a) + len(b), object)
-    code_a, code_b = a["id"].to_numpy() * 3 + last_a, b["id"].to_numpy() * 3 + 2 * last_b
-    texts[np.arange(len(a)) + before_b[group_a]] = list(map(side_a.shown.__getitem__, code_a.tolist()))
-    texts[np.arange(len(b)) + after_a[group_b]] = list(map(side_b.shown.__getitem__, code_b.tolist()))
-    return texts.tolist()
+    codes = np.empty(len(a) + len(b), np.int64)
+    codes[np.arange(len(a)) + before_b[group_a]] = a["id"].to_numpy() * 3 + last_a
+    codes[np.arange(len(b)) + after_a[group_b]] = b["id"].to_numpy() * 3 + 2 * last_b + len(side_a.shown)
+    return codes
 
 
 def align(texts: list[str | None], side_a: Side, side_b: Side) -> tuple[pd.DataFrame, pd.DataFrame]:
     """Counts and digest of each text, and its links as (doc, id of a, id of b)."""
-    data = [(" " + t).encode() if t else b"" for t in texts]
-    some = [k for k, t in enumerate(texts) if t]
-    ids_a, ids_b = [[] for _ in texts], [[] for _ in texts]
-    for k, one_a, one_b in zip(some, side_a.encode([texts[k] for k in some]), side_b.encode([texts[k] for k in some]), strict=True):
-        if side_a.covers(one_a, data[k]) and side_b.covers(one_b, data[k]):
-            ids_a[k], ids_b[k] = one_a, one_b
+    ids_a, ids_b = token_ids(texts, side_a, side_b)
     a, b = tokens(side_a, ids_a), tokens(side_b, ids_b)
     group_a, group_b = grouped(a, b)
     links = overlaps(a, b)
@@ -157,9 +165,9 @@ def align(texts: list[str | None], side_a: Side, side_b: Side) -> tuple[pd.DataF
     first = np.unique(group_a, return_index=True)[1]  # first token of each group
     found["n_groups"] = np.bincount(a["doc"].to_numpy()[first], minlength=len(texts))
     found["n_links"] = np.bincount(links["doc"], minlength=len(texts))
-    parts, at, digests = described(a, b, group_a, group_b, side_a, side_b), 0, []
+    codes, at, digests, shown = described(a, b, group_a, group_b, side_a), 0, [], side_a.shown + side_b.shown
     for size in (found["n_a"] + found["n_b"]).tolist():
-        text = "".join(parts[at : at + size])[:-1]
+        text = "".join(map(shown.__getitem__, codes[at : at + size].tolist()))[:-1]
         digests.append(hashlib.sha256(text.encode()).hexdigest() if size else "")
         at += size
     found["groups_sha256"] = digests

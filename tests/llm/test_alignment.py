@@ -2,13 +2,15 @@
 
 import hashlib
 from collections import Counter
+from functools import cache
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
-from tokenizers.decoders import ByteLevel
 
 from claimtree.llm import alignment
 from claimtree.llm.queries import QUERIES
@@ -21,10 +23,15 @@ ODD = [
 ]
 
 
-def plain_tokens(texts):
+@cache
+def models():
     a_model = Tokenizer.from_file(public_tokenizers.path(alignment.BYTE_VOCABULARY))
     a_model.encode_special_tokens = True
-    b_model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(alignment.PIECE_VOCABULARY))
+    return a_model, sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(alignment.PIECE_VOCABULARY))
+
+
+def plain_tokens(texts):
+    a_model, b_model = models()
     signs = {chr(b) if 33 <= b < 127 or 161 <= b < 173 or b >= 174 else None: b for b in range(256)}
     hidden = [b for b in range(256) if not (33 <= b < 127 or 161 <= b < 173 or b >= 174)]
     signs |= {chr(256 + k): b for k, b in enumerate(hidden)}
@@ -112,4 +119,22 @@ def test_groups_end_together():
     side_a, side_b = alignment.sides(None, None)
     found, links = alignment.align(["hello world", None], side_a, side_b)
     assert found["n_groups"].tolist() == [2, 0] and len(links) == found["n_links"].sum()
-    assert ByteLevel().decode([side_a.encoder.id_to_token(k) for k in side_a.encode(["hello world"])[0]]).strip() == "hello world"
+    assert b"".join(side_a.bytes[k] for k in side_a.ids("hello world")) == b" hello world"
+
+
+def test_ids_of_every_sign():
+    """The ranks give what the vocabulary file gives in its own library, sign by sign."""
+    side_a, a_model = alignment.sides(None, None)[0], models()[0]
+    texts = [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}\n{chr(c)} ." for c in range(0, 0x110000, 5) if not 0xD800 <= c < 0xE000]
+    wanted = a_model.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
+    assert [t for t, w in zip(texts, wanted, strict=True) if side_a.ids(t).tolist() != w.ids] == []
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from([" ", "  ", "\n", "\t", "\x1c", "\x85", "\u00a0", "\u2003", "\u200b", "'s", "a", "Ab1", "é", "é", "東", "🙂", "²", "_", "٣"]), st.characters(exclude_categories=["Cs"]))).map("".join))
+def test_ids_of_any_text(text):
+    side_a, side_b = alignment.sides(None, None)
+    a, b = alignment.token_ids([text], side_a, side_b)
+    want_a, want_b = ([k for k, *_ in side] for side in next(plain_tokens([text])))
+    assert a[0].tolist() == want_a and b[0].tolist() == want_b
+    assert a[0].dtype == b[0].dtype == np.int64
