@@ -112,10 +112,11 @@ def render(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", loss_rol
 
 def loss_text(formatted: Column, spans: Column) -> Column:
     """All text under the mask, unescaped, in order; cut by bytes, so each span costs its own length."""
-    data = F.encode(formatted, "UTF-8")
 
-    def cut(s: Column) -> Column:
+    def cut(data: Column, s: Column) -> Column:
         piece = F.substring(data, (s.byte_start + 1).cast("int"), (s.byte_end - s.byte_start).cast("int"))
         return unescape(F.decode(piece, "UTF-8"))
 
-    return F.array_join(F.transform(spans, cut), "")
+    # The variable of a lambda is a value: the text is encoded once, not again for every span.
+    encoded = F.array(F.encode(formatted, "UTF-8"))
+    return F.element_at(F.transform(encoded, lambda data: F.array_join(F.transform(spans, lambda s: cut(data, s)), "")), 1)

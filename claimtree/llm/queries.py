@@ -62,7 +62,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  sum(length(block))::BIGINT AS formatted_chars
+  sum(length(block))::BIGINT AS formatted_chars, true AS identical
 FROM shown GROUP BY conv_id
 """
 
@@ -78,11 +78,12 @@ def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
     joined = F.array_join(F.transform(back, lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
     loss = chat.loss_text(F.col("formatted"), F.col("loss_spans"))
     read = whole.select(
-        "conv_id", "formatted", F.size(back).cast("bigint").alias("n_turns"), joined.alias("joined"), loss.alias("loss")
+        "conv_id", "formatted", "identical", F.size(back).cast("bigint").alias("n_turns"), joined.alias("joined"), loss.alias("loss")
     )
     return read.select(
         "conv_id", "n_turns", F.sha2("joined", 256).alias("turns_sha256"), F.length("loss").cast("bigint").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("bigint").alias("formatted_chars"),
+        "identical",
     )
 
 
