@@ -15,22 +15,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 8
-# Steps of the walk that brings a permuted value back into its domain; each fails with odds under a half.
+# Steps of the walk that brings a permuted value back into its domain; each fails with odds under 0.6.
 WALK = 64
 
 # The shapes that are looked for. Possessive repeats keep every scan linear.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,10}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 DATE = (
-    r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})"
-    r"(?![\w/-]|\.\d)"
+    r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{2}\.\d{2}\.\d{4}|\d{2}-\d{2}-\d{4})"
+    r"(?:(?=T\d{2}:\d{2})|(?![\w/-]|\.\d))"
 )
 IP = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = r"(?<![\w-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?![\w-])"
 PHONE = (
     r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}(?![\w-])"
-    r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?![\w-])"
+    r"|(?<![\w+])\+\d{1,3}(?:[ .-]?(?:\(\d{1,4}\)|\d{1,4})){2,6}(?![\w-])|(?<![\w+.-])0\d(?:[ .]\d{2}){4}(?![\w-]|\.\d)"
 )
 KINDS = {"email": EMAIL, "iban": IBAN, "date": DATE, "ip": IP, "ssn": SSN, "card": CARD, "phone": PHONE}
 # One look at the first character spares most places the whole list. Mail names can begin anywhere, so their
@@ -47,7 +47,8 @@ def _number(key: str, label: str, half: Column) -> Column:
 
 def permute(key: str, label: str, value: Column, a: Column, b: Column) -> Column:
     """The keyed permutation of ``0 <= value < a * b``, as a Feistel network over two residues."""
-    state = F.struct(F.floor(value / b).cast("bigint").alias("l"), F.pmod(value, b).alias("r"))
+    # Whole division: a quotient of doubles would be off by one for numbers of 16 digits and more.
+    state = F.struct(F.call_function("div", value, b.cast("bigint")).alias("l"), F.pmod(value, b).alias("r"))
 
     def step(s: Column, k: Column) -> Column:
         mark = F.concat(k.cast("string"), F.lit("|"))
@@ -216,8 +217,19 @@ def _by_format(value: Column, make) -> Column:
     return case
 
 
+def _unpadded(value: Column) -> Column:
+    """Whether a day or month with slashes is one digit."""
+    return value.rlike(r"^\d/|^\d{2}/\d/")
+
+
+def _padded(value: Column) -> Column:
+    parts = F.transform(F.split(value, "/"), lambda p: F.when(F.length(p) < 2, F.lpad(p, 2, "0")).otherwise(p))
+    return F.when(_unpadded(value), F.array_join(parts, "/")).otherwise(value)
+
+
 def _day(value: Column) -> Column:
     """The date that the value names, or NULL."""
+    value = _padded(value)
 
     def parts(form: str) -> Column:
         at = {unit: form.index(unit) + 1 for unit in ("yyyy", "MM", "dd")}
@@ -229,10 +241,11 @@ def _day(value: Column) -> Column:
 def _date(key: str, value: Column) -> Column:
     """Permutes the days of the century that starts in a year ending in 50, inside the written format.
 
-    Where only the day-first reading is a date, values walk on until the result also has a day over 12,
-    so that a pseudonym is read the same way as its source.
+    Where only the day-first reading is a date, values walk on until the result also has a day over 12, and
+    where a day or month is one digit, until the result has one too, so that a pseudonym is read the same way
+    as its source and is not one of a date written otherwise.
     """
-    day = _day(value)
+    day, short, value = _day(value), _unpadded(value), _padded(value)
     year = F.floor((F.year(day) - 50) / 100) * 100 + 50
     start = F.make_date(year.cast("int"), F.lit(1), F.lit(1))
     days = F.datediff(F.make_date((year + 100).cast("int"), F.lit(1), F.lit(1)), start)
@@ -242,9 +255,15 @@ def _date(key: str, value: Column) -> Column:
     once = lambda n: permute(key, "date", n, a, b)
     at = lambda n: F.date_add(start, n.cast("int"))
     first = once(F.datediff(day, start).cast("bigint"))
-    walk = lambda n, _: F.when(day_first & (F.dayofmonth(at(n)) <= 12), once(n)).otherwise(n)
+
+    def wrong(n: Column) -> Column:
+        padded = (F.month(at(n)) >= 10) & (F.dayofmonth(at(n)) >= 10)
+        return (day_first & (F.dayofmonth(at(n)) <= 12)) | (short & padded)
+
+    walk = lambda n, _: F.when(wrong(n), once(n)).otherwise(n)
     fresh = at(F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, walk))
-    return _by_format(value, lambda form: F.date_format(fresh, form))
+    made = _by_format(value, lambda form: F.date_format(fresh, form))
+    return F.when(short, F.regexp_replace(made, r"(^|/)0(?=\d/)", "$1")).otherwise(made)
 
 
 def _email(key: str, value: Column) -> Column:
@@ -254,8 +273,8 @@ def _email(key: str, value: Column) -> Column:
 
 
 def _phone(key: str, value: Column) -> Column:
-    """The digits after the country code."""
-    code = F.when(value.startswith("+"), F.regexp_extract(value, r"^(\+\d{1,3})(?=\D)", 1)).otherwise("")
+    """The digits after the country code, or after the zero of a national number in pairs."""
+    code = F.regexp_extract(value, r"^(\+\d{1,3}(?=\D)|0(?=\d[ .]\d{2}[ .]))", 1)
     rest = F.substring(value, F.length(code) + 1, F.length(value))
     return F.concat(code, _refill(rest, "0-9", _digit_string(key, "phone", _digits(rest))))
 
