@@ -7,8 +7,10 @@ repetition samples a few steps of a walk of its own; a window whose samples equa
 exact edit distance. Only windows that hold enough of the items' pairs of neighbouring words to be near any
 item are walked; that bound follows from the number of edits, so it loses no match.
 
+Items of fewer words than edits can be told from chance in are looked up as they are, word by word.
+
 Documents are read row by row and nothing is shuffled. Items go to the tasks in blocks of bounded size; a
-benchmark of any size is done block after block.
+benchmark of any size is done block after block, what was found being written before the next block is read.
 """
 
 from __future__ import annotations
@@ -23,22 +25,24 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimtree.llm.common import give_back_memory, small_batches
+from claimtree.llm.common import give_back_memory, small_batches, stored
 
 SIMILARITY = 0.8
-# Items with fewer words are left out: they are common phrases, not test items.
+# Items with fewer words are found only as they are: an edited one is hardly more than a common phrase.
 LEAST_WORDS = 8
 REPETITIONS, SAMPLES = 24, 3
 # A walk over n words has this many times n steps, in which it passes them all on average; later steps would
 # sample the same filling in every window.
 WALK = 2
-# Words of items that one block, and so one task's lookup, holds at most.
-BLOCK_WORDS = 2_000_000
+# Characters of items that one block, and so the driver and a task's lookup, holds; whatever their script.
+BLOCK_CHARS = 12_000_000
 # Windows that are walked at once.
 CHUNK = 1 << 15
 # Texts whose windows are walked together.
 TEXTS = 500
-WORD = re.compile(r"\w+")
+# Scripts written without blanks (Thai to Tibetan, Burmese, Khmer, kana and Han): each of their signs is a word.
+UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 HIT = "item_id {kind}, start int, n_words int, distance int, similarity double"
@@ -80,6 +84,11 @@ class Index:
     """Items by their sampled walks."""
 
     def __init__(self, items: list[tuple], similarity: float, repetitions: int, samples: int, seed: int = 7):
+        # Short items by their first word.
+        self.short: dict[str, list[tuple]] = {}
+        for key, words in items:
+            if 0 < len(words) < LEAST_WORDS:
+                self.short.setdefault(words[0], []).append((key, words))
         self.items = [(key, words) for key, words in items if len(words) >= LEAST_WORDS]
         self.sets = [frozenset(words) for _, words in self.items]
         self.numbers: dict[str, int] = {}
@@ -133,7 +142,7 @@ class Index:
 
     def search(self, texts: list[str | None]) -> list[list[tuple]]:
         """For each text the best place of every item in it: (item, start, n_words, distance, similarity)."""
-        found: list[list[tuple]] = [[] for _ in texts]
+        found: list[list[tuple]] = [self._exact(text) for text in texts]
         if not self.items:
             return found
         spans = {n: n + most for n, most in self.most.items()}
@@ -171,9 +180,21 @@ class Index:
         for n, parts in windows.items():
             self._meet(n, parts, candidates)
         for t, places in candidates.items():
-            found[t] = self._verified(words[t], places)
+            found[t] += self._verified(words[t], places)
         return found
 
+    def _exact(self, text: str | None) -> list[tuple]:
+        """The first place of each short item that the text holds word by word."""
+        if not self.short:
+            return []
+        best: dict[int, tuple] = {}
+        words = words_of(text)
+        for at, word in enumerate(words):
+            for item in self.short.get(word, ()):
+                if id(item) not in best and words[at : at + len(item[1])] == item[1]:
+                    best[id(item)] = (item[0], at, len(item[1]), 0, 1.0)
+        return list(best.values())
+
     def _meet(self, n: int, parts: list, candidates: dict[int, set[tuple[int, int]]]) -> None:
         """Adds the places of each text whose samples equal those of an item, CHUNK windows at a time."""
         cuts = [(t, starts[a : a + CHUNK], padded) for t, starts, padded in parts for a in range(0, len(starts), CHUNK)]
@@ -213,10 +234,10 @@ class Index:
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text: str) -> list[DataFrame]:
-    """The items in blocks of about ``BLOCK_WORDS`` words at most, by a hash of the item."""
+    """The items in blocks of about ``BLOCK_CHARS`` characters, by a hash of the item."""
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text")).where(F.col(text).isNotNull())
-    size = items.agg(F.sum(F.size(F.split("text", r"\W+")))).first()[0] or 0
-    blocks = -(-size // BLOCK_WORDS)
+    size = items.agg(F.sum(F.length("text") + 1)).first()[0] or 0
+    blocks = -(-size // BLOCK_CHARS)
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks)))
     return [items.where(number == k).distinct() for k in range(blocks)]
 
@@ -230,20 +251,23 @@ def with_hits(
     A hit is a run of the document's words (lower case, runs of letters and digits) whose edit distance to
     the item is at most ``1 - similarity`` of the item's words; per item the nearest run found, of equal
     ones the first found. Exact copies are always found; others with the recall that ``repetitions`` give.
-    Items with fewer than ``LEAST_WORDS`` words, or a NULL text, match nothing. A NULL or empty document is
-    clean. Rows are judged one by one, so repeated rows get equal hits; other columns pass through, one
+    Items with fewer than ``LEAST_WORDS`` words are found as they are only; a sign of a script without blanks is
+    a word. Items without a word, or a NULL text, match nothing. A NULL or empty document is clean. Rows are judged one by one, so repeated rows get equal hits; other columns pass through, one
     named like ``hits`` is replaced. An empty benchmark leaves everything clean.
     """
     small_batches(docs.sparkSession)
     kind = dict(benchmark.dtypes)[item_id]
     schema = f"array<struct<{HIT.format(kind=kind).replace(' ', ':').replace(',:', ',')}>>"
-    found = []
-    for block in item_blocks(benchmark, item_id, item_text):
-        # At most ``BLOCK_WORDS`` words.
+    blocks = item_blocks(benchmark, item_id, item_text)
+    column = F.array().cast(schema)
+    for k, block in enumerate(blocks):
+        # About ``BLOCK_CHARS`` characters; the driver lets go of them before it reads the next block.
         items = [(r.item_id, words_of(r.text)) for r in sorted(block.collect(), key=lambda r: (str(r.item_id), r.text))]
-        found.append(_search_column(F.col(text), Index(items, similarity, repetitions, samples), schema))
-    column = F.concat(*found) if found else F.array().cast(schema)
-    return docs.withColumn(hits, column)
+        own = _search_column(F.col(text), Index(items, similarity, repetitions, samples), schema)
+        column = own if k == 0 else F.concat(F.col("__before"), own)
+        if k < len(blocks) - 1:
+            docs = stored(docs.withColumn("__before", column), "hits")
+    return docs.withColumn(hits, column).drop("__before")
 
 
 def _search_column(text: Column, index: Index, schema: str) -> Column:
