@@ -3,7 +3,8 @@
 Each language has a probability for every piece of a fixed public vocabulary. The probability of a word
 is the sum over all its segmentations of the product of their pieces, by a forward pass over the word's
 places; the piece probabilities are fitted by expectation maximisation with the matching backward pass.
-Words are runs of letters in lower case, so a text's score is a sum over its words.
+Words are runs of letters in lower case, of any length, so a text's score is a sum over its words. Sums are
+kept as logarithms at every place, so that no product leaves the range of a double.
 """
 
 from __future__ import annotations
@@ -26,17 +27,17 @@ VOCABULARY = "piece_bpe_32k.model"
 UNDETERMINED = "und"
 START = "▁"
 WORD = re.compile(r"[^\W\d_]+")
-# Longer runs of letters are scored in cuts of this many letters, so that products stay inside a double.
-CUT = 24
-# Longest piece used, counting the sign for the start of a word.
-LONGEST = 8
-ITERATIONS = 2
+ITERATIONS = 3
+# Letters after which a span is only followed where some longer piece begins with them.
+PREFIX = 5
+# Words of one length that are scored together hold at most so many letters in all.
+LETTERS = 1 << 16
 # Pseudo count of every piece in every language.
 SMOOTH = 0.02
-# Words that a task remembers before it starts anew.
-REMEMBERED = 250_000
-# Different words that a task counts before it passes them on.
-COUNTED = 120_000
+# Words, and letters of words, that a task remembers before it starts anew.
+REMEMBERED, REMEMBERED_LETTERS = 250_000, 1 << 24
+# Different words that a task counts, and characters that it reads, before it passes them on.
+COUNTED, READ = 120_000, 1 << 26
 # Texts whose new words are scored together.
 TEXTS = 2_000
 # Words of a pass over the corpus that a task takes together.
@@ -44,10 +45,7 @@ TOGETHER = 50_000
 
 
 def words_of(text: str | None) -> list[str]:
-    found = WORD.findall((text or "").lower())
-    if max(map(len, found), default=0) <= CUT:
-        return found
-    return [w[a : a + CUT] for w in found for a in range(0, len(w), CUT)]
+    return WORD.findall((text or "").lower())
 
 
 @lru_cache(maxsize=2)
@@ -55,7 +53,7 @@ def vocabulary(path: str | None = None) -> dict[str, int]:
     """Number of each piece that can occur in a word; 0 is any letter that is not in the vocabulary."""
     model = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path(VOCABULARY))
     pieces = map(model.id_to_piece, range(model.get_piece_size()))
-    usable = (p for p in pieces if len(p) <= LONGEST and WORD.fullmatch(p.removeprefix(START) or "-") and p == p.lower())
+    usable = (p for p in pieces if WORD.fullmatch(p.removeprefix(START) or "-") and p == p.lower())
     return {piece: number for number, piece in enumerate([START, *usable], 1)}
 
 
@@ -82,6 +80,14 @@ class PieceTable:
             slots, counts = np.unique(self._slot(self.hashes), return_counts=True)
             if counts.max() <= 2 and len(np.unique(self.hashes)) == len(self.hashes):
                 break
+        self.longest = max(by_length)
+        self.begins = np.zeros(self.SLOTS, bool)
+        for size, same in by_length.items():
+            if size > PREFIX:
+                total = np.zeros(len(same), np.uint64)
+                for column in letters([p[:PREFIX] for p in same]).T:
+                    total = self.step(total, column)
+                self.begins[self._slot(total)] = True
         self.slots = np.zeros((self.SLOTS, 2), np.int32)
         order = np.argsort(self._slot(self.hashes), kind="stable")
         first = np.cumsum(counts) - counts
@@ -94,6 +100,10 @@ class PieceTable:
     def _slot(self, hashes: np.ndarray) -> np.ndarray:
         return (hashes >> np.uint64(44)).astype(np.int64)
 
+    def goes_on(self, hashes: np.ndarray) -> np.ndarray:
+        """Which hashes of PREFIX letters may begin a longer piece; all that do, and few others."""
+        return self.begins[self._slot(hashes)]
+
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the hashes that are those of pieces, and the pieces' numbers."""
         both = self.slots[self._slot(hashes)]
@@ -113,43 +123,58 @@ def piece_table(path: str | None = None) -> PieceTable:
 
 
 class Lattice:
-    """All segmentations of words of one length at once: by start and end, the words that have a piece there."""
+    """All segmentations of words of one length at once: by end and start, the words that have a piece there."""
 
     def __init__(self, words: list[str], table: PieceTable):
         codes = letters([START + w for w in words])
         self.rows, self.size = codes.shape
-        self.pieces: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+        self.by_end: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(self.size + 1)]
         for a in range(self.size):
-            total = np.zeros(self.rows, np.uint64)
-            for b in range(a + 1, min(a + LONGEST, self.size) + 1):
-                total = table.step(total, codes[:, b - 1])
+            rows, total = np.arange(self.rows), np.zeros(self.rows, np.uint64)
+            for b in range(a + 1, min(a + table.longest, self.size) + 1):
+                total = table.step(total, codes[rows, b - 1])
                 at, ids = table.find(total)
                 if b == a + 1:  # every single letter can be passed
                     single = np.zeros(self.rows, np.int64)
                     single[at] = ids
-                    at, ids = np.arange(self.rows), single
-                if len(at):
-                    self.pieces.append((a, b, at, ids))
-
-    def forward(self, table: np.ndarray) -> np.ndarray:
-        """(place, word, language): summed probability of the letters before the place."""
+                    self.by_end[b].append((a, rows, single))
+                elif len(at):
+                    self.by_end[b].append((a, rows[at], ids))
+                if b == a + PREFIX:
+                    alive = table.goes_on(total)
+                    rows, total = rows[alive], total[alive]
+                    if not len(rows):
+                        break
+
+    def log_forward(self, table: np.ndarray) -> np.ndarray:
+        """(place, word, language): logarithm of the summed probability of the letters before the place."""
         alpha = np.zeros((self.size + 1, self.rows, table.shape[1]))
-        alpha[0] = 1
-        for a, b, at, ids in self.pieces:
-            alpha[b, at] += alpha[a, at] * table[ids]
+        for b in range(1, self.size + 1):
+            total = np.zeros(alpha.shape[1:])
+            for a, at, ids in self.by_end[b]:
+                total[at] += table[ids] if a == b - 1 else table[ids] * np.exp(alpha[a, at] - alpha[b - 1, at])
+            alpha[b] = alpha[b - 1] + np.log(total)
         return alpha
 
+    def forward(self, table: np.ndarray) -> np.ndarray:
+        return np.exp(self.log_forward(table))
+
     def expected(self, table: np.ndarray, counts: np.ndarray, into: np.ndarray) -> None:
         """Adds the expected uses of each piece, in words seen ``counts`` (word, language) times."""
-        alpha = self.forward(table)
+        alpha = self.log_forward(table)
         beta = np.zeros_like(alpha)
-        beta[self.size] = counts / alpha[self.size]
-        for a, b, at, ids in reversed(self.pieces):
-            beta[a, at] += beta[b, at] * table[ids]
         columns, flat = np.arange(table.shape[1]), into.reshape(-1)
-        for a, b, at, ids in self.pieces:
-            uses = alpha[a, at] * table[ids] * beta[b, at]
-            np.add.at(flat, (ids[:, None] * len(columns) + columns).ravel(), uses.ravel())
+        by_start: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(self.size)]
+        for b, pieces in enumerate(self.by_end):
+            for a, at, ids in pieces:
+                by_start[a].append((b, at, ids))
+        for a in range(self.size - 1, -1, -1):
+            total = np.zeros(alpha.shape[1:])
+            for b, at, ids in by_start[a]:
+                total[at] += table[ids] if b == a + 1 else table[ids] * np.exp(beta[b, at] - beta[a + 1, at])
+                uses = counts[at] * table[ids] * np.exp(alpha[a, at] + beta[b, at] - alpha[self.size, at])
+                np.add.at(flat, (ids[:, None] * len(columns) + columns).ravel(), uses.ravel())
+            beta[a] = beta[a + 1] + np.log(total)
 
 
 def lattices(words: Iterable[str], table: PieceTable) -> Iterator[tuple[list[str], Lattice]]:
@@ -157,8 +182,9 @@ def lattices(words: Iterable[str], table: PieceTable) -> Iterator[tuple[list[str
     for w in words:
         by_length.setdefault(len(w), []).append(w)
     for same in by_length.values():
-        for at in range(0, len(same), 4096):
-            block = same[at : at + 4096]
+        together = max(1, min(4096, LETTERS // len(same[0])))
+        for at in range(0, len(same), together):
+            block = same[at : at + together]
             yield block, Lattice(block, table)
 
 
@@ -170,7 +196,7 @@ class Model:
         self._forget()
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "scores")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "scores", "letters")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -178,21 +204,23 @@ class Model:
 
     def _forget(self) -> None:
         self.rows: dict[str, int] = {}
+        self.letters = 0
         self.scores = np.zeros((0, len(self.languages)))
 
     def learn(self, words: list[str]) -> None:
         """Remembers the log probabilities of these words."""
+        self.letters += sum(map(len, words))
         parts, blocks = [self.scores], lattices(words, piece_table(self.path))
         for block, lattice in blocks:
             self.rows.update(zip(block, range(len(self.rows), len(self.rows) + len(block)), strict=True))
-            parts.append(np.log(lattice.forward(self.table)[lattice.size]))
+            parts.append(lattice.log_forward(self.table)[lattice.size])
         self.scores = np.concatenate(parts)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         words = [words_of(t) for t in texts]
         if not self.languages:
             return [(UNDETERMINED, 0.0)] * len(texts)
-        if len(self.rows) > REMEMBERED:
+        if len(self.rows) > REMEMBERED or self.letters > REMEMBERED_LETTERS:
             self._forget()
         new = set(chain.from_iterable(words)).difference(self.rows)
         if new:
@@ -226,6 +254,7 @@ def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counted: dict[str, Counter] = {}
+        read = 0
 
         def flush() -> pd.DataFrame:
             rows = [(lang, word, n) for lang, words in counted.items() for word, n in words.items()]
@@ -235,8 +264,10 @@ def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
         for batch in batches:
             for key, body in zip(batch["lang"], batch["text"], strict=True):
                 counted.setdefault(key, Counter()).update(words_of(body))
-                if sum(map(len, counted.values())) > COUNTED:
+                read += len(body)
+                if read > READ or sum(map(len, counted.values())) > COUNTED:
                     yield flush()
+                    read = 0
         yield flush()
         give_back_memory()
 
@@ -302,7 +333,8 @@ def train(
 def predictions(text: Column, model: Model) -> Column:
     """Struct (lang, score): the most probable language and its posterior probability.
 
-    ``und`` and 0 if the text is NULL, empty or without a letter. Texts of any length are scored whole.
+    ``und`` and 0 if the text is NULL, empty or without a letter. Texts of any length are scored whole. Of
+    equally probable languages the first by name is taken.
     """
 
     @F.pandas_udf("lang string, score double")
