@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import contextlib
 import io
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 PARTITION = "p_transacted_year"
 
@@ -30,6 +33,58 @@ def city_partition_year(sales: DataFrame, city: int, year: int) -> DataFrame:
     return sales.where(F.col("city_id") == city).where(F.col(PARTITION) == year)
 
 
+@dataclass(frozen=True)
+class PartitionRelation:
+    """What is known of a partitioned table: in every row ``column`` is ``derive(source)``.
+
+    ``derive`` grows with its argument, as ``F.year`` and ``F.to_date`` do, so every test on the timestamp
+    implies one on the partition column, which is all that a scan can leave folders out by.
+    """
+
+    column: str
+    source: str
+    derive: Callable[[Column], Column]
+
+    def implied(self, test: str, value: Column) -> Column:
+        """What a comparison of the timestamp with a constant says about the partition column."""
+        own, instant = F.col(self.column), F.expr("INTERVAL 1 MICROSECOND")
+        if test == "=":
+            return own == self.derive(value)
+        if test in (">", ">="):
+            return own >= self.derive(value + instant if test == ">" else value)
+        if test in ("<", "<="):
+            return own <= self.derive(value - instant if test == "<" else value)
+        raise ValueError(f"{test!r} is none of =, <, <=, >, >=")
+
+    def violations(self, df: DataFrame) -> DataFrame:
+        """Rows for which the relation does not hold; with any, implied tests would lose rows."""
+        return df.where(~F.col(self.column).eqNullSafe(self.derive(F.col(self.source))))
+
+
+SALES_YEAR = PartitionRelation(PARTITION, "transacted_at", F.year)
+
+
+def where_time(df: DataFrame, relation: PartitionRelation, *tests: tuple[str, object]) -> DataFrame:
+    """Rows that pass all ``(comparison, constant)`` tests on the timestamp; the implied partition tests are added.
+
+    The caller names the timestamp only. NULL timestamps pass no test, as ever.
+    """
+    kind = df.schema[relation.source].dataType
+
+    def both(test: str, value: object) -> Column:
+        value, own = F.lit(value).cast(kind), F.col(relation.source)
+        asked = {"=": own == value, ">": own > value, ">=": own >= value, "<": own < value, "<=": own <= value}
+        return relation.implied(test, value) & asked[test]
+
+    return df.where(reduce(Column.__and__, [both(*t) for t in tests], F.lit(True)))
+
+
+def where_derived(df: DataFrame, relation: PartitionRelation, values: Sequence[object]) -> DataFrame:
+    """Rows whose derived value, computed from the timestamp, is one of ``values``: the partition column says so."""
+    computed = relation.derive(F.col(relation.source)).isin(list(values))
+    return df.where(computed & F.col(relation.column).isin(list(values)))
+
+
 def city_total(sales: DataFrame, city: int, amount: str = "amount") -> DataFrame:
     """Filter written after the aggregation; Spark moves it below, as it tests the grouping key."""
     return sales.groupBy("city_id").agg(F.sum(amount).alias("total_amount")).where(F.col("city_id") == city)

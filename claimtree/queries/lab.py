@@ -56,6 +56,22 @@ def _(t):
     return lab.city_computed_year(partitioned_sales(t), CITY, YEAR)
 
 
+FROM, TO = "1996-07-01 00:00:00", "1997-03-15 12:00:00"
+
+
+@query("lab_implied", f"SELECT * FROM fx_sales WHERE city_id = {CITY} AND transacted_at >= '{FROM}' AND transacted_at < '{TO}'")
+def _(t):
+    """A range of timestamps; the years to read follow from it."""
+    rows = partitioned_sales(t).where(F.col("city_id") == CITY)
+    return lab.where_time(rows, lab.SALES_YEAR, (">=", FROM), ("<", TO))
+
+
+@query("lab_implied_year", CITY_YEAR)
+def _(t):
+    """The computed year as in ``lab_unpruned``, but only that year's folder is read."""
+    return lab.where_derived(partitioned_sales(t).where(F.col("city_id") == CITY), lab.SALES_YEAR, [YEAR])
+
+
 @query("lab_cached", CITY_YEAR)
 def _(t):
     # A projection of its own, so that other queries on the stored table do not read this cache.
