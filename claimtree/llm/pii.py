@@ -39,6 +39,11 @@ NUMBERS = rf"(?=[0-9(+])(?:{'|'.join([DATE, IP, SSN, CARD, PHONE])})|(?=[A-Z]{{2
 ANY = f"{NUMBERS}|{EMAIL}"
 
 
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: inside a lambda nothing else is shared."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _number(key: str, label: str, half: Column) -> Column:
     """A keyed number of 60 bits."""
     digest = F.sha2(F.concat(F.lit(f"{key}|{label}|"), half.cast("string")), 256)
@@ -229,13 +234,11 @@ def _padded(value: Column) -> Column:
 
 def _day(value: Column) -> Column:
     """The date that the value names, or NULL."""
-    value = _padded(value)
 
-    def parts(form: str) -> Column:
-        at = {unit: form.index(unit) + 1 for unit in ("yyyy", "MM", "dd")}
-        return F.concat_ws("-", F.substring(value, at["yyyy"], 4), F.substring(value, at["MM"], 2), F.substring(value, at["dd"], 2))
+    def parts(v: Column, form: str) -> Column:
+        return F.concat_ws("-", *[F.substring(v, form.index(unit) + 1, len(unit)) for unit in ("yyyy", "MM", "dd")])
 
-    return F.try_to_date(_by_format(value, parts), "yyyy-MM-dd")
+    return _bind(_padded(value), lambda v: F.try_to_date(_by_format(v, lambda form: parts(v, form)), "yyyy-MM-dd"))
 
 
 def _date(key: str, value: Column) -> Column:
@@ -245,25 +248,29 @@ def _date(key: str, value: Column) -> Column:
     where a day or month is one digit, until the result has one too, so that a pseudonym is read the same way
     as its source and is not one of a date written otherwise.
     """
-    day, short, value = _day(value), _unpadded(value), _padded(value)
-    year = F.floor((F.year(day) - 50) / 100) * 100 + 50
-    start = F.make_date(year.cast("int"), F.lit(1), F.lit(1))
-    days = F.datediff(F.make_date((year + 100).cast("int"), F.lit(1), F.lit(1)), start)
-    a = F.when(days == 36525, 75).otherwise(92).cast("bigint")
-    b = F.when(days == 36525, 487).otherwise(397).cast("bigint")
-    day_first = value.rlike(r"^(1[3-9]|[23]\d)[/-]")
-    once = lambda n: permute(key, "date", n, a, b)
-    at = lambda n: F.date_add(start, n.cast("int"))
-    first = once(F.datediff(day, start).cast("bigint"))
-
-    def wrong(n: Column) -> Column:
-        padded = (F.month(at(n)) >= 10) & (F.dayofmonth(at(n)) >= 10)
-        return (day_first & (F.dayofmonth(at(n)) <= 12)) | (short & padded)
-
-    walk = lambda n, _: F.when(wrong(n), once(n)).otherwise(n)
-    fresh = at(F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), first, walk))
-    made = _by_format(value, lambda form: F.date_format(fresh, form))
-    return F.when(short, F.regexp_replace(made, r"(^|/)0(?=\d/)", "$1")).otherwise(made)
+    year = lambda day: (F.floor((F.year(day) - 50) / 100) * 100 + 50).cast("int")
+    start = lambda day: F.make_date(year(day), F.lit(1), F.lit(1))
+    days = lambda day: F.datediff(F.make_date(year(day) + 100, F.lit(1), F.lit(1)), start(day))
+    seen = _bind(_day(value), lambda day: F.struct(
+        start(day).alias("start"), F.datediff(day, start(day)).cast("bigint").alias("n"),
+        F.when(days(day) == 36525, 75).otherwise(92).cast("bigint").alias("a"),
+        F.when(days(day) == 36525, 487).otherwise(397).cast("bigint").alias("b"),
+        _unpadded(value).alias("short"), _padded(value).rlike(r"^(1[3-9]|[23]\d)[/-]").alias("day_first"),
+    ))
+
+    def walked(x: Column) -> Column:
+        once = lambda n: permute(key, "date", n, x.a, x.b)
+        at = lambda n: F.date_add(x.start, n.cast("int"))
+
+        def wrong(n: Column) -> Column:
+            padded = (F.month(at(n)) >= 10) & (F.dayofmonth(at(n)) >= 10)
+            return (x.day_first & (F.dayofmonth(at(n)) <= 12)) | (x.short & padded)
+
+        walk = lambda n, _: F.when(wrong(n), once(n)).otherwise(n)
+        return at(F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), once(x.n), walk))
+
+    made = _bind(_bind(seen, walked), lambda fresh: _by_format(_padded(value), lambda form: F.date_format(fresh, form)))
+    return F.when(_unpadded(value), F.regexp_replace(made, r"(^|/)0(?=\d/)", "$1")).otherwise(made)
 
 
 def _email(key: str, value: Column) -> Column:
@@ -289,7 +296,7 @@ def kind_of(value: Column) -> Column:
     return (
         F.when(value.contains("@"), F.lit("email"))
         .when(value.rlike(_anchored("iban")), F.when(_iban_ok(value), F.lit("iban")))
-        .when(value.rlike(_anchored("date")), F.when(_day(value).isNotNull() & (F.year(_day(value)) >= 1550), F.lit("date")))
+        .when(value.rlike(_anchored("date")), F.when(F.year(_day(value)) >= 1550, F.lit("date")))
         .when(value.rlike(_anchored("ip")), F.when(_ip_ok(value), F.lit("ip")))
         .when(value.rlike(_anchored("ssn")), F.when(_ssn_ok(value), F.lit("ssn")))
         .when(value.rlike(_anchored("card")), F.when(_card_ok(value), F.lit("card")))
@@ -301,8 +308,8 @@ def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of one value; a value that does not pass the check of its kind stays as it is."""
     makers = {"email": _email, "iban": _iban, "date": _date, "ip": _ip, "card": _card, "phone": _phone}
     makers["ssn"] = _ssn
-    kind = kind_of(value)
-    return F.coalesce(reduce(lambda case, k: case.when(kind == k, makers[k](key, value)), makers, F), value)
+    fresh = _bind(kind_of(value), lambda kind: reduce(lambda case, k: case.when(kind == k, makers[k](key, value)), makers, F))
+    return F.coalesce(fresh, value)
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str = "n_values") -> DataFrame:
