@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from claimtree.operators import claims as ops
+from claimtree.plans.stages import StageStore
 from claimtree.session import scratch_path
 from claimtree.sources.sinks import export_csv, materialize, save_table
 
@@ -52,8 +53,10 @@ class ClaimRun:
     """Stage tables of a run, each made when asked for.
 
     The stages that others reuse are written once, to ``workdir`` or else under the session's scratch
-    folder, and read back, so that several results of a run scan the claims once. Area cohorts keep claims without a drug row, name cohorts drop
-    them. ``exact_cents`` keeps pays as integer cents.
+    folder, and read back, so that several results of a run scan the claims once. With ``inputs``, the state of
+    the source files (see ``stages.input_state``), a run in the same ``workdir`` takes over the stages that an
+    earlier one has finished. Area cohorts keep claims without a drug row, name cohorts drop them.
+    ``exact_cents`` keeps pays as integer cents.
     """
 
     src: ClaimSources
@@ -62,28 +65,41 @@ class ClaimRun:
     workdir: str | None = None
     exact_cents: bool = False
     top: int = 200
+    inputs: str | None = None
 
-    def _stage(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.workdir.rstrip('/')}/{name}" if self.workdir else scratch_path(df.sparkSession, name)
-        return materialize(df, path)
+    def __post_init__(self) -> None:
+        if self.inputs is not None and not self.workdir:
+            raise ValueError("stages can be taken over only in a workdir")
+
+    def _stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        spark = self.src.drug.sparkSession
+        if self.inputs is None:
+            path = f"{self.workdir.rstrip('/')}/{name}" if self.workdir else scratch_path(spark, name)
+            return materialize(build(), path)
+        how = {"cohort": asdict(self.selection), "exact_cents": self.exact_cents, "classes": self.src.product_class is not None}
+        return StageStore(spark, self.workdir, self.inputs, how).stage(name, build)
 
     @cached_property
     def cohort(self) -> DataFrame:
         """The slices are united before the join, so the drug side is prepared once."""
+        return self._stage("cohort", self._cohort)
+
+    def _cohort(self) -> DataFrame:
         rows = ops.cohort_union(*self.src.slices)
         if self.selection.areas:
-            rows = ops.cohort_by_area(rows, self.src.drug, self.src.ndc_map, self.selection.areas)
-        else:
-            rows = ops.cohort_by_name(rows, self.src.drug, self.selection.patterns)
-        return self._stage("cohort", rows)
+            return ops.cohort_by_area(rows, self.src.drug, self.src.ndc_map, self.selection.areas)
+        return ops.cohort_by_name(rows, self.src.drug, self.selection.patterns)
 
     @cached_property
     def monthly(self) -> DataFrame:
+        return self._stage("monthly", self._monthly)
+
+    def _monthly(self) -> DataFrame:
         how = "left" if self.selection.areas else "inner"
         rows = ops.monthly_physician_plan(self.cohort, self.src.drug, how, self.selection.area, self.exact_cents)
         if self.src.product_class is not None:
             rows = ops.enrich_class(rows, self.src.product_class)
-        return self._stage("monthly", rows)
+        return rows
 
     @cached_property
     def by_npi(self) -> DataFrame:
@@ -96,7 +112,7 @@ class ClaimRun:
     def by_org(self) -> DataFrame:
         src = self.src
         dims = (src.plan, src.physician, src.affiliation, src.hospital, src.physician_group)
-        return self._stage("by_org", ops.org_claims(self.monthly, *dims))
+        return self._stage("by_org", lambda: ops.org_claims(self.monthly, *dims))
 
     @cached_property
     def split(self) -> DataFrame:
@@ -104,16 +120,20 @@ class ClaimRun:
 
     @cached_property
     def attributed(self) -> DataFrame:
-        rows = ops.enrich_entity(ops.enrich_channel(self.split, self.src.plan_channel), self.src.entity_type)
-        return self._stage("attributed", rows)
+        """The last large table; it is not written here, as it is a result itself."""
+        return ops.enrich_entity(ops.enrich_channel(self.split, self.src.plan_channel), self.src.entity_type)
+
+    @cached_property
+    def _reported(self) -> DataFrame:
+        return self._stage("attributed", lambda: self.attributed)
 
     @cached_property
     def yearly(self) -> DataFrame:
-        return ops.rollup_year(self.attributed, self.year)
+        return ops.rollup_year(self._reported, self.year)
 
     @cached_property
     def crosstab(self) -> DataFrame:
-        return ops.facility_plan_crosstab(self.attributed)
+        return ops.facility_plan_crosstab(self._reported)
 
     @cached_property
     def plan_mix(self) -> DataFrame:

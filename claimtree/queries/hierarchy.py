@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from claimtree.functions.text import is_filled
-from claimtree.operators import metadata, tree, tree_order, tree_view
+from claimtree.operators import metadata, tree, tree_index, tree_order, tree_view
 from claimtree.plans.hierarchy import hierarchy_view
 from claimtree.queries.fixtures import HIER_META as META, Inputs
 from claimtree.queries.hierarchy_oracle import check
@@ -207,6 +207,16 @@ def _(t):
     return tree.subtree(rows, path_of(rows, "N7")).select(label(), "depth", "root", "Balance")
 
 
+@query("hier_subtree_interval", """SELECT substr(path, length(p1) + 2) AS path, depth - 1 AS depth, a2 AS root, Balance FROM nodes
+       WHERE a2 = 'N7'""")
+def _(t):
+    """The same sub-tree as a range of numbers in a stored, labelled table."""
+    rows = stored_nodes(t, "EntityName", "Balance")
+    labelled = tree_index.label_intervals(rows, name_order(), META.max_depth)
+    kept = tree_index.store_intervals(labelled, scratch_path(t.spark, "intervals"))
+    return tree_index.subtree_by_interval(kept, path_of(rows, "N7")).select(label(), "depth", "root", "Balance")
+
+
 @query(
     "hier_subtree_eligible",
     "SELECT path FROM nodes JOIN (SELECT DISTINCT parent_path AS parent FROM nodes) ON parent = path WHERE depth > 1",
@@ -301,6 +311,19 @@ def _(t):
     return found.select(label(), "title", "subtitle", "caption")
 
 
+@query(
+    "hier_search_index",
+    """SELECT path, {title}(concat(EntityName, ' (', node_id, ')')) AS title, {title}(coalesce(RelationType, 'null')) AS subtitle,
+         CASE WHEN Tier = '-' THEN '' ELSE {title}(concat('tier ', coalesce(Tier, 'null'))) END AS caption
+       FROM nodes WHERE lower(EntityName) LIKE '%omer#00000%' AND EntityName NOT LIKE '%(Filled)%'""",
+)
+def _(t):
+    rows = nodes(t, "EntityName", "RelationType", "Tier").select("path", "node_id", "EntityName", "RelationType", "Tier")
+    index = tree_index.build_search_index(rows, META, scratch_path(t.spark, "trigrams"))
+    found = tree_index.search_index(*index, META, " omer#00000")
+    return tree_view.search(found, META, " omer#00000", SEARCH_TEXT).select(label(), "title", "subtitle", "caption")
+
+
 @query("hier_search_total", "SELECT count(*) AS results FROM nodes WHERE lower(EntityName) LIKE '%urgent%'")
 def _(t):
     return tree_view.search(nodes(t, "EntityName"), META, "URGENT").agg(F.count("*").alias("results"))
