@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from claimtree.operators import tree, tree_order
-from claimtree.operators.metadata import HierarchyMeta, filter_values, resolve_sort
+from claimtree.operators.metadata import HierarchyMeta, filter_values, load_config, load_meta, resolve_sort
 from claimtree.session import scratch_path
 from claimtree.sources.sinks import materialize
-from claimtree.sources.tables import require_nonempty
+from claimtree.sources.tables import read_table, require_nonempty, require_sources
 
 # Config keys of the row filters, node filters and the sort.
 ROW_FILTERS, NODE_FILTERS = "func_csv", "func_json"
@@ -80,6 +80,25 @@ def hierarchy_view(
     return arrange(nodes, meta, config, params)
 
 
+def catalog_view(
+    spark: SparkSession, names: dict[str, str], params: dict, root: str = "", order: str = "row_order",
+    settings_order: str | None = None, workdir: str | None = None,
+) -> tuple[DataFrame, HierarchyMeta, dict]:
+    """The view of catalog tables, with its metadata and configuration.
+
+    ``names`` gives the tables of the roles ``columns``, ``config`` and ``hierarchy`` (more roles may be named);
+    each must exist before anything is read. ``settings_order`` is the order column of the first two.
+    """
+    missing = {"columns", "config", "hierarchy"} - names.keys()
+    if missing:
+        raise ValueError(f"no source is named for {', '.join(sorted(missing))}")
+    require_sources(spark, names)
+    config = load_config(read_table(spark, names["config"]), settings_order)
+    meta = load_meta(read_table(spark, names["columns"]), config, settings_order)
+    view = hierarchy_view(read_table(spark, names["hierarchy"]), meta, config, params, root, order, workdir)
+    return view, meta, config
+
+
 def subtree_view(nodes: DataFrame, path: list[str], meta: HierarchyMeta, config: dict, params: dict) -> DataFrame:
     """One node's sub-tree with the node filters and the sort applied again (row filters are not)."""
     return arrange(tree.subtree(nodes, path), meta, config, params)

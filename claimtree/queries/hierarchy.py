@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from claimtree.functions.text import is_filled
 from claimtree.operators import metadata, tree, tree_index, tree_order, tree_view
-from claimtree.plans.hierarchy import hierarchy_view
+from claimtree.plans.hierarchy import hierarchy_view, subtree_view
 from claimtree.queries.fixtures import HIER_META as META, Inputs
 from claimtree.queries.hierarchy_oracle import check
 from claimtree.queries.registry import Registry
@@ -414,3 +414,34 @@ def _(t):
 def _(t):
     view = hierarchy_view(t.hier, META, CONFIG, PARAMS, root="ASIA")
     return view.select(label(), "depth", "node_id", "Balance", "position", "has_children")
+
+
+@query("hierarchy_view_selected", """SELECT * FROM (WITH shown AS MATERIALIZED (SELECT n.node_id, n.Balance, n.EntityName,
+         CASE WHEN n.depth < 4 OR p.path IS NOT NULL THEN n.path ELSE n.p2 || '/' || n.a3 || '>' || n.a4 END AS path,
+         CASE WHEN n.depth < 4 OR p.path IS NOT NULL THEN n.parent_path ELSE n.p2 END AS parent_path,
+         CASE WHEN n.depth = 4 AND p.path IS NULL THEN 3 ELSE n.depth END AS depth
+       FROM view_kept n LEFT JOIN view_kept p ON n.parent_path = p.path AND p.depth = 3 AND p.Tier IN ('High', 'HIGH')
+       WHERE n.depth <= 2 OR n.Tier IN ('High', 'HIGH'))
+       SELECT path, depth, node_id, Balance, parent IS NOT NULL AS has_children, CAST(row_number() OVER (PARTITION BY parent_path,
+         CASE WHEN depth = 1 THEN path END ORDER BY Balance DESC NULLS LAST, EntityName, path) AS INTEGER) AS position
+       FROM shown LEFT JOIN (SELECT DISTINCT parent_path AS parent FROM shown) ON parent = path)""")
+def _(t):
+    """The setting that shows selected nodes only, under the nearest selected node above them."""
+    filters = {**CONFIG["filters"], "func_json": {"Tier": {"value": "Tier", "parameters": "true", "content": "-"}}}
+    view = hierarchy_view(t.hier, META, {"filters": filters}, PARAMS, root="ASIA")
+    return view.select(label(), "depth", "node_id", "Balance", "has_children", "position")
+
+
+@query("hier_subtree_view", """SELECT * FROM (WITH own AS (SELECT *, substr(path, length(p1) + 2) AS own_path,
+         CASE WHEN depth > 2 THEN substr(parent_path, length(p1) + 2) ELSE '' END AS own_parent FROM nodes WHERE a2 = 'N7'),
+       hits AS (SELECT unnest([p2, p3, p4]) AS hit FROM own WHERE Tier IN ('High', 'HIGH')),
+       shown AS MATERIALIZED (SELECT own_path AS path, own_parent AS parent_path, depth - 1 AS depth, node_id, Balance, EntityName FROM own
+         WHERE depth = 2 OR path IN (SELECT hit FROM hits WHERE hit IS NOT NULL))
+       SELECT path, depth, node_id, Balance, parent IS NOT NULL AS has_children, CAST(row_number() OVER (PARTITION BY parent_path,
+         CASE WHEN depth = 1 THEN path END ORDER BY Balance DESC NULLS LAST, EntityName, path) AS INTEGER) AS position
+       FROM shown LEFT JOIN (SELECT DISTINCT parent_path AS parent FROM shown) ON parent = path)""")
+def _(t):
+    """One node opened as a tree of its own, with the node filter and the sort applied again."""
+    rows = stored_nodes(t, "EntityName", "Tier", "Balance")
+    view = subtree_view(rows, path_of(rows, "N7"), META, CONFIG, PARAMS)
+    return view.select(label(), "depth", "node_id", "Balance", "has_children", "position")

@@ -464,3 +464,27 @@ def test_first_seen_of_null_keys_and_several_order_columns(spark):
     found = tree.first_seen(df, ["k"], ["n", "m"])
     assert {tuple(r) for r in found.collect()} == {(None, 1, 3, "c"), ("x", 5, 4, "d")}
     assert "SortAggregate" not in plan_text(found)
+
+
+def test_catalog_view_checks_its_sources_first(spark):
+    from claimtree.plans.hierarchy import catalog_view
+
+    wide = to_df(spark, random_wide(5))
+    columns = [(c.name, str(c.level), c.key, c.text, c.dtype, c.format, c.category) for c in META.columns]
+    config = [("filters", "func_sort", "Metric", "Pay", "-", "-")]
+    wide.createOrReplaceTempView("cv_hier")
+    spark.createDataFrame(columns, metadata.META_HEADERS).createOrReplaceTempView("cv_columns")
+    spark.createDataFrame(config, metadata.CONFIG_HEADERS).createOrReplaceTempView("cv_config")
+    names = {"columns": "cv_columns", "config": "cv_config", "hierarchy": "cv_hier"}
+    try:
+        with pytest.raises(ValueError, match="Cannot find images data"):
+            catalog_view(spark, {**names, "images": "cv_none"}, {"Metric": "Pay"})
+        with pytest.raises(ValueError, match="no source is named for config"):
+            catalog_view(spark, {"columns": "cv_columns", "hierarchy": "cv_hier"}, {"Metric": "Pay"})
+        view, meta, settings = catalog_view(spark, names, {"Metric": "Pay"})
+        plain = hierarchy_view(wide, META, settings, {"Metric": "Pay"})
+        key = lambda df: sorted((tuple(r.path), r.position) for r in df.collect())
+        assert key(view) == key(plain) and meta.max_depth == DEPTH
+    finally:
+        for name in names.values():
+            spark.catalog.dropTempView(name)
