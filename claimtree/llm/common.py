@@ -24,6 +24,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 BATCH_BYTES = 4 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 

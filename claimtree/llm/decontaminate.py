@@ -25,7 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimtree.llm.common import give_back_memory, small_batches, stored
+from claimtree.llm.common import free_name, give_back_memory, small_batches, stored
 
 SIMILARITY = 0.8
 # Items with fewer words are found only as they are: an edited one is hardly more than a common phrase.
@@ -259,15 +259,15 @@ def with_hits(
     kind = dict(benchmark.dtypes)[item_id]
     schema = f"array<struct<{HIT.format(kind=kind).replace(' ', ':').replace(',:', ',')}>>"
     blocks = item_blocks(benchmark, item_id, item_text)
-    column = F.array().cast(schema)
+    column, before = F.array().cast(schema), free_name(docs, "__before")
     for k, block in enumerate(blocks):
         # About ``BLOCK_CHARS`` characters; the driver lets go of them before it reads the next block.
         items = [(r.item_id, words_of(r.text)) for r in sorted(block.collect(), key=lambda r: (str(r.item_id), r.text))]
         own = _search_column(F.col(text), Index(items, similarity, repetitions, samples), schema)
-        column = own if k == 0 else F.concat(F.col("__before"), own)
+        column = own if k == 0 else F.concat(F.col(before), own)
         if k < len(blocks) - 1:
-            docs = stored(docs.withColumn("__before", column), "hits")
-    return docs.withColumn(hits, column).drop("__before")
+            docs = stored(docs.withColumn(before, column), "hits")
+    return docs.withColumn(hits, column).drop(before)
 
 
 def _search_column(text: Column, index: Index, schema: str) -> Column:
@@ -289,4 +289,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **opt
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
-    return with_hits(docs, benchmark, hits="__hits", **options).where(F.size("__hits") == 0).drop("__hits")
+    hits = free_name(docs, "__hits")
+    return with_hits(docs, benchmark, hits=hits, **options).where(F.size(hits) == 0).drop(hits)

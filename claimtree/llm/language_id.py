@@ -21,7 +21,7 @@ import public_tokenizers
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimtree.llm.common import give_back_memory, small_batches, stored
+from claimtree.llm.common import free_name, give_back_memory, small_batches, stored
 
 VOCABULARY = "piece_bpe_32k.model"
 UNDETERMINED = "und"
@@ -355,8 +355,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text", lang: str = "lan
     """
     small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (lang, score)]
-    found = docs.select(*kept, predictions(F.col(text), model).alias("__p"))
-    return found.select(*kept, F.col("__p.lang").alias(lang), F.col("__p.score").alias(score))
+    name = free_name(docs, "__p")
+    found = docs.select(*kept, predictions(F.col(text), model).alias(name))
+    return found.select(*kept, F.col(f"{name}.lang").alias(lang), F.col(f"{name}.score").alias(score))
 
 
 def held_out(doc_id: Column) -> Column:

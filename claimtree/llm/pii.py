@@ -14,6 +14,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimtree.llm.common import free_name
+
 ROUNDS = 8
 # Steps of the walk that brings a permuted value back into its domain; each fails with odds under 0.6.
 WALK = 64
@@ -325,13 +327,14 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str = "n_
     # Every kind but mail holds a digit, and mail an @: two cheap scans spare most texts the patterns.
     case = lambda make: F.when(body.contains("@"), make(ANY)).when(body.rlike("[0-9]"), make(NUMBERS))
     found = case(lambda pattern: F.regexp_extract_all(body, F.lit(pattern), F.lit(0)))
-    docs = docs.withColumn("__found", found)
-    docs = docs.withColumn("__fresh", F.transform("__found", lambda v: pseudonym(v, key)))
+    seen, fresh = free_name(docs, "__found"), free_name(docs, "__fresh")
+    docs = docs.withColumn(seen, found)
+    docs = docs.withColumn(fresh, F.transform(seen, lambda v: pseudonym(v, key)))
     between = case(lambda pattern: F.split(body, pattern, -1))
-    woven = F.zip_with(between, "__fresh", lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    changed = F.filter(F.arrays_zip("__found", "__fresh"), lambda p: p["__found"] != p["__fresh"])
-    none = F.coalesce(F.size("__found"), F.lit(0)) <= 0
+    woven = F.zip_with(between, fresh, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    changed = F.filter(F.zip_with(seen, fresh, lambda a, b: a != b), lambda x: x)
+    none = F.coalesce(F.size(seen), F.lit(0)) <= 0
     return docs.withColumns({
         text: F.when(none, body).otherwise(F.array_join(woven, "")),
         count: F.when(none, 0).otherwise(F.size(changed)),
-    }).drop("__found", "__fresh")
+    }).drop(seen, fresh)

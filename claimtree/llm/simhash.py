@@ -15,7 +15,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimtree.llm.common import give_back_memory, small_batches, stored
+from claimtree.llm.common import free_name, give_back_memory, small_batches, stored
 from claimtree.llm.components import components
 
 SHINGLE_WORDS, MAX_DISTANCE = 3, 2
@@ -128,8 +128,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     found = _labelled(docs.select(doc_id, text), doc_id, text, mark=mark, **options)
     found = found.where(F.col("doc_id") == F.col("component_id"))
     keep = found.groupBy("root").agg(F.min(F.struct("doc_id", "fingerprint", "mark")).alias("k"))
-    keep = keep.select(F.col("k.doc_id").alias("__keep"), F.col("k.mark").alias("__kept_mark"))
-    marked = docs.withColumn("__mark", mark)
-    same = (F.col(doc_id) == F.col("__keep")) & (F.col("__mark") == F.col("__kept_mark"))
-    kept = marked.join(keep, same, "left_semi").dropDuplicates([doc_id, "__mark"]).drop("__mark")
+    own, kept_id, kept_mark = (free_name(docs, stem) for stem in ("__mark", "__keep", "__kept_mark"))
+    keep = keep.select(F.col("k.doc_id").alias(kept_id), F.col("k.mark").alias(kept_mark))
+    marked = docs.withColumn(own, mark)
+    same = (F.col(doc_id) == F.col(kept_id)) & (F.col(own) == F.col(kept_mark))
+    kept = marked.join(keep, same, "left_semi").dropDuplicates([doc_id, own]).drop(own)
     return kept.unionByName(docs.where(F.col(doc_id).isNull()))
