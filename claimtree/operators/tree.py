@@ -109,13 +109,14 @@ def build_nodes(
     """
     ids = level_ids(wide, meta)
     keys = [k for k in meta.keys() if k != meta.id_key and (attributes is None or k in attributes)]
-    levels = []
-    for level in range(1, meta.max_depth + 1):
-        held = reduce(Column.__and__, [i.isNotNull() for i in ids[:level]])
-        deeper = ids[level].isNotNull() if level < meta.max_depth else F.lit(False)
-        levels.append(F.when(held, F.struct(F.array(*ids[:level]).alias("path"), deeper.alias("deeper"))))
-    rows = wide.select(F.col(order).alias("row_order"), F.explode(F.filter(F.array(*levels), lambda n: n.isNotNull())).alias("n"))
-    first = rows.groupBy("n.path").agg(F.min("row_order").alias("row_order"), F.max("n.deeper").alias("has_children"))
+    # Ids are read once per row, and a row has as many nodes as ids before the first missing one.
+    named = [f"_id_{level}" for level in range(1, meta.max_depth + 1)]
+    read = wide.select(F.col(order).alias("row_order"), *[i.alias(n) for i, n in zip(ids, named, strict=True)])
+    held = reduce(lambda c, k: c.when(F.col(named[k]).isNull(), k), range(meta.max_depth), F).otherwise(meta.max_depth)
+    read = read.select("row_order", F.array(*named).alias("ids"), held.alias("held")).where("held > 0")
+    rows = read.select("row_order", "ids", "held", F.explode(F.sequence(F.lit(1), F.col("held"))).alias("level"))
+    rows = rows.select("row_order", F.slice("ids", F.lit(1), F.col("level")).alias("path"), (F.col("level") < F.col("held")).alias("deeper"))
+    first = rows.groupBy("path").agg(F.min("row_order").alias("row_order"), F.max("deeper").alias("has_children"))
     if not keys:
         return first.select(*path_columns(F.col("path")), "row_order", "has_children")
     found = first.select(*[F.col(c).alias(f"_node_{c}") for c in first.columns])

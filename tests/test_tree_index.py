@@ -73,3 +73,30 @@ def test_a_search_reads_one_gram(index):
     found = tree_index.search_index(*stored, META, "omer#00000")
     lab.assert_scan(found, pushed=["EqualTo(gram,"])
     assert stored[0].where(F.col("gram") == "ome").count() > 0
+
+
+def test_an_index_stores_columns_once(index):
+    """Postings hold numbers only, once per gram, so that a node's other columns do not grow with its name."""
+    rows, (postings, counts, numbered) = index
+    assert postings.columns == ["gram", tree_index.NUMBER]
+    named = {r[tree_index.NUMBER]: r.EntityName for r in numbered.collect()}
+    can_be_found = [r.EntityName for r in rows.collect() if len(r.EntityName or "") >= 3 and "(Filled)" not in r.EntityName]
+    assert sorted(named.values()) == sorted(can_be_found)
+    held = sorted((r.gram, r[tree_index.NUMBER]) for r in postings.collect())
+    # Spark lower-cases the dotted capital I to two characters, as Python does.
+    assert held == sorted((g, k) for k, n in named.items() for g in {n.lower()[i : i + 3] for i in range(len(n.lower()) - 2)})
+    assert sum(r.n for r in counts.collect()) == len(held)
+
+
+def test_a_search_reads_stretches_of_nodes(index):
+    _, stored = index
+    found = tree_index.search_index(*stored, META, "東京タ")
+    lab.assert_scan(found, pushed=[f"GreaterThanOrEqual({tree_index.NUMBER},", f"LessThanOrEqual({tree_index.NUMBER},"])
+
+
+def test_stretches_cover_all_numbers(spark, monkeypatch):
+    numbers = [(f << 33) + k for f in (0, 1, 2, 5, 9) for k in range(f + 1, 2 * f + 3)]
+    met = spark.createDataFrame([(n,) for n in numbers], "_met long")
+    assert tree_index.stretches(met) == [(1, 2), ((1 << 33) + 2, (1 << 33) + 4), ((2 << 33) + 3, (2 << 33) + 6), ((5 << 33) + 6, (5 << 33) + 12), ((9 << 33) + 10, (9 << 33) + 20)]
+    monkeypatch.setattr(tree_index, "STRETCHES", 2)
+    assert tree_index.stretches(met) == [(1, (2 << 33) + 6), ((5 << 33) + 6, (9 << 33) + 20)]
