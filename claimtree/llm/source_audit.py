@@ -14,9 +14,8 @@ All arithmetic is on integers.
 from __future__ import annotations
 
 import bisect
-import re
 from collections import Counter, OrderedDict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from functools import lru_cache
 from itertools import chain
 
@@ -29,21 +28,25 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from claimtree.llm.common import give_back_memory, shared_files, small_batches, stored
 from claimtree.session import scratch_path
 
-# A term is a run of ASCII letters and signs beyond ASCII; A-Z are lower-cased, nothing else.
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+# A term is a run of ASCII letters and signs beyond ASCII; A-Z are lower-cased, nothing else. In UTF-8 all
+# bytes of a sign beyond ASCII are 0x80 or more, so bytes tell where terms end.
+LETTERS = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256)).lower()
 MIN_DOCUMENTS, SMOOTH, SCALE, TOP = 30, 5, 10**9, 50
 # Terms of one transducer, and transducers that a task keeps open.
 SHARD_TERMS, OPEN_SHARDS = 1 << 16, 8
-# Different terms, and characters of text, after which a task passes its counts on.
+# Different terms, and bytes of text, after which a task passes its counts on.
 COUNTED, READ = 300_000, 1 << 26
 # Cells (term, source) that one group of the pair part holds, and pairs of sources that it returns.
 CELLS, PAIRS = 1 << 16, 1 << 18
 
 
-def terms_of(text: str | None) -> list[str]:
-    if not text:
-        return []
-    return TERM.findall(text.lower() if text.isascii() else text.encode().lower().decode())
+def terms_of(text: bytes) -> list[bytes]:
+    """The terms of a text in UTF-8; they stay bytes until they are looked up."""
+    return text.translate(LETTERS).split()
+
+
+def texts_of(batch: pa.RecordBatch) -> list[bytes]:
+    return batch.column("text").cast(pa.binary()).to_pylist()
 
 
 class Transducer:
@@ -133,7 +136,7 @@ def document_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted, read = {}, 0
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch), strict=True):
                 counted.setdefault(lang, Counter()).update(set(terms_of(text)))
                 read += len(text)
                 if read > READ or sum(map(len, counted.values())) > COUNTED:
@@ -146,10 +149,10 @@ def document_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "term").agg(F.sum("docs").alias("docs"))
 
 
-def _counts(counted: dict[tuple, Counter], keys: list[str], item: str, kind: pa.DataType, count: str) -> Iterator[pa.RecordBatch]:
+def _counts(counted: dict[tuple, dict], keys: list[str], item: str, kind: pa.DataType, count: str) -> Iterator[pa.RecordBatch]:
     for key, counter in counted.items():
         if counter:
-            fixed = [pa.array([k] * len(counter), pa.string()) for k in key]
+            fixed = [pa.repeat(pa.scalar(k, pa.string()), len(counter)) for k in key]
             columns = [*fixed, pa.array(counter.keys(), kind), pa.array(counter.values(), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*keys, item, count])
 
@@ -230,16 +233,17 @@ class Reader:
         self.open.move_to_end(file)
         return self.open[file]
 
-    def ordinals(self, lang: str, terms: Iterable[str]) -> dict[str, int]:
-        """Ordinals of the terms that are kept."""
-        found, shards = {}, self.shards.get(lang, [])
+    def ordinals(self, lang: str, terms: Iterable[bytes], known: Mapping[bytes, int]) -> dict[bytes, int]:
+        """The terms' ordinals, -1 for those that are not kept; ``known`` are some looked up before, of this language."""
+        found = {term: known.get(term) for term in terms}
+        shards = self.shards.get(lang, [])
         firsts = [first for first, *_ in shards]
-        for term in sorted(terms) if shards else ():
-            at = bisect.bisect_right(firsts, term) - 1
+        for term in sorted(term for term, own in found.items() if own is None):
+            text, own = term.decode(), -1
+            at = bisect.bisect_right(firsts, text) - 1
             if at >= 0:
-                own = self.transducer(shards[at][2]).ordinal(term)
-                if own >= 0:
-                    found[term] = own + shards[at][1]
+                own = self.transducer(shards[at][2]).ordinal(text)
+            found[term] = own + shards[at][1] if own >= 0 else -1
         return found
 
     def spell(self, lang: str, ordinal: int) -> str:
@@ -259,17 +263,20 @@ def ordinal_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         view = vocabulary.reader()
         counted: dict[tuple[str, str], Counter] = {}
+        looked_up: dict[str, dict[bytes, int]] = {}  # by the last passing on: as many terms as that held
         read = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
+            before = dict(looked_up)
+            looked_up.clear()
             for lang in sorted({lang for lang, _ in counted}):
                 own = {key: c for key, c in counted.items() if key[0] == lang}
-                ordinals = view.ordinals(lang, set().union(*own.values()))
-                kept = {key: Counter({ordinals[t]: n for t, n in c.items() if t in ordinals}) for key, c in own.items()}
+                ordinals = looked_up[lang] = view.ordinals(lang, set().union(*own.values()), before.pop(lang, {}))
+                kept = {key: {at: n for t, n in c.items() if (at := ordinals[t]) >= 0} for key, c in own.items()}
                 yield from _counts(kept, ["lang", "source"], "ordinal", pa.int64(), "n")
 
         for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("lang", "source", "text")]
+            columns = [batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts_of(batch)]
             for lang, source, text in zip(*columns, strict=True):
                 counted.setdefault((lang, source), Counter()).update(terms_of(text))
                 read += len(text)

@@ -71,6 +71,27 @@ def test_reports(spark, shard_terms, cells, pairs):
     assert rows_of(found) == plain_audit(rows, 4)
 
 
+def test_terms_are_looked_up_once(spark, monkeypatch):
+    """What the last look-up found is not walked again, kept or not; order and language stay right."""
+    docs = spark.createDataFrame([("en", t) for t in ("a", "b", "é", "東京")] + [("fr", "b")], "lang string, term string")
+    reader = source_audit.Vocabulary.of_terms(docs, 2).reader()
+    walked = []
+    monkeypatch.setattr(Transducer, "ordinal", lambda self, term, plain=Transducer.ordinal: walked.append(term) or plain(self, term))
+    first = reader.ordinals("en", [t.encode() for t in ("é", "zz", "a", "0")], {})
+    assert {t.decode(): k for t, k in first.items()} == {"a": 0, "é": 2, "zz": -1, "0": -1}
+    walked.clear()
+    second = reader.ordinals("en", [t.encode() for t in ("東京", "zz", "a")], first)
+    assert {t.decode(): k for t, k in second.items()} == {"a": 0, "東京": 3, "zz": -1} and walked == ["東京"]
+    assert reader.ordinals("fr", [b"b", b"a"], {}) == {b"b": 0, b"a": -1}
+    assert reader.ordinals("xx", [b"b"], {}) == {b"b": -1}
+
+
+@pytest.mark.parametrize("text", ["", "Don't é东-É x\u0080y\u00a0z\u2003w \u0085 \u0130 A1b[c`d{e\x7ff\x00g", "ÀB 🙂ß_Ω"])
+def test_terms(text):
+    plain = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    assert [t.decode() for t in source_audit.terms_of(text.encode())] == plain
+
+
 def test_top_and_least(spark):
     rows = [(f"w{chr(97 + k)} common", "en", f"s{k % 2}") for k in range(20)] * 2
     docs = spark.createDataFrame([(*r, 1, "p", "t") for r in rows], SCHEMA)
