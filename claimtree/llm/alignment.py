@@ -7,7 +7,11 @@ sides end cut the sequences into groups.
 
 How often two ids are linked is counted over the corpus. Documents are taken in blocks of a bounded number of
 links: a block's different id pairs are counted before they are shuffled, and the corpus-wide counts come back
-to the block as one row, so that no row of the shuffle is a token or a link.
+to the block in the order of its pairs, so that no row of the shuffle is a token or a link.
+
+What a block has of its documents, with the pairs of each, is packed where it is made and unpacked where the counts
+come back. Between the two Spark carries it as bytes, in rows that it can sort and spill, and gathers no list; the
+one hash table is that of the different pairs of a partition, whose counts are looked up.
 """
 
 from __future__ import annotations
@@ -16,11 +20,13 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import tiktoken
 from pyspark import TaskContext
@@ -38,6 +44,11 @@ BLANK = "▁"
 IN_GROUP, OF_SIDES, OF_GROUPS = ",", "|", ";"
 
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
+SUMS = ["n_best", "count_sum"]
+BLOCK_ROW = pa.schema({
+    "block": pa.int64(), "pairs": pa.list_(pa.int64()), "pair_times": pa.list_(pa.int64()),
+    "n_pairs": pa.int32(), "docs": pa.binary(), "cells": pa.binary(),
+})
 
 
 def byte_level_signs() -> dict[str, int]:
@@ -184,61 +195,76 @@ class Block:
         self.keys, self.found, self.codes, self.links = [], [], [], 0
 
     def add(self, keys: list, found: pd.DataFrame, pairs: pd.DataFrame) -> None:
-        self.codes.append((pairs["doc"].to_numpy() + len(self.keys), (pairs["a"].to_numpy() << 32) | pairs["b"].to_numpy()))
+        # Links of one document that join the same ids become one entry with their number.
+        place, distinct = pd.factorize((pairs["a"].to_numpy() << 32) | pairs["b"].to_numpy())
+        cells, times = np.unique(pairs["doc"].to_numpy() * max(1, len(distinct)) + place, return_counts=True)
+        doc, place = np.divmod(cells, max(1, len(distinct)))
+        self.codes.append((doc + len(self.keys), distinct[place], times))
         self.found.append(found)
         self.keys.extend(keys)
         self.links += len(pairs)
 
-    def row(self, number: int, schema: pa.Schema) -> pa.RecordBatch:
+    def row(self, number: int, key_type: pa.DataType) -> pa.RecordBatch:
         found = pd.concat(self.found, ignore_index=True)
-        doc, code = (np.concatenate(x) for x in zip(*self.codes, strict=True))
+        doc, code, times = (np.concatenate(x) for x in zip(*self.codes, strict=True))
         place, distinct = pd.factorize(code)
-        # Links of one document that join the same ids become one entry with their number.
-        cells, times = np.unique(doc * max(1, len(distinct)) + place, return_counts=True)
-        doc, place = np.divmod(cells, max(1, len(distinct)))
+        pair_times = np.bincount(place, weights=times, minlength=len(distinct)).astype(np.int64)
+        cells = doc * max(1, len(distinct)) + place
+        order = np.argsort(cells)
+        cells, times = cells[order], times[order]
+        docs = {"doc_id": pa.array(self.keys, key_type), **{name: found[name] for name in [*COUNTS, "groups_sha256"]}}
+        steps = np.diff(cells, prepend=0)
         values = {
-            "block": number, "key": self.keys, **{name: found[name].to_numpy() for name in COUNTS},
-            "groups_sha256": found["groups_sha256"].tolist(), "entries": np.bincount(doc, minlength=len(found)),
-            "places": place, "times": times, "pairs": distinct,
-            "pair_times": np.bincount(place, weights=times, minlength=len(distinct)).astype(np.int64),
+            "block": number, "pairs": distinct, "pair_times": pair_times, "n_pairs": len(distinct),
+            "docs": packed(pa.record_batch(docs)), "cells": packed(pa.record_batch({"step": narrow(steps), "times": narrow(times)})),
         }
-        return pa.RecordBatch.from_arrays([pa.array([values[f.name]], f.type) for f in schema], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array([values[f.name]], f.type) for f in BLOCK_ROW], schema=BLOCK_ROW)
+
+
+def narrow(values: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on in the smallest type that holds them."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
+def packed(batch: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def unpacked(data: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data).read_next_batch()
 
 
 def blocks(docs: DataFrame, doc_id: str, text: str, a_path: str | None, b_path: str | None, block_links: int) -> DataFrame:
-    """One row per block of documents; ``pairs`` are its different id pairs, ``pair_times`` their links in it."""
-    kind = dict(docs.dtypes)[doc_id]
-    lists = ", ".join(f"{name} array<long>" for name in COUNTS)
-    schema = (
-        f"block long, key array<{kind}>, {lists}, groups_sha256 array<string>, entries array<int>, "
-        "places array<int>, times array<int>, pairs array<long>, pair_times array<long>"
-    )
+    """One row per block of documents; ``pairs`` are its different id pairs, ``pair_times`` their links in it.
+
+    ``docs`` has the documents' own columns. ``cells`` has the pairs of each document and their links in it: a cell
+    is the document's place in the block times ``n_pairs``, plus the pair's place, less the cell before it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         side_a, side_b = sides(a_path, b_path)
-        number, block, shape = TaskContext.get().partitionId() << 32, Block(), None
+        number, block, kind = TaskContext.get().partitionId() << 32, Block(), None
         for batch in batches:
             keys, texts, at = batch.column("doc_id"), batch.column("text").to_pylist(), 0
-            if shape is None:
-                many = {name: pa.int64() for name in [*COUNTS, "pairs", "pair_times"]}
-                many |= {name: pa.int32() for name in ("entries", "places", "times")}
-                many |= {"key": keys.type, "groups_sha256": pa.string()}
-                names = ["key", *COUNTS, "groups_sha256", "entries", "places", "times", "pairs", "pair_times"]
-                shape = pa.schema([("block", pa.int64()), *[(n, pa.list_(many[n])) for n in names]])
-            keys = keys.to_pylist()
+            kind, keys = keys.type, keys.to_pylist()
+            sizes = pc.binary_length(batch.column("text")).fill_null(0).to_pylist()
             while at < len(texts):
                 to, size = at, 0
                 while to < len(texts) and size < TOGETHER_BYTES:
-                    size, to = size + len(texts[to] or ""), to + 1
+                    size, to = size + sizes[to], to + 1
                 block.add(keys[at:to], *align(texts[at:to], side_a, side_b))
                 at = to
                 if block.links >= block_links:
-                    yield block.row(number, shape)
+                    yield block.row(number, kind)
                     number, block = number + 1, Block()
         if block.keys:
-            yield block.row(number, shape)
+            yield block.row(number, kind)
         give_back_memory()
 
+    schema = "block long, pairs array<long>, pair_times array<long>, n_pairs int, docs binary, cells binary"
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
@@ -253,35 +279,50 @@ def pair_counts(block_rows: DataFrame) -> DataFrame:
     return counts.join(F.broadcast(highest), F.col("b") == F.col("_b")).select("pairs", "a", "b", "count", (F.col("count") == F.col("_highest")).alias("best"))
 
 
-def scored(block_rows: DataFrame, counts: DataFrame) -> DataFrame:
+def scored(block_rows: DataFrame, counts: DataFrame, kind: str) -> DataFrame:
     """One row per document: its own counts, ``n_best`` and ``count_sum`` from the corpus-wide counts."""
     sought = block_rows.select("block", F.posexplode("pairs").alias("place", "pair"))
-    met = sought.join(counts.select(F.col("pairs").alias("pair"), "count", "best"), "pair")
-    # A block has a bounded number of pairs; only a single text with more links makes it larger.
-    entry = F.struct("place", "count", "best")
-    back = met.groupBy("block").agg(F.sort_array(F.collect_list(entry)).alias("met")).withColumnRenamed("block", "_block")
-    whole = block_rows.drop("pairs", "pair_times").join(back, F.col("block") == F.col("_block"), "left")
-
-    @F.pandas_udf("array<struct<n_best: long, count_sum: long>>")
-    def sums(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for rows in batches:
-            out = []
-            for entries, places, times, count, best in zip(*rows, strict=True):
-                doc = np.repeat(np.arange(len(entries)), entries)
-                n_best, total = np.zeros(len(entries), np.int64), np.zeros(len(entries), np.int64)
-                if len(doc):
-                    np.add.at(n_best, doc, times * best[places].astype(np.int64))
-                    np.add.at(total, doc, times * count[places])
-                out.append([{"n_best": x, "count_sum": y} for x, y in zip(n_best.tolist(), total.tolist(), strict=True)])
-            yield pd.Series(out)
+    # A pair has one row of counts, so a task's part of them is no larger than what it looks up: it needs no sort.
+    met = sought.join(counts.select(F.col("pairs").alias("pair"), "count", "best").hint("shuffle_hash"), "pair").drop("pair")
+    whole = block_rows.select("block", "n_pairs", "docs", "cells")
+    # A block's own row has no place and so comes before those of its pairs.
+    rows = met.unionByName(whole, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "place")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, count, best = None, [], []
+        for batch in batches:
+            heads = np.flatnonzero(batch.column("place").is_null().to_numpy(zero_copy_only=False)).tolist()
+            for k, (at, to) in enumerate(pairwise([0, *heads, batch.num_rows])):
+                if k:  # what stands before the first head belongs to the block of the last batch
+                    if head:
+                        yield summed(head, count, best)
+                    head, count, best = [batch.column(c)[at].as_py() for c in ("n_pairs", "docs", "cells")], [], []
+                    at += 1
+                part = batch.slice(at, to - at)
+                count.append(np.array(part.column("count"), np.int64))
+                best.append(np.array(part.column("best"), bool))
+        if head:
+            yield summed(head, count, best)
         give_back_memory()
 
-    added = whole.withColumn("sums", sums("entries", "places", "times", F.col("met.count"), F.col("met.best")))
-    rows = added.select(F.explode(F.arrays_zip("key", *COUNTS, "groups_sha256", "sums")).alias("d"))
-    return rows.select(
-        F.col("d.key").alias("doc_id"), *[F.col(f"d.{c}") for c in COUNTS],
-        "d.sums.n_best", "d.sums.count_sum", "d.groups_sha256",
-    )
+    own = ", ".join(f"{name} long" for name in [*COUNTS, *SUMS])
+    return rows.select("block", "place", "count", "best", "n_pairs", "docs", "cells").mapInArrow(
+        run, f"doc_id {kind}, {own}, groups_sha256 string"
+    )
+
+
+def summed(head: list, count: list[np.ndarray], best: list[np.ndarray]) -> pa.RecordBatch:
+    """The documents of one block, given the corpus-wide counts of its pairs in their order."""
+    n_pairs, docs, cells = head[0], unpacked(head[1]), unpacked(head[2])
+    count, best = np.concatenate(count), np.concatenate(best)
+    if len(count) != n_pairs:
+        raise ValueError(f"{len(count)} counts came back to a block of {n_pairs} pairs")
+    doc, place = np.divmod(np.cumsum(cells.column("step").to_numpy(), dtype=np.int64), max(1, n_pairs))
+    times, sums = cells.column("times").to_numpy().astype(np.int64), np.zeros((2, docs.num_rows), np.int64)
+    np.add.at(sums[0], doc, times * best[place])
+    np.add.at(sums[1], doc, times * count[place])
+    values = [docs.column(name) for name in ["doc_id", *COUNTS]] + [*map(pa.array, sums), docs.column("groups_sha256")]
+    return pa.RecordBatch.from_arrays(values, ["doc_id", *COUNTS, *SUMS, "groups_sha256"])
 
 
 def align_documents(
@@ -302,4 +343,4 @@ def align_documents(
     small_batches(docs.sparkSession)
     rows = stored(blocks(docs, doc_id, text, a_path, b_path, block_links), "alignment")
     counts = stored(pair_counts(rows), "pairs")
-    return scored(rows, counts), counts.drop("pairs")
+    return scored(rows, counts, dict(docs.dtypes)[doc_id]), counts.drop("pairs")

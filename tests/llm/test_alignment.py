@@ -1,11 +1,13 @@
 """Cross-tokenizer alignment against a plain version that compares every token with every other."""
 
 import hashlib
+import random
 from collections import Counter
 from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
@@ -115,6 +117,33 @@ def test_empty_table(spark):
     assert found.columns == ["doc_id", *COLUMNS] and found.collect() == [] and pairs.collect() == []
 
 
+def test_blocks_cross_spark_as_bytes(spark):
+    """Spark gathers no list of a block's documents or pairs, and what it carries for a document's pair is small."""
+    words = [f"{a}{b}{c}" for a in ("", "ver", "Un") for b in ("sta", "lo", "ki") for c in ("gen", "ments", "ra", "t")]
+    chosen = random.Random(1)
+    texts = [" ".join(chosen.choices(words, k=chosen.randrange(300))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    rows = alignment.blocks(docs, "doc_id", "text", None, None, 1 << 15).collect()
+    entries = sum(alignment.unpacked(r.cells).num_rows for r in rows)
+    assert len(rows) > 1 and sum(len(r.cells) for r in rows) < 2 * entries
+    found, _ = alignment.align_documents(docs, block_links=1 << 15)
+    plan = found._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "SortMergeJoin" not in plan and "arrays_zip" not in plan
+    want, _, _ = plain_alignment(texts)
+    assert {r.doc_id: tuple(r[c] for c in COLUMNS) for r in found.collect()} == dict(enumerate(want))
+
+
+def test_missing_counts():
+    block = alignment.Block()
+    block.add([1, 2], *alignment.align(["hello world", None], *alignment.sides(None, None)))
+    row = block.row(0, pa.int64()).to_pylist()[0]
+    ones = [np.ones(row["n_pairs"], np.int64)], [np.ones(row["n_pairs"], bool)]
+    whole = alignment.summed([row["n_pairs"], row["docs"], row["cells"]], *ones).to_pylist()
+    assert [(r["doc_id"], r["n_best"], r["count_sum"]) for r in whole] == [(k, r["n_links"], r["n_links"]) for k, r in zip([1, 2], whole, strict=True)]
+    with pytest.raises(ValueError, match="came back"):
+        alignment.summed([row["n_pairs"], row["docs"], row["cells"]], [ones[0][0][:-1]], ones[1])
+
+
 def test_groups_end_together():
     side_a, side_b = alignment.sides(None, None)
     found, links = alignment.align(["hello world", None], side_a, side_b)
